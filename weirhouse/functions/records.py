@@ -19,6 +19,10 @@ def parse_object(df: DataFrame, schema: T.StructType, value: str = "value", into
     A row is fine when its text is exactly one JSON object that fits the schema.
     Spark's parser stops after the first value and so would take text with a
     tail; wrapping the line as the only element of an array exposes that.
+
+    The result comes out of a generator on purpose: the optimizer does not move
+    filters or copies of an expression through one, so a text is parsed once
+    however often its fields are used.
     """
     wrapped = T.StructType(
         [T.StructField("r", T.ArrayType(schema)), T.StructField("_bad", T.StringType())]
@@ -28,14 +32,14 @@ def parse_object(df: DataFrame, schema: T.StructType, value: str = "value", into
         wrapped,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"},
     )
-    rows = F.col("_parsed.r")
-    one = F.col("_parsed._bad").isNull() & (F.size(rows) == 1) & rows.getItem(0).isNotNull()
-    return (
-        df.withColumn("_parsed", parsed)
-        .withColumn(into, F.when(F.size(rows) > 0, rows.getItem(0)))
-        .withColumn(f"{into}_ok", F.coalesce(one, F.lit(False)))
-        .drop("_parsed")
-    )
+
+    def outcome(p: Column) -> Column:
+        one = p["_bad"].isNull() & (F.size(p["r"]) == 1) & F.get(p["r"], F.lit(0)).isNotNull()
+        return F.struct(
+            F.get(p["r"], F.lit(0)).alias(into), F.coalesce(one, F.lit(False)).alias(f"{into}_ok")
+        )
+
+    return df.select("*", F.inline(F.transform(F.array(parsed), outcome)))
 
 
 def parse_or_drop(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:

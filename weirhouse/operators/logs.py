@@ -97,3 +97,26 @@ def page_logs(logs: DataFrame) -> DataFrame:
 def display_logs(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per display of ``page_logs`` output; ``keep`` carries columns along."""
     return pages.select(*keep, F.explode("displays").alias("display"))
+
+
+def split_rows(logs: DataFrame, start: str, page: str, display: str) -> DataFrame:
+    """All three outputs in one pass: rows of target ``topic`` and JSON ``value``.
+
+    ``logs`` are good, corrected logs; the names are those of the target topics.
+    """
+    tagged = F.transform("displays", lambda d: records.put(d, "page_id", F.col("page.page_id")))
+    first = logs.withColumn("_start", is_start(logs)).withColumn(
+        "displays",
+        F.when(~F.col("_start") & (F.size("displays") > 0), tagged).otherwise(F.col("displays")),
+    )
+    fields = [c for c in ("common", "page", "displays", "start", "ts") if c in logs.columns]
+    whole = F.to_json(F.struct(*fields))
+    to = lambda topic, value: F.struct(F.lit(topic).alias("topic"), value.alias("value"))
+    shown = F.transform(
+        F.coalesce("displays", F.array().cast("array<map<string,string>>")),
+        lambda d: to(display, F.to_json(d)),
+    )
+    rows = F.when(F.col("_start"), F.array(to(start, whole))).otherwise(
+        F.concat(F.array(to(page, whole)), shown)
+    )
+    return first.select(F.explode(rows).alias("r")).select("r.topic", "r.value")

@@ -1,22 +1,23 @@
 """Dimension tables on Parquet: upserts are appended, reads merge, compaction folds.
 
-A table is a folder with ``changes/batch=N`` (upserts of one micro-batch) and
-``base/version=N`` (all batches up to N folded).  A batch writes only its own
-changes, so the cost of an upsert does not grow with the table, and a batch that
-runs again replaces its folder.  All values are text.
+A store is a folder with ``changes/batch=N`` (upserts of one micro-batch, by
+table) and ``base/<table>/version=N`` (all batches up to N folded).  A batch
+writes only its own changes, so an upsert does not get dearer as tables grow.
+All values are text.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirhouse.functions import records
+from weirhouse.sources import files
 
 
 @dataclass(frozen=True)
@@ -95,59 +96,61 @@ def merge(
     ).drop("_pk")
 
 
-def _listing(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers N of the finished ``prefix=N`` folders under ``path``."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    found = []
-    for status in fs.listStatus(folder):
-        match = re.fullmatch(rf"{prefix}=(\d+)", status.getPath().getName())
-        if match and fs.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
-            found.append(int(match.group(1)))
-    return sorted(found)
+def append(
+    changes: DataFrame, root: str, batch_id: int, order: Sequence[str], table_col: str = "sinkTable"
+) -> None:
+    """Store one micro-batch of changes (``data`` maps) for all tables in one job.
 
-
-def append(changes: DataFrame, root: str, batch_id: int, order: Sequence[str]) -> None:
-    """Store the changes of one micro-batch (``data`` maps), replacing an earlier try.
-
-    ``order`` tells the order of changes within the batch.
+    ``order`` tells the order of changes within the batch.  A batch that runs
+    again is skipped when its folder is complete, else replaced.
     """
-    place = F.struct(*[F.col(c) for c in order])
-    changes.select("data", place.alias("_place"), F.lit(batch_id).cast("bigint").alias("_batch")).write.mode(
-        "overwrite"
-    ).parquet(f"{root}/changes/batch={batch_id}")
+    path = f"{root}/changes/batch={batch_id}"
+    if files.is_complete(changes.sparkSession, path):
+        return
+    changes.select(
+        F.col(table_col).alias("table"), "data", F.struct(*[F.col(c) for c in order]).alias("_place")
+    ).hint("rebalance", "table").write.mode("overwrite").partitionBy("table").parquet(path)
+
+
+def _pending(spark: SparkSession, root: str, name: str, above: int) -> tuple[list[int], DataFrame | None]:
+    todo = [n for n in files.numbered(spark, f"{root}/changes", "batch") if n > above]
+    # a batch may hold no row at all, then its folder has no Parquet files
+    rows = [
+        spark.read.option("basePath", f"{root}/changes").parquet(f"{root}/changes/batch={n}")
+        for n in todo
+        if files.has_data(spark, f"{root}/changes/batch={n}")
+    ]
+    if not rows:
+        return todo, None
+    changes = reduce(DataFrame.unionByName, rows).filter(F.col("table") == name)
+    return todo, changes.select("data", F.col("batch").cast("bigint").alias("_batch"), "_place")
 
 
-def _pending(spark: SparkSession, root: str, above: int) -> tuple[list[int], DataFrame | None]:
-    todo = [n for n in _listing(spark, f"{root}/changes", "batch") if n > above]
-    if not todo:
-        return [], None
-    paths = [f"{root}/changes/batch={n}" for n in todo]
-    return todo, spark.read.parquet(*paths)
+def _base(spark: SparkSession, root: str, table: DimTable) -> tuple[int, DataFrame | None]:
+    versions = files.numbered(spark, f"{root}/base/{table.name}", "version")
+    if not versions:
+        return -1, None
+    path = f"{root}/base/{table.name}/version={versions[-1]}"
+    return versions[-1], spark.read.schema(table.schema()).parquet(path)
 
 
 def read(spark: SparkSession, root: str, table: DimTable) -> DataFrame:
-    """The table as of the last finished batch, one row per key."""
-    versions = _listing(spark, f"{root}/base", "version")
-    above = versions[-1] if versions else -1
-    current = spark.read.schema(table.schema()).parquet(f"{root}/base/version={above}") if versions else None
-    _, changes = _pending(spark, root, above)
+    """The table as of the last complete batch, one row per key."""
+    above, current = _base(spark, root, table)
+    _, changes = _pending(spark, root, table.name, above)
     if changes is None:
         return current if current is not None else spark.createDataFrame([], table.schema())
     return merge(changes, table, ["_batch", "_place"], current)
 
 
 def compact(spark: SparkSession, root: str, table: DimTable) -> int | None:
-    """Fold finished batches into a new base version; readers switch when it is whole.
+    """Fold complete batches into a new base version; readers switch when it is whole.
 
     Older folders stay for running readers; remove them after a grace period.
     """
-    versions = _listing(spark, f"{root}/base", "version")
-    todo, _ = _pending(spark, root, versions[-1] if versions else -1)
+    above, _ = _base(spark, root, table)
+    todo, _ = _pending(spark, root, table.name, above)
     if not todo:
         return None
-    read(spark, root, table).write.mode("overwrite").parquet(f"{root}/base/version={todo[-1]}")
+    read(spark, root, table).write.mode("overwrite").parquet(f"{root}/base/{table.name}/version={todo[-1]}")
     return todo[-1]

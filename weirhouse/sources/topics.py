@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from weirhouse.sources import files
+
 
 @dataclass(frozen=True)
 class TopicSpec:
@@ -38,17 +40,33 @@ class TopicSpec:
         return opts | dict(self.options)
 
 
+# Columns that identify and order the messages of a topic, after the event time.
+ARRIVAL = ("part", "offset")
+
+
 def read_topic(spark: SparkSession, spec: TopicSpec, streaming: bool = True) -> DataFrame:
-    """The topic's messages as text in ``value``.
+    """The topic's messages as text in ``value``, with ``part`` and ``offset``.
 
-    Kafka rows also carry ``part`` and ``offset``, which together order and
-    identify messages; pass them as ``order`` to the operators.
+    The two identify a message: Kafka's partition and offset, or a file and a
+    row of it.
     """
     reader = spark.readStream if streaming else spark.read
     if spec.path:
         schema = "value string, topic string" if spec.shared else "value string"
-        rows = reader.schema(schema).options(**spec.options).format("parquet").load(spec.path)
-        return rows.filter(F.col("topic") == spec.name).select("value") if spec.shared else rows
+        rows = (
+            reader.schema(schema)
+            .option("recursiveFileLookup", str(not spec.shared).lower())
+            .options(**spec.options)
+            .format("parquet")
+            .load(spec.path)
+        )
+        if spec.shared:
+            rows = rows.filter(F.col("topic") == spec.name)
+        return rows.select(
+            "value",
+            F.col("_metadata.file_path").alias("part"),
+            F.col("_metadata.row_index").alias("offset"),
+        )
     rows = reader.format("kafka").option("subscribe", spec.name).options(**spec.kafka_options()).load()
     return rows.select(
         F.col("value").cast("string").alias("value"), F.col("partition").alias("part"), "offset"
@@ -56,34 +74,42 @@ def read_topic(spark: SparkSession, spec: TopicSpec, streaming: bool = True) ->
 
 
 def write_topic(rows: DataFrame, spec: TopicSpec, checkpoint: str) -> DataStreamWriter:
-    """Writer of ``value`` to one topic; the caller sets the trigger and starts it.
+    """Stream writer of ``value`` to one topic, or with ``topic`` in the rows to many.
 
-    The file form is exactly-once, Kafka's at-least-once.
+    The caller sets the trigger and starts it.  The file form is exactly-once,
+    Kafka's at-least-once.
     """
-    out = rows.select("value").writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    many = "topic" in rows.columns
+    out = (
+        rows.select("value", *(["topic"] if many else []))
+        .writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
+    )
     if spec.path:
-        return out.format("parquet").option("path", spec.path)
-    return out.format("kafka").option("topic", spec.name).options(**spec.kafka_options())
+        out = out.format("parquet").option("path", spec.path)
+        return out.partitionBy("topic") if many else out
+    out = out.format("kafka").options(**spec.kafka_options())
+    return out if many else out.option("topic", spec.name)
 
 
-def write_multiplexed(
-    rows: DataFrame, spec: TopicSpec, topic_col: str = "topic", value_col: str = "value"
-) -> None:
-    """Write a batch, every row to the topic its own column names.
+def write_batch(rows: DataFrame, spec: TopicSpec, batch_id: int | None = None) -> None:
+    """Write one batch of ``value``, or with ``topic`` in the rows to many topics.
 
-    Use it in ``foreachBatch`` with a path of its own per batch (see
-    ``batch_path``): a batch that runs again replaces its files.  Rows are
-    rebalanced by topic, so a dominant topic gets several writers and a small
-    one a single file.
+    For ``foreachBatch``: with a ``batch_id`` the file form writes a folder of its
+    own and does nothing when that is complete, so a batch that runs again adds
+    no second copy.  Rows for many topics are rebalanced first: a dominant topic
+    gets several writers and a small one a single file.
     """
-    pair = rows.select(
-        F.col(topic_col).cast("string").alias("topic"), F.col(value_col).cast("string").alias("value")
-    )
+    many = "topic" in rows.columns
+    rows = rows.select("value", *(["topic"] if many else []))
     if spec.path:
-        pair.hint("rebalance", "topic").write.mode("overwrite").partitionBy("topic").parquet(spec.path)
-    else:
-        pair.write.format("kafka").options(**spec.kafka_options()).save()
-
-
-def batch_path(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/batch={batch_id}"
+        path = spec.path if batch_id is None else f"{spec.path.rstrip('/')}/batch={batch_id}"
+        if batch_id is not None and files.is_complete(rows.sparkSession, path):
+            return
+        if many:
+            rows.hint("rebalance", "topic").write.mode("overwrite").partitionBy("topic").parquet(path)
+        else:
+            rows.write.mode("overwrite").parquet(path)
+        return
+    out = rows.write.format("kafka").options(**spec.kafka_options())
+    (out if many else out.option("topic", spec.name)).save()

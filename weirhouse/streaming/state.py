@@ -200,13 +200,14 @@ def literal_visits(
 class _Bounce(StatefulProcessor):
     """Holds records until the watermark has settled what follows them."""
 
-    def __init__(self, width: int, within_ms: int):
-        self._order = [f"o{i}" for i in range(width)]
+    def __init__(self, order_types: Sequence[str], within_ms: int):
+        self._order = [f"o{i}" for i in range(len(order_types))]
+        self._types = list(order_types)
         self._within = within_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        cols = ", ".join(f"{c} bigint" for c in self._order)
+        cols = ", ".join(f"{c} {kind}" for c, kind in zip(self._order, self._types))
         self._held = handle.getListState("held", f"t bigint, {cols}, entry boolean, record string")
         self._timer = handle.getValueState("timer", "t bigint")
 
@@ -267,7 +268,7 @@ def bounces(
     order: Sequence[str] = ("ts", "seq"),
     lateness: str = "1 second",
 ) -> DataFrame:
-    """Stream form of ``visits.bounces``; ``order`` columns are integers here."""
+    """Stream form of ``visits.bounces``."""
     keys = {"mid": F.col("common.mid")}
-    processor = _Bounce(len(order), within_ms)
+    processor = _Bounce([pages.schema[c].dataType.simpleString() for c in order], within_ms)
     return _run(pages, processor, keys, order, visits.is_entry(), lateness, "EventTime").drop("mark")
