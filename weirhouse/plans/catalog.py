@@ -184,16 +184,21 @@ def stats_sink_rows(spark, sf_dir):
 
 @query
 def time_format(spark, sf_dir):
-    ms = times.parse_time("create_time")
-    return tb.payment_infos(spark, sf_dir).select(
-        "id",
-        "create_time",
-        ms.alias("ms"),
-        times.format_epoch(ms).alias("from_millis"),
-        times.format_epoch((ms / 1000).cast("bigint").cast("string")).alias("from_seconds"),
+    text = times.format_epoch("ts")
+    return tb.pages(spark, sf_dir).select(
+        "seq",
+        text.alias("from_millis"),
+        times.format_epoch(times.slot_of("ts", 1000).cast("string")).alias("from_seconds"),
+        times.parse_time(text).alias("ms"),
     )
 
 
+@query
+def order_times(spark, sf_dir):
+    infos = orders.order_infos(tb.order_infos(spark, sf_dir))
+    return infos.select("id", "create_date", "create_hour", "create_ts")
+
+
 @query
 def date_parts(spark, sf_dir):
     return tb.payment_infos(spark, sf_dir).select(
