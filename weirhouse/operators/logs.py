@@ -65,9 +65,11 @@ def correct_new_visitors(logs: DataFrame, order: Sequence[str] = ("ts", "seq"))
         .filter("_rank = 1")
         .withColumn("_rank", F.lit(True))
     )
+    rows, same = claimed.select("*", *keys), F.lit(True)
+    for c in ident:  # a start record may lack its time
+        same = same & rows[c].eqNullSafe(firsts[c])
     fixed = (
-        claimed.select("*", *keys)
-        .join(firsts, ident, "left")
+        rows.join(firsts, same, "left")
         .withColumn(
             "common",
             F.col("common").withField("is_new", F.when(F.col("_rank"), F.lit("1")).otherwise(F.lit("0"))),

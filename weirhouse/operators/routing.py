@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirhouse import schemas
-from weirhouse.functions import records
+from weirhouse.functions import records, sizes
 
 # Sink kinds a rule may name; rows for the last one go nowhere.
 SINK_STORE = "hbase"
@@ -68,8 +68,8 @@ def attach_rules(changes: DataFrame, rules: DataFrame, how: str = "inner") -> Da
     """Add the sink of each change and cut its data to the rule's columns.
 
     Column names are compared as written, without trimming.  ``rules`` has one
-    row per (table, operation).  Spark broadcasts it by its own size check;
-    changes without a rule are dropped unless ``how='left'``.
+    row per (table, operation) and is broadcast when a count finds it small.
+    Changes without a rule are dropped unless ``how='left'``.
     """
     r = rules.select(
         F.col("sourceTable").alias("_table"),
@@ -82,7 +82,7 @@ def attach_rules(changes: DataFrame, rules: DataFrame, how: str = "inner") -> Da
     keep = F.map_filter("data", lambda k, _: F.array_contains("_columns", k))
     return (
         changes.join(
-            r, (F.col("tableName") == F.col("_table")) & (F.col("type") == F.col("_type")), how
+            sizes.broadcast_if_small(r), (F.col("tableName") == F.col("_table")) & (F.col("type") == F.col("_type")), how
         )
         .withColumn("data", F.when(F.col("_columns").isNull(), F.col("data")).otherwise(keep))
         .drop("_table", "_type", "_columns")

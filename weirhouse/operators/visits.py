@@ -64,41 +64,81 @@ def bounces(
     """Entry pages whose next record is an entry page too, or did not come in time (batch).
 
     An entry record is *no* bounce just when the mid's next record comes in less
-    than ``within_ms`` and is not an entry page.  So only neighbours closer than
-    ``within_ms`` matter, and the rows are grouped by mid and time slice, with
-    the first ``within_ms`` of a slice copied to the slice before.  Exact, one
-    shuffle, and a mid with a large share of the rows falls apart into slices.
-    Columns of records that cannot be emitted are not shuffled.
+    than ``within_ms`` and is not an entry page.  Rows are grouped by mid and
+    time slice, so a mid with a large share of the rows falls apart; what
+    follows the last row of a slice is found in one of two exact ways:
+
+    * slices at least ``within_ms`` long (default: eight times that): the first
+      ``within_ms`` of a slice are copied to the slice before.  One shuffle.
+    * shorter slices, for a long ``within_ms`` over dense data: the first row of
+      every slice is passed to the mid's slice before it that has rows.
+
+    Columns of records that cannot be emitted are not shuffled.  ``order`` starts
+    with ``ts``.
     """
-    slice_ms = slice_ms or 360 * within_ms
-    if slice_ms < within_ms:
-        raise ValueError("slice_ms must be at least within_ms")
-    own = times.slot_of("ts", slice_ms)
-    near_edge = F.pmod(F.col("ts"), F.lit(slice_ms)) < within_ms
-    slots = F.when(near_edge, F.array(F.lit(0), F.lit(-1))).otherwise(F.array(F.lit(0)))
-    keys = ["_mid", "_slot", "_entry", "_copy", *[f"_o{i}" for i in range(len(order))]]
-    placed = pages.select(
+    slice_ms = slice_ms or 8 * within_ms
+    place = [f"_o{i}" for i in range(len(order))]
+    rows = pages.select(
         "*",
         F.col("common.mid").alias("_mid"),
         is_entry().alias("_entry"),
         F.col("ts").alias("_t"),
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-        F.explode(slots).alias("_shift"),
+        *[F.col(c).alias(p) for c, p in zip(order, place)],
+        times.slot_of("ts", slice_ms).alias("_slot"),
     )
-    real = F.col("_entry") & (F.col("_shift") == 0)
-    slim = placed.select(
+    find = _next_from_copies if slice_ms >= within_ms else _next_from_slices
+    stays = (F.col("_next_t") - F.col("_t") < within_ms) & ~F.col("_next_entry")
+    return (
+        find(rows, pages.columns, place, within_ms, slice_ms)
+        .withColumn("_stays", F.coalesce(stays, F.lit(False)))
+        .filter("_emits AND NOT _stays")
+        .select(*pages.columns)
+    )
+
+
+def _slim(rows: DataFrame, columns: Sequence[str], emits: Column, slot: Column, place: Sequence[str]) -> DataFrame:
+    return rows.select(
         "_mid",
         "_entry",
         "_t",
-        *keys[4:],
-        (own + F.col("_shift")).alias("_slot"),
-        real.alias("_real"),
-        *[F.when(real, F.col(c)).alias(c) for c in pages.columns],
+        *place,
+        slot.alias("_slot"),
+        emits.alias("_emits"),
+        *[F.when(emits, F.col(c)).alias(c) for c in columns],
     )
-    w = Window.partitionBy("_mid", "_slot").orderBy(*keys[4:])
-    stays = (F.lead("_t").over(w) - F.col("_t") < within_ms) & ~F.lead("_entry").over(w)
-    return (
-        slim.withColumn("_stays", F.coalesce(stays, F.lit(False)))
-        .filter("_real AND NOT _stays")
-        .select(*pages.columns)
+
+
+def _next_in_slice(rows: DataFrame, place: Sequence[str]) -> DataFrame:
+    w = Window.partitionBy("_mid", "_slot").orderBy(*place)
+    return rows.withColumns(
+        {"_next_t": F.lead("_t").over(w), "_next_entry": F.lead("_entry").over(w)}
+    )
+
+
+def _next_from_copies(rows, columns, place, within_ms, slice_ms):
+    near_edge = F.pmod(F.col("ts"), F.lit(slice_ms)) < within_ms
+    slots = F.when(near_edge, F.array(F.lit(0), F.lit(-1))).otherwise(F.array(F.lit(0)))
+    placed = rows.select("*", F.explode(slots).alias("_shift"))
+    emits = F.col("_entry") & (F.col("_shift") == 0)
+    slot = F.col("_slot") + F.col("_shift")
+    return _next_in_slice(_slim(placed, columns, emits, slot, place), place)
+
+
+def _next_from_slices(rows, columns, place, within_ms, slice_ms):
+    first = F.min(F.struct(*place, "_t", "_entry")).alias("_first")
+    per_mid = Window.partitionBy("_mid").orderBy("_slot")
+    following = (
+        rows.groupBy("_mid", "_slot")
+        .agg(first)
+        .select("_mid", "_slot", F.lead("_first").over(per_mid).alias("_after"))
+        .filter(F.col("_after").isNotNull())
+    )
+    slim = _slim(rows, columns, F.col("_entry"), F.col("_slot"), place)
+    inner = _next_in_slice(slim, place)
+    last = F.col("_next_t").isNull()
+    return inner.join(following, ["_mid", "_slot"], "left").withColumns(
+        {
+            "_next_t": F.when(last, F.col("_after._t")).otherwise(F.col("_next_t")),
+            "_next_entry": F.when(last, F.col("_after._entry")).otherwise(F.col("_next_entry")),
+        }
     )

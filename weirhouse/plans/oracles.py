@@ -70,7 +70,7 @@ _PAGE_LINE = _json(
 )
 
 
-def _visits(source: str) -> str:
+def _visits(source: str, within_ms: int = WITHIN_MS) -> str:
     """CTEs ``uv`` and ``uj`` over the page rows of ``source``."""
     return f"""
 uv AS (
@@ -83,7 +83,7 @@ nxt AS (
 uj AS (
   SELECT * FROM nxt
   WHERE coalesce(last_page_id, '') = ''
-    AND (next_ts IS NULL OR next_entry OR next_ts - ts >= {WITHIN_MS}))"""
+    AND (next_ts IS NULL OR next_entry OR next_ts - ts >= {within_ms}))"""
 
 
 def _measures(source: str) -> str:
@@ -268,6 +268,7 @@ opened AS (
   FROM dense)
 SELECT seq, mid, ts FROM opened WHERE entry OR coalesce(before, 0) = 0""",
     "bounce": f"WITH {_EVENTS}, {_visits('ev')} SELECT seq, mid, ts FROM uj",
+    "bounce_ten_seconds": f"WITH {_EVENTS}, {_visits('ev', 10_000)} SELECT seq, mid, ts FROM uj",
     "visitor_measures": f"""
 {_PAGE_STATS}
 SELECT ch, ar, is_new, vc, {', '.join(f'CAST({m} AS BIGINT) AS {m}' for m in _ALL_MEASURES)}, ts FROM measures""",

@@ -17,7 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _millis(name: str):
-    return F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(name))
+    """Epoch milliseconds of a zone-less time taken as UTC, whatever the session zone."""
+    since = F.col(name) - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    part = lambda unit: F.date_part(F.lit(unit), since)
+    minutes = (part("DAY").cast("bigint") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    return minutes * 60_000 + F.floor(part("SECOND") * 1000).cast("bigint")
 
 
 def _text(name: str):
@@ -218,7 +222,10 @@ RULES = [
 
 
 def rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(*r, None, None) for r in RULES], schemas.RULE)
+    rows = ", ".join(f"({', '.join(repr(v) for v in r)}, NULL, NULL)" for r in RULES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(schemas.RULE.names)})").select(
+        *[F.col(f.name).cast(f.dataType) for f in schemas.RULE.fields]
+    )
 
 
 def rule_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,22 +29,30 @@ def normalize_cdc(messages: DataFrame, topic: str = "topic", value: str = "value
     """
     rest = [c for c in messages.columns if c not in (topic, value)]
     parsed = records.parse_object(messages, _ENVELOPE, value)
-    body = F.when(
-        F.col("record.payload").isNotNull(), F.col("record.payload")
-    ).otherwise(F.struct(*[F.col(f"record.{n}").alias(n) for n in _BODY.names]))
     parts = F.split(F.col(topic), r"\.")
-    empty = F.create_map().cast("map<string,string>")
+    empty = F.create_map().cast(_IMAGE)
     image = lambda m: F.coalesce(records.last_keys(m), empty)
     names = F.create_map(*[F.lit(x) for pair in OPERATIONS.items() for x in pair])
-    kind = F.try_element_at(names, F.col("_body.op"))
     bad = F.raise_error(F.concat(F.lit("bad change record: "), F.coalesce(F.col(value), F.lit("null"))))
-    return parsed.withColumn("_body", body).select(
+    ok, record = F.col("record_ok"), F.col("record")
+    body = F.when(record["payload"].isNotNull(), record["payload"]).otherwise(
+        F.struct(*[record[n].alias(n) for n in _BODY.names])
+    )
+
+    def envelope(b: Column) -> Column:
+        kind = F.try_element_at(names, b["op"])
+        return F.struct(
+            F.when(ok & kind.isNotNull(), kind).otherwise(bad.cast("string")).alias("type"),
+            image(b["after"]).alias("data"),
+            image(b["before"]).alias("before"),
+        )
+
+    # a generator, as in parse_object: the images are built once per message
+    return parsed.select(
         *rest,
         F.get(parts, F.lit(1)).alias("database"),
         F.get(parts, F.lit(2)).alias("tableName"),
-        F.when(F.col("record_ok") & kind.isNotNull(), kind).otherwise(bad.cast("string")).alias("type"),
-        image(F.col("_body.after")).alias("data"),
-        image(F.col("_body.before")).alias("before"),
+        F.inline(F.transform(F.array(body), envelope)),
     )
 
 
