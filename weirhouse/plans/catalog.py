@@ -407,8 +407,7 @@ def stream_visitor_stats(spark, sf_dir):
         "bounced": visits.bounces(pages, WITHIN_MS),
     }
     replay = rp.Replay(spark, "visitor-stats")
-    last = rp.sentinel_pages(pages)
-    slices = rp.time_slices({n: (df, "ts") for n, df in inputs.items()}, 2) + [{n: last for n in inputs}]
+    slices = rp.with_sentinel(rp.time_slices({n: (df, "ts") for n, df in inputs.items()}, 2), pages)
 
     def start():
         rows = stats.union_measures(*[replay.source(n, pages) for n in inputs])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,18 +58,25 @@ def time_slices(inputs: dict[str, tuple[DataFrame, str]], count: int) -> list[di
 def run_slices(
     replay: Replay,
     slices: Sequence[dict[str, DataFrame]],
-    start: Callable[[], Sequence[StreamingQuery]],
+    start: Callable[[], Iterable[StreamingQuery]],
 ) -> None:
     """Feed a slice, run the queries until they have taken it, go on with the next.
 
     Every slice restarts the queries from their checkpoints.  ``start`` may be a
-    generator: a query is started when the one before it has ended.
+    generator: a query is started when the one before it has ended.  State is
+    kept in at most two partitions per core, as its number cannot adapt later.
     """
-    for inputs in slices:
-        for name, rows in inputs.items():
-            replay.feed(name, rows)
-        for query in start():
-            query.awaitTermination()
+    conf, key = replay.spark.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(min(int(before), 2 * replay.spark.sparkContext.defaultParallelism)))
+    try:
+        for inputs in slices:
+            for name, rows in inputs.items():
+                replay.feed(name, rows)
+            for query in start():
+                query.awaitTermination()
+    finally:
+        conf.set(key, before)
 
 
 def sentinel_pages(pages: DataFrame) -> DataFrame:
@@ -83,6 +90,12 @@ def sentinel_pages(pages: DataFrame) -> DataFrame:
     ).select(*pages.columns)
 
 
+def with_sentinel(slices: list[dict[str, DataFrame]], pages: DataFrame) -> list[dict[str, DataFrame]]:
+    """The sentinel joins the last slice of every input."""
+    last = sentinel_pages(pages)
+    return slices[:-1] + [{n: rows.unionByName(last) for n, rows in slices[-1].items()}]
+
+
 def replay_pages(
     spark: SparkSession,
     name: str,
@@ -92,6 +105,6 @@ def replay_pages(
 ) -> DataFrame:
     """Run a stateful page operator over replayed pages; its output without the sentinel."""
     replay = Replay(spark, name)
-    slices = time_slices({"pages": (pages, "ts")}, count) + [{"pages": sentinel_pages(pages)}]
+    slices = with_sentinel(time_slices({"pages": (pages, "ts")}, count), pages)
     run_slices(replay, slices, lambda: [replay.store(operator(replay.source("pages", pages)), "out")])
     return spark.read.parquet(replay.path("out")).filter(F.col("common.mid") != SENTINEL)
