@@ -43,7 +43,9 @@ def interval_join(
         times.slot_of(lt + F.lit(lower_ms), bucket_ms), times.slot_of(lt + F.lit(upper_ms), bucket_ms)
     )
     lhs = left.withColumn("_lb", F.explode(touched))
-    rhs = right.withColumn("_rb", times.slot_of(F.unix_millis(right_time), bucket_ms))
+    # a default for null times, which the time condition drops, saves a null check up to the scan
+    own = F.coalesce(times.slot_of(F.unix_millis(right_time), bucket_ms), F.lit(0).cast("bigint"))
+    rhs = right.withColumn("_rb", own)
     # milliseconds need no calendar: day-time intervals shift by exact amounts
     low = F.make_dt_interval(secs=F.lit(lower_ms / 1000))
     high = F.make_dt_interval(secs=F.lit(upper_ms / 1000))

@@ -53,11 +53,11 @@ def correct_new_visitors(logs: DataFrame, order: Sequence[str] = ("ts", "seq"))
     spread over all partitions.  Records not claiming a new visitor never move.
     For streams see ``weirhouse.streaming.state.correct_new_visitors``.
     """
-    claims = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
+    flag = F.col("common.is_new")  # plain comparisons, which a Parquet scan takes over
     ident = ["_mid", *[f"_o{i}" for i in range(len(order))]]
     keys = [F.col("common.mid").alias("_mid"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]]
 
-    claimed = logs.filter(claims)
+    claimed = logs.filter(flag == "1")
     first = Window.partitionBy("_mid").orderBy(*ident[1:])
     firsts = (
         claimed.select(*keys)
@@ -76,7 +76,7 @@ def correct_new_visitors(logs: DataFrame, order: Sequence[str] = ("ts", "seq"))
         )
         .select(*logs.columns)
     )
-    return logs.filter(~claims).unionByName(fixed)
+    return logs.filter((flag != "1") | flag.isNull()).unionByName(fixed)
 
 
 def is_start(logs: DataFrame) -> Column:

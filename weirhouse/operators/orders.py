@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirhouse import schemas
@@ -29,15 +28,18 @@ def order_details(details: DataFrame) -> DataFrame:
     return details.withColumn("create_ts", times.parse_time("create_time"))
 
 
-def _typed(df: DataFrame, values: Mapping[str, Column], schema: T.StructType) -> DataFrame:
-    """All fields of ``schema`` in order; those without a value are null."""
-    return df.select(
-        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+def _typed(df: DataFrame, sources: Mapping[str, str], schema: T.StructType) -> DataFrame:
+    """All fields of ``schema`` in order, from the named columns; those without one are null."""
+    return df.selectExpr(
+        *[
+            f"CAST({sources.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in schema.fields
+        ]
     )
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
+    return df.toDF(*[prefix + c for c in df.columns])
 
 
 def join_order_details(
@@ -65,10 +67,10 @@ def join_order_details(
         "sku_id sku_name order_price sku_num split_activity_amount split_coupon_amount"
         " split_total_amount"
     ).split()
-    values = {"order_id": F.col("o_id"), "detail_id": F.col("d_id")}
-    values |= {c: F.col(f"o_{c}") for c in from_order}
-    values |= {c: F.col(f"d_{c}") for c in from_detail}
-    return _typed(both, values, schemas.ORDER_WIDE)
+    sources = {"order_id": "o_id", "detail_id": "d_id"}
+    sources |= {c: f"o_{c}" for c in from_order}
+    sources |= {c: f"d_{c}" for c in from_detail}
+    return _typed(both, sources, schemas.ORDER_WIDE)
 
 
 def order_wide(
@@ -105,11 +107,11 @@ def payment_wide(
     both = interval_join(
         left, right, "p_order_id", "w_order_id", "p_et", "w_et", lower_ms, upper_ms, lateness=lateness
     )
-    values = {c: F.col(f"w_{c}") for c in wide_orders.columns}
-    values |= {c: F.col(f"p_{c}") for c in payments.columns}
-    values |= {
-        "payment_id": F.col("p_id"),
-        "payment_create_time": F.col("p_create_time"),
-        "order_create_time": F.col("w_create_time"),
+    sources = {c: f"w_{c}" for c in wide_orders.columns}
+    sources |= {c: f"p_{c}" for c in payments.columns}
+    sources |= {
+        "payment_id": "p_id",
+        "payment_create_time": "p_create_time",
+        "order_create_time": "w_create_time",
     }
-    return _typed(both, values, schemas.PAYMENT_WIDE)
+    return _typed(both, sources, schemas.PAYMENT_WIDE)

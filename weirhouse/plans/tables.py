@@ -16,6 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A large table, spread over the cores where its files give fewer splits than that.
+
+    The tables here are one file of one row group each, which is one task.  A
+    table of many files has splits enough and is left as it is.
+    """
+    df, cores = table(spark, sf_dir, name), spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _millis(name: str):
     """Epoch milliseconds of a zone-less time taken as UTC, whatever the session zone."""
     since = F.col(name) - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
@@ -30,7 +40,7 @@ def _text(name: str):
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     user, seq, kind = F.col("user_id"), F.col("event_id"), F.col("event_type")
-    return table(spark, sf_dir, "events").select(
+    return fact_table(spark, sf_dir, "events").select(
         F.struct(
             F.concat(F.lit("m"), user).alias("mid"),
             F.concat(F.lit("v"), user % 3).alias("vc"),
@@ -83,7 +93,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_infos(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = F.col("o_totalprice").cast(schemas.MONEY)
-    return table(spark, sf_dir, "orders").select(
+    return fact_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"),
         (F.col("o_custkey") % 25).alias("province_id"),
         F.col("o_orderstatus").alias("order_status"),
@@ -101,7 +111,7 @@ def order_infos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("l_extendedprice").cast(schemas.MONEY)
-    return table(spark, sf_dir, "lineitem").select(
+    return fact_table(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
@@ -118,7 +128,7 @@ def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 def payment_infos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per order, up to twenty minutes after it."""
     paid = F.timestamp_add("SECOND", F.col("o_orderkey") % 1200, F.col("o_orderdate"))
-    return table(spark, sf_dir, "orders").select(
+    return fact_table(spark, sf_dir, "orders").select(
         (F.col("o_orderkey") + 1_000_000).alias("id"),
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
@@ -188,7 +198,7 @@ def change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     gone = (status == "P") & (F.col("o_orderpriority") == "5-LOW")
     op = F.when(gone, "d").when(status == "P", "r").when(status == "F", "u").otherwise("c")
-    orders = table(spark, sf_dir, "orders").select(
+    orders = fact_table(spark, sf_dir, "orders").select(
         *_message(
             "srv.shop.order_info",
             op,
@@ -263,7 +273,7 @@ def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     full = _image(
         id=F.col("o_custkey"), last_order=F.col("o_orderkey"), urgent=F.col("o_orderpriority")
     )
-    return table(spark, sf_dir, "orders").select(
+    return fact_table(spark, sf_dir, "orders").select(
         F.when(finished, short).otherwise(full).alias("data"), F.col("o_orderkey").alias("seq")
     )
 
