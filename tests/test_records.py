@@ -63,3 +63,17 @@ def test_names(spark):
     assert records.split_columns("a,b ,c,,") == ["a", "b ", "c"]
     df = records.rename_lower_camel(records.as_strings(spark.createDataFrame([(1, True)], "user_id int, is_ok boolean")))
     assert df.dtypes == [("userId", "string"), ("isOk", "string")] and df.first()["userId"] == "1"
+
+
+def test_quoted_numbers(spark):
+    schema = schemas.PAYMENT_INFO
+    good = {"id": "12", "order_id": 5, "total_amount": "7.25", "user_id": "", "subject": 9}
+    (r,) = records.parse_strict(lines(spark, [good]), schema).collect()
+    assert (r["id"], r["order_id"], str(r["total_amount"]), r["user_id"], r["subject"]) == (12, 5, "7.25", None, "9")
+    for bad in ({**good, "id": "x"}, {**good, "total_amount": "7,25"}, {**good, "id": {"a": 1}}):
+        assert records.parse_or_drop(lines(spark, [bad, good]), schema).count() == 1
+    nested = {"common": {"mid": "m"}, "page": {"during_time": "31"}, "ts": "5"}
+    (r,) = records.parse_strict(lines(spark, [nested]), schemas.page_schema()).collect()
+    assert (r["page"]["during_time"], r["ts"], r["displays"]) == (31, 5, None)
+    assert records.parse_strict(lines(spark, [{"ts": 1}]), schemas.page_schema()).first()["page"] is None
+    assert records.parse_or_drop(lines(spark, [{"page": {"during_time": "x"}}]), schemas.page_schema()).count() == 0

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,19 +15,45 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _text_schema(kind: T.DataType) -> T.DataType:
+    """``kind`` with its numbers read as text, at the top and inside structs."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _text_schema(f.dataType)) for f in kind.fields])
+    return T.StringType() if isinstance(kind, T.NumericType) else kind
+
+
+def _typed(c: Column, kind: T.DataType) -> Column:
+    if kind == _text_schema(kind):
+        return c
+    if isinstance(kind, T.StructType):
+        fields = [_typed(c[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    return c.try_cast(kind)
+
+
+def _fits(c: Column, kind: T.DataType) -> Column:
+    """Whether every number in ``c`` is one; empty text counts as none."""
+    if kind == _text_schema(kind):
+        return F.lit(True)
+    if isinstance(kind, T.StructType):
+        return reduce(and_, [_fits(c[f.name], f.dataType) for f in kind.fields])
+    return c.isNull() | (c == "") | c.try_cast(kind).isNotNull()
+
+
 def parse_object(df: DataFrame, schema: T.StructType, value: str = "value", into: str = "record") -> DataFrame:
     """Add ``into`` (struct) and ``<into>_ok`` (boolean) from the JSON text ``value``.
 
     A row is fine when its text is exactly one JSON object that fits the schema.
     Spark's parser stops after the first value and so would take text with a
     tail; wrapping the line as the only element of an array exposes that.
+    Numbers may be quoted, as in records made of text maps.
 
     The result comes out of a generator on purpose: the optimizer does not move
     filters or copies of an expression through one, so a text is parsed once
     however often its fields are used.
     """
     wrapped = T.StructType(
-        [T.StructField("r", T.ArrayType(schema)), T.StructField("_bad", T.StringType())]
+        [T.StructField("r", T.ArrayType(_text_schema(schema))), T.StructField("_bad", T.StringType())]
     )
     parsed = F.from_json(
         F.concat(F.lit('{"r":['), _col(value), F.lit("]}")),
@@ -34,9 +62,10 @@ def parse_object(df: DataFrame, schema: T.StructType, value: str = "value", into
     )
 
     def outcome(p: Column) -> Column:
-        one = p["_bad"].isNull() & (F.size(p["r"]) == 1) & F.get(p["r"], F.lit(0)).isNotNull()
+        first = F.get(p["r"], F.lit(0))
+        one = p["_bad"].isNull() & (F.size(p["r"]) == 1) & first.isNotNull() & _fits(first, schema)
         return F.struct(
-            F.get(p["r"], F.lit(0)).alias(into), F.coalesce(one, F.lit(False)).alias(f"{into}_ok")
+            _typed(first, schema).alias(into), F.coalesce(one, F.lit(False)).alias(f"{into}_ok")
         )
 
     return df.select("*", F.inline(F.transform(F.array(parsed), outcome)))

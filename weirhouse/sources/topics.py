@@ -48,7 +48,7 @@ def read_topic(spark: SparkSession, spec: TopicSpec, streaming: bool = True) ->
     """The topic's messages as text in ``value``, with ``part`` and ``offset``.
 
     The two identify a message: Kafka's partition and offset, or a file and a
-    row of it.
+    row of it, where files sort by the time they were written.
     """
     reader = spark.readStream if streaming else spark.read
     if spec.path:
@@ -64,7 +64,11 @@ def read_topic(spark: SparkSession, spec: TopicSpec, streaming: bool = True) ->
             rows = rows.filter(F.col("topic") == spec.name)
         return rows.select(
             "value",
-            F.col("_metadata.file_path").alias("part"),
+            F.concat_ws(
+                " ",
+                F.lpad(F.unix_millis("_metadata.file_modification_time").cast("string"), 15, "0"),
+                F.col("_metadata.file_path"),
+            ).alias("part"),
             F.col("_metadata.row_index").alias("offset"),
         )
     rows = reader.format("kafka").option("subscribe", spec.name).options(**spec.kafka_options()).load()

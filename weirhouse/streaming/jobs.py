@@ -8,7 +8,7 @@ Every stage reads and writes topics, so the jobs run, fail and restart alone.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +60,12 @@ def keep_dirty_logs(
     return write_topic(dirty, sink, checkpoint).trigger(**trigger).start()
 
 
+def rules_of_topic(spark: SparkSession, source: TopicSpec) -> DataFrame:
+    """The rules in force, from a topic of change envelopes of the rule table."""
+    changes = cdc.parse_changes(read_topic(spark, source, streaming=False))
+    return routing.latest_rules(routing.rule_changes(changes, ARRIVAL), ARRIVAL)
+
+
 def route_changes(
     spark: SparkSession,
     source: TopicSpec,
@@ -199,8 +205,3 @@ def count_visitors(
         .start()
     )
 
-
-def run_all(queries: Sequence[StreamingQuery]) -> None:
-    """Wait for bounded queries to end; the first failure is raised."""
-    for query in queries:
-        query.awaitTermination()
