@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +32,11 @@ def get_spark(app: str = "weirhouse", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+@cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="weirhouse-")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder path every executor can reach.
 
@@ -42,6 +48,5 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="weirhouse-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
