@@ -13,8 +13,9 @@ def spark(tmp_path_factory):
     session = get_spark(
         "weirhouse-tests",
         master="local[8]",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="6g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )

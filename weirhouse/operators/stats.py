@@ -85,8 +85,9 @@ def visitor_stats(
     within_ms: int = 10_000,
     order: Sequence[str] = ("ts", "seq"),
     unique_mode: str = "day",
+    slice_ms: int | None = None,
 ) -> DataFrame:
-    """Page logs to visitor statistics in one batch plan."""
+    """Page logs to visitor statistics in one batch plan; ``slice_ms`` as in ``bounces``."""
     unique = visits.unique_visits(pages, unique_mode, order)
-    bounced = visits.bounces(pages, within_ms, order)
+    bounced = visits.bounces(pages, within_ms, order, slice_ms)
     return windowed(union_measures(pages, unique, bounced), size)

@@ -57,6 +57,11 @@ def _fixed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.correct_new_visitors(land(_good_logs(spark, sf_dir), "good-logs"))
 
 
+def _bounces(pages: DataFrame) -> DataFrame:
+    """Six hours' wait in hour slices: even a dominant visitor falls into many groups."""
+    return visits.bounces(pages, WITHIN_MS, slice_ms=HOUR_MS)
+
+
 def _dense_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with time running 3600 times slower: an hour becomes a second."""
     return tb.pages(spark, sf_dir).withColumn("ts", times.slot_of("ts", 3600))
@@ -147,9 +152,7 @@ def unique_visit_literal(spark, sf_dir):
 
 @query
 def bounce(spark, sf_dir):
-    """Six hours' wait with hour slices: slices are shorter than the wait."""
-    found = visits.bounces(tb.pages(spark, sf_dir), WITHIN_MS, slice_ms=HOUR_MS)
-    return _flat_pages(found, "seq", "mid", "ts")
+    return _flat_pages(_bounces(tb.pages(spark, sf_dir)), "seq", "mid", "ts")
 
 
 @query
@@ -160,7 +163,7 @@ def bounce_ten_seconds(spark, sf_dir):
 @query
 def visitor_measures(spark, sf_dir):
     pages = tb.pages(spark, sf_dir)
-    return stats.union_measures(pages, visits.unique_visits(pages), visits.bounces(pages, WITHIN_MS))
+    return stats.union_measures(pages, visits.unique_visits(pages), _bounces(pages))
 
 
 @query
@@ -170,14 +173,14 @@ def page_windows(spark, sf_dir):
 
 @query
 def visitor_stats(spark, sf_dir):
-    return stats.visitor_stats(tb.pages(spark, sf_dir), WINDOW, WITHIN_MS)
+    return stats.visitor_stats(tb.pages(spark, sf_dir), WINDOW, WITHIN_MS, slice_ms=HOUR_MS)
 
 
 @query
 def visitor_stats_from_logs(spark, sf_dir):
     """The whole way: raw lines, clean, correct, split, measure, window."""
     pages = land(logs.page_logs(_fixed_logs(spark, sf_dir)), "page-logs")
-    return stats.visitor_stats(pages, WINDOW, WITHIN_MS)
+    return stats.visitor_stats(pages, WINDOW, WITHIN_MS, slice_ms=HOUR_MS)
 
 
 @query
@@ -403,7 +406,7 @@ def stream_visitor_stats(spark, sf_dir):
     inputs = {
         "pages": pages,
         "unique": visits.unique_visits(pages),
-        "bounced": visits.bounces(pages, WITHIN_MS),
+        "bounced": _bounces(pages),
     }
     replay = rp.Replay(spark, "visitor-stats")
     slices = rp.with_sentinel(rp.time_slices({n: (df, "ts") for n, df in inputs.items()}, 2), pages)
