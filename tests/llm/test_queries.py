@@ -84,7 +84,11 @@ def test_lm(spark, docs):
     want = sorted(brute.unigrams(docs))
     assert [r[:5] for r in got] == [r[:5] for r in want]
     assert all(g[5] == pytest.approx(w[5], rel=1e-9) for g, w in zip(got, want, strict=True))
-    assert sum(r[6] for r in got if r[1]) > sum(r[5] for r in got if r[1])
+
+
+def test_lm_beats_the_base_on_held_out_documents(spark):
+    held = Q["op7_lm_score"](spark, "/root/testdata/sf0.01").where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
+    assert held["sum(score)"] > held["sum(base_score)"]
 
 
 def test_toxicity(spark):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirhouse.llm import chat, decontam, license_scan, line_dedup, packing, repetition, token_store, toxicity
+from weirhouse.llm import chat, ctw, decontam, license_scan, line_dedup, near_dup, packing, repetition, token_store, toxicity
 from weirhouse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,13 @@ def op10_repetition(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "covered_fraction", "longest_repeat",
     )
+
+
+@query
+def op9_near_dup(spark, sf_dir):
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_lm_score(spark, sf_dir):
+    return ctw.score(table(spark, sf_dir, "documents"))
