@@ -7,11 +7,12 @@ random order.  Documents with equal sets form a class, and only classes go on.
 
 Bands of four registers bring classes together in groups.  Inside a group, similarity is
 estimated from equal registers, corrected for chance collisions.  In round t every class proposes its
-4^t most similar partners of other components whose estimate comes within four standard errors of the
-threshold; proposals are checked once, exactly, on the full sets.  Links found merge components;
-groups with further candidates go on to the next round until none is left, so no link between
-candidates is lost, while a tight group of m classes checks about m pairs, not m squared.
-A pair at the threshold shares a band with a probability of 1 - 5e-6.
+8^t most similar partners of other components whose estimate comes within four standard errors of the
+threshold (two, once its best eight were tried); proposals are checked once, exactly, on the full
+sets.  Links found merge components; groups with further candidates go on to the next round until
+none is left, so a tight group of m classes checks about m pairs, not m squared.  A pair
+at the threshold shares a band with a probability of 1 - 5e-6.  It can be missed only if it does not, or if its
+estimate is low, it is not among its class's best eight, and nothing else links the two components.
 
 Skew: exact copies are collapsed with partial sums.  A group larger than ``block`` is split in
 blocks, and each pair of blocks is a task of its own.  Components are label joins on written tables.
@@ -41,9 +42,10 @@ BAND = 4
 MANTISSA = 10
 VALUE_BITS = 57
 SLICE_BYTES = 4 << 20
-BLOCK = 8192
+BLOCK = 2048
+MARKS = 1 << 20
 SIGN_SCHEMA = "doc_id long, n_shingles long, digest1 long, digest2 long, registers binary"
-GROUP_COLUMNS = ["key", "left", "right", "block", "rep", "n", "registers", "component"]
+GROUP_COLUMNS = ["key", "band", "left", "right", "block", "rep", "n", "registers", "component"]
 _U = np.uint64
 
 
@@ -55,6 +57,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
+#: Up to so many partners are tried at four standard errors, later ones at two.
+SURE = GROWTH = 8
 MULTIPLIERS = _mix(np.arange(1, SHINGLE + 2, dtype=np.uint64)) | _U(1)
 _tries = _mix(np.arange(REGISTERS * 64, dtype=np.uint64) + _U(99)).reshape(REGISTERS, 64) % _U(REGISTERS)
 #: Where an empty bucket borrows from: random tries, then all buckets in order.
@@ -144,7 +148,8 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             keys = band_keys(_matrix(batch.column("registers")))
-            yield pa.record_batch({"key": pa.array(keys.ravel()), "rep": batch.column("rep").take(pa.array(np.repeat(np.arange(len(keys)), keys.shape[1])))})
+            band = np.tile(np.arange(keys.shape[1], dtype=np.int32), len(keys))
+            yield pa.record_batch({"key": pa.array(keys.ravel()), "band": pa.array(band), "rep": batch.column("rep").take(pa.array(np.repeat(np.arange(len(keys)), keys.shape[1])))})
 
 
 #: Chance that registers of different values agree: same zeros (about 1 in 3) and mantissa.
@@ -168,14 +173,18 @@ def candidates(rows: dict[str, np.ndarray], most: int, pair: tuple[int, int]) ->
         for j in range(REGISTERS):
             equal += regs[a, j][:, None] == regs[right, j][None, :]
         small, large = np.minimum(n[a][:, None], n[right][None, :]), np.maximum(n[a][:, None], n[right][None, :])
-        slack = 4 * np.sqrt(least * (1 - least) / np.minimum(small, REGISTERS))
+        slack = (4 if most <= SURE else 2) * np.sqrt(least * (1 - least) / np.minimum(small, REGISTERS))
         fits = (estimate(equal) >= least - slack) & (100 * small >= PERCENT * large) & (comp[a][:, None] != comp[right][None, :])
         equal[~fits] = -1
         keep = min(most, len(right))
         top = np.argpartition(-equal, keep - 1, axis=1)[:, :keep]
         i, j = np.nonzero(np.take_along_axis(equal, top, axis=1) >= 0)
-        out_a.append(rows["rep"][a[i]])
-        out_b.append(rows["rep"][right[top[i, j]]])
+        i, j = a[i], right[top[i, j]]
+        # A pair belongs to the first band that both share, and is proposed there only.
+        shared = (regs[i] == regs[j]).reshape(len(i), REGISTERS // BAND, BAND).all(axis=2)
+        own = shared.argmax(axis=1) == rows["band"][0]
+        out_a.append(rows["rep"][i[own]])
+        out_b.append(rows["rep"][j[own]])
         more |= bool((fits.sum(axis=1) > keep).any())
     if not out_a:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), False
@@ -264,12 +273,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _blocks(bands: DataFrame, block: int) -> DataFrame:
-    """(key, left, right, block, rep): groups of two classes or more, cut in pairs of blocks."""
+    """(key, band, left, right, block, rep): groups of two classes or more, cut in pairs of blocks."""
     sizes = bands.groupBy("key").count().where(F.col("count") > 1)
     n = F.ceil(F.col("count") / block)
-    member = bands.join(sizes, "key").select("key", "rep", n.alias("n_blocks"), F.pmod(F.xxhash64("rep"), n).alias("block"))
+    member = bands.join(sizes, "key").select("key", "band", "rep", n.alias("n_blocks"), F.pmod(F.xxhash64("rep"), n).alias("block"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))
-    return member.select("key", "rep", "block", other.alias("other")).select("key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "rep")
+    return member.select("key", "band", "rep", "block", other.alias("other")).select("key", "band", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "rep")
 
 
 def links(docs: DataFrame, signed: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -278,9 +287,13 @@ def links(docs: DataFrame, signed: DataFrame, block: int = BLOCK) -> tuple[DataF
     grouped = some.groupBy("n_shingles", "digest1", "digest2").agg(F.min("doc_id").alias("rep"), F.first("registers").alias("registers"))
     classes = write_once(grouped.select("rep", F.col("n_shingles").alias("n"), "digest1", "digest2", "registers"), "classes")
     leaders = classes.groupBy("rep", "n", "registers").agg(F.lit(1)).select("rep", "n", "registers")
-    bands = classes.select("rep", "registers").mapInArrow(_bands, "key long, rep long")
+    bands = classes.select("rep", "registers").mapInArrow(_bands, "key long, band int, rep long")
     members = write_once(_blocks(bands, block).join(leaders, "rep"), "members")
-    node_sets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    needed = members.select(F.col("rep").alias("doc_id")).distinct()
+    mark = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)).alias("mark")
+    marks = F.broadcast(needed.select(mark).distinct())  # at most MARKS numbers: spares most texts the shuffle
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    node_sets = texts.withColumn("mark", mark).join(marks, "mark", "left_semi").select("doc_id", "text").join(needed, "doc_id", "left_semi")
     sets = write_once(node_sets.mapInArrow(_sets, "rep long, set binary"), "sets")
 
     tested, edges, found, most, active = None, None, None, 1, members
@@ -304,7 +317,7 @@ def links(docs: DataFrame, signed: DataFrame, block: int = BLOCK) -> tuple[DataF
         more = proposed.where(F.col("a") < 0).select(F.col("more").alias("key")).distinct()
         if more.isEmpty():
             return classes.select("rep", "n", "digest1", "digest2"), found
-        active, most = active.join(more, "key", "left_semi"), most * 4
+        active, most = write_once(active.join(more, "key", "left_semi"), "active"), most * GROWTH
 
 
 def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
