@@ -11,7 +11,8 @@ once per block and the spans of all blocks are merged per document.  Nothing is
 benchmark of one block, and no document leaves its task.
 
 Null, empty and word-less texts have no words and no hits; items without words have no windows.
-Each row is looked at by itself, repeated or not.  Repeated item ids count once.
+Each row is looked at by itself, repeated or not.  Repeated item ids count once; a null
+item id is the empty text.
 """
 
 from __future__ import annotations
