@@ -77,3 +77,16 @@ def test_quoted_numbers(spark):
     assert (r["page"]["during_time"], r["ts"], r["displays"]) == (31, 5, None)
     assert records.parse_strict(lines(spark, [{"ts": 1}]), schemas.page_schema()).first()["page"] is None
     assert records.parse_or_drop(lines(spark, [{"page": {"during_time": "x"}}]), schemas.page_schema()).count() == 0
+
+
+def test_text_that_closes_its_own_wrapping_is_dirty(spark):
+    good = '{"common":{"mid":"m"},"ts":3}'
+    schema = T.StructType.fromDDL("common struct<mid string>, ts bigint")
+    rows = spark.createDataFrame([(good,), (good + '],"x":[1',), (good + '},"y":{"x":1',), (good + "," + good,)], "value string")
+    assert [r.record_ok for r in records.parse_object(rows, schema).collect()] == [True, False, False, False]
+
+
+def test_money_with_more_digits_than_it_keeps_does_not_fit(spark):
+    schema = T.StructType.fromDDL("amount decimal(18,2)")
+    rows = spark.createDataFrame([('{"amount":"12.345"}',), ('{"amount":12.340}',), ('{"amount":null}',)], "value string")
+    assert [r.record_ok for r in records.parse_object(rows, schema).collect()] == [False, True, True]

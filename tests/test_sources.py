@@ -163,7 +163,7 @@ def test_jdbc_options(spark, monkeypatch):
     monkeypatch.setattr(jdbc, "sink_rows", lambda *a: type("Rows", (), {"write": rec}))
     jdbc.write_jdbc(df, "jdbc:x", "visitor_stats", ["a"], driver="d.D", options={"user": "u"})
     assert rec.saved and rec.options_seen == {
-        "url": "jdbc:x", "dbtable": "visitor_stats", "batchsize": 5, "user": "u", "driver": "d.D"}
+        "url": "jdbc:x", "dbtable": "visitor_stats", "batchsize": 1000, "user": "u", "driver": "d.D"}
     rec = Recorder()
     rec.load = lambda: df.withColumnRenamed("a", "user_id")
     out = jdbc.read_jdbc(type("S", (), {"read": rec}), "jdbc:x", "select 1", camel_case=True)

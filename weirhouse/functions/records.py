@@ -37,7 +37,10 @@ def _fits(c: Column, kind: T.DataType) -> Column:
         return F.lit(True)
     if isinstance(kind, T.StructType):
         return reduce(and_, [_fits(c[f.name], f.dataType) for f in kind.fields])
-    return c.isNull() | (c == "") | c.try_cast(kind).isNotNull()
+    number = c.try_cast(kind)
+    if isinstance(kind, T.DecimalType):  # a number with more digits than the type keeps does not fit
+        return c.isNull() | (c == "") | F.coalesce(number == c.try_cast(T.DecimalType(38, 18)), F.lit(False))
+    return c.isNull() | (c == "") | number.isNotNull()
 
 
 def parse_object(df: DataFrame, schema: T.StructType, value: str = "value", into: str = "record") -> DataFrame:
@@ -45,7 +48,9 @@ def parse_object(df: DataFrame, schema: T.StructType, value: str = "value", into
 
     A row is fine when its text is exactly one JSON object that fits the schema.
     Spark's parser stops after the first value and so would take text with a
-    tail; wrapping the line as the only element of an array exposes that.
+    tail; wrapping the line as the only element of an array exposes that.  A text
+    may close the array itself, so it must parse inside an object as well: no
+    text can close both.
     Numbers may be quoted, as in records made of text maps.
 
     The result comes out of a generator on purpose: the optimizer does not move
@@ -56,7 +61,7 @@ def parse_object(df: DataFrame, schema: T.StructType, value: str = "value", into
         [T.StructField("r", T.ArrayType(_text_schema(schema))), T.StructField("_bad", T.StringType())]
     )
     parsed = F.from_json(
-        F.concat(F.lit('{"r":['), _col(value), F.lit("]}")),
+        F.concat(F.lit('{"r":['), _col(value), F.lit('],"s":{"x":'), _col(value), F.lit("}}")),
         wrapped,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"},
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirhouse import schemas
-from weirhouse.functions import records, sizes
+from weirhouse.functions import records
 
 # Sink kinds a rule may name; rows for the last one go nowhere.
 SINK_STORE = "hbase"
@@ -67,8 +67,9 @@ def latest_rules(rows: DataFrame, order: Sequence[str]) -> DataFrame:
 def attach_rules(changes: DataFrame, rules: DataFrame, how: str = "inner") -> DataFrame:
     """Add the sink of each change and cut its data to the rule's columns.
 
-    Column names are compared as written, without trimming.  ``rules`` has one
-    row per (table, operation) and is broadcast when a count finds it small.
+    Column names are compared as written, without trimming.  Rows for the store
+    keep their key column in any case.  ``rules`` has one row per (table,
+    operation); Spark picks the join by its statistics.
     Changes without a rule are dropped unless ``how='left'``.
     """
     r = rules.select(
@@ -79,10 +80,11 @@ def attach_rules(changes: DataFrame, rules: DataFrame, how: str = "inner") -> Da
         F.split("sinkColumns", ",").alias("_columns"),
         F.coalesce("sinkPk", F.lit("id")).alias("sinkPk"),
     )
-    keep = F.map_filter("data", lambda k, _: F.array_contains("_columns", k))
+    is_key = lambda k: (F.col("sinkType") == SINK_STORE) & (k == F.col("sinkPk"))
+    keep = F.map_filter("data", lambda k, _: F.array_contains("_columns", k) | F.coalesce(is_key(k), F.lit(False)))
     return (
         changes.join(
-            sizes.broadcast_if_small(r), (F.col("tableName") == F.col("_table")) & (F.col("type") == F.col("_type")), how
+            r, (F.col("tableName") == F.col("_table")) & (F.col("type") == F.col("_type")), how
         )
         .withColumn("data", F.when(F.col("_columns").isNull(), F.col("data")).otherwise(keep))
         .drop("_table", "_type", "_columns")

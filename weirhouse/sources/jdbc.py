@@ -55,7 +55,7 @@ def write_jdbc(
     table: str,
     columns: Sequence[str],
     exclude: Sequence[str] = (),
-    batch_size: int = 5,
+    batch_size: int = 1000,
     driver: str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> None:
