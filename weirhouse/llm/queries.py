@@ -26,6 +26,26 @@ def op1_line_dedup(spark, sf_dir):
     return found.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+ORACLES["op1_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, pos, string_split(coalesce(text, ''), chr(10))[pos] AS line
+  FROM (SELECT doc_id, text, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS pos FROM documents)
+), keyed AS (
+  SELECT doc_id, pos, line,
+    translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), held AS (
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+), marked AS (
+  SELECT k.doc_id, k.pos, k.line, h.key IS NOT NULL AS gone FROM keyed k LEFT JOIN held h ON k.key = h.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 @query
 def op2_license_scan(spark, sf_dir):
     return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
