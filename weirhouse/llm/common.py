@@ -57,7 +57,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def write_once(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
