@@ -47,6 +47,36 @@ def test_split(spark):
     assert next(v for t, v in rows if t == "p")["displays"] == want
 
 
+def test_whole_records_go_on(spark):
+    rich = {"item": 7, "pos": {"x": [1, None, "a"]}}
+    records = [
+        line(start={"entry": "icon", "ms": 5}, page=None, err={"code": 1.5}),
+        line(displays=[rich, {"page_id": 3}], actions=[{"id": "1"}, 2]),
+        line(is_new="1", ts=2, extra=True),
+        {**line(is_new="1", ts=3, extra=[]), "common": {"mid": "m", "is_new": "1", "os": {"v": "9"}, "uid": 12}},
+        {**line(), "page": {"page_id": "p", "during_time": "long", "item": "i"}},
+    ]
+    twice = '{"common":{"mid":"m","mid":"m","is_new":"0"},"page":{"page_id":"q"},"ts":9}'
+    odd = ' {"ts": 9,  "common": {"mid": "m", "is_new": 0, "z": 1.50}, "page": {}}'
+    good = logs.good_logs(logs.clean_logs(lines(spark, [*records, twice, odd])), keep_text=True)
+    rows = logs.split_rows(logs.correct_new_visitors(good), "s", "p", "d", text="value").collect()
+    out = {t: [json.loads(r["value"]) for r in rows if r["topic"] == t] for t in "spd"}
+    assert out["s"] == records[:1]
+    shown = [{**rich, "page_id": "p"}, {"page_id": "p"}]
+    assert out["d"] == shown
+    want = [
+        {**records[1], "displays": shown},
+        records[2],
+        {**records[3], "common": {**records[3]["common"], "is_new": "0"}},
+        {**records[4], "page": {"page_id": "p", "item": "i"}},
+        json.loads(odd),
+    ]
+    key = lambda r: json.dumps(r, sort_keys=True)
+    assert sorted((r for r in out["p"] if r["page"].get("page_id") != "q"), key=key) == sorted(want, key=key)
+    assert sum(r["page"].get("page_id") == "q" for r in out["p"]) == 1
+    assert odd in [r["value"] for r in rows]  # an unchanged line stays as it is
+
+
 def test_new_visitor_flag(spark):
     df = pages(spark, [
         page("a", 1, 1, is_new="0"), page("a", 2, 2, is_new="1"), page("a", 2, 3, is_new="1"),

@@ -93,8 +93,8 @@ def to_record(df: DataFrame, value: str = "value") -> DataFrame:
     return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias(value))
 
 
-def put(m: Column, key: str, value: Column) -> Column:
-    """``m`` with ``key`` set.
+def put(m: Column, key: str, value: Column, kind: str = "string") -> Column:
+    """``m``, whose values are of ``kind``, with ``key`` set.
 
     A parsed map may hold a key twice, which Spark's map builders reject; the
     last one wins here.
@@ -105,7 +105,7 @@ def put(m: Column, key: str, value: Column) -> Column:
         lambda e, i: (e["key"] != F.lit(key))
         & (F.size(keys) - F.array_position(F.reverse(keys), e["key"]) == i),
     )
-    entry = F.struct(F.lit(key).alias("key"), value.cast("string").alias("value"))
+    entry = F.struct(F.lit(key).alias("key"), value.cast(kind).alias("value"))
     return F.map_from_entries(F.concat(kept, F.array(entry)))
 
 

@@ -35,8 +35,10 @@ def clean_logs(lines: DataFrame, schema: T.StructType | None = None, value: str
     )
 
 
-def good_logs(cleaned: DataFrame, value: str = "value") -> DataFrame:
-    return cleaned.filter(~F.col("dirty")).drop("dirty", value)
+def good_logs(cleaned: DataFrame, value: str = "value", keep_text: bool = False) -> DataFrame:
+    """The clean rows; ``keep_text`` leaves the raw line in, for ``split_rows``."""
+    good = cleaned.filter(~F.col("dirty")).drop("dirty")
+    return good if keep_text else good.drop(value)
 
 
 def dirty_logs(cleaned: DataFrame, value: str = "value") -> DataFrame:
@@ -101,11 +103,41 @@ def display_logs(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return pages.select(*keep, F.explode("displays").alias("display"))
 
 
-def split_rows(logs: DataFrame, start: str, page: str, display: str) -> DataFrame:
+_FIELDS = "map<string,variant>"
+
+
+def _whole_records(logs: DataFrame, text: str) -> DataFrame:
+    """Adds ``_whole`` and ``_shown``: the line's whole record and displays as JSON, whatever else they
+    hold.  Only what the split changes differs from the line; an unchanged line stays as it is."""
+    page_id, flag = F.col("page.page_id"), F.col("common.is_new")
+    # Out of a generator, so that the text is parsed once; null where an inner object repeats a key.
+    rows = logs.select("*", F.inline(F.array(F.struct(F.try_parse_json(text).alias("_v")))))
+    part = lambda path, kind=_FIELDS: F.try_variant_get("_v", path, kind)
+    top = part("$")
+    common = records.put(part("$.common"), "is_new", flag, "variant")
+    page = F.map_filter(part("$.page"), lambda k, _: k != "during_time")
+    shown = F.transform(part("$.displays", f"array<{_FIELDS}>"), lambda d: records.put(d, "page_id", page_id, "variant"))
+    new_flag = ~part("$.common.is_new", "string").eqNullSafe(flag)
+    no_number = F.col("page.during_time").isNull() & F.coalesce(F.length(part("$.page.during_time", "string")) > 0, F.lit(False))
+    tagged = ~is_start(logs) & F.coalesce(F.size(shown) > 0, F.lit(False))
+    for changed, key, new in ((new_flag, "common", common), (no_number, "page", page), (tagged, "displays", shown)):
+        top = F.when(changed, records.put(top, key, F.to_variant_object(new), "variant")).otherwise(top)
+    whole = F.when(new_flag | no_number | tagged, F.to_json(top)).otherwise(F.col(text))
+    known = F.col("_v").isNotNull()
+    return rows.withColumns(
+        {"_whole": F.when(known, whole), "_shown": F.when(known, F.transform(shown, lambda d: F.to_json(d)))}
+    ).drop("_v")
+
+
+def split_rows(logs: DataFrame, start: str, page: str, display: str, text: str | None = None) -> DataFrame:
     """All three outputs in one pass: rows of target ``topic`` and JSON ``value``.
 
     ``logs`` are good, corrected logs; the names are those of the target topics.
+    With ``text``, the column of the raw lines, the whole records go on, with fields this package does not
+    know and with their JSON types; else, and where an inner object of a line repeats a key, the known fields do.
     """
+    if text is not None:
+        logs = _whole_records(logs, text)
     tagged = F.transform("displays", lambda d: records.put(d, "page_id", F.col("page.page_id")))
     first = logs.withColumn("_start", is_start(logs)).withColumn(
         "displays",
@@ -113,11 +145,11 @@ def split_rows(logs: DataFrame, start: str, page: str, display: str) -> DataFram
     )
     fields = [c for c in ("common", "page", "displays", "start", "ts") if c in logs.columns]
     whole = F.to_json(F.struct(*fields))
+    each = F.transform(F.coalesce("displays", F.array().cast("array<map<string,string>>")), lambda d: F.to_json(d))
+    if text is not None:
+        whole, each = F.coalesce("_whole", whole), F.coalesce("_shown", each)
     to = lambda topic, value: F.struct(F.lit(topic).alias("topic"), value.alias("value"))
-    shown = F.transform(
-        F.coalesce("displays", F.array().cast("array<map<string,string>>")),
-        lambda d: to(display, F.to_json(d)),
-    )
+    shown = F.transform(each, lambda d: to(display, d))
     rows = F.when(F.col("_start"), F.array(to(start, whole))).otherwise(
         F.concat(F.array(to(page, whole)), shown)
     )

@@ -127,6 +127,22 @@ def split_to_topics(spark, sf_dir):
     return out
 
 
+@query
+def record_passthrough(spark, sf_dir):
+    """Fields that no schema names, through clean, correction and split."""
+    cleaned = logs.clean_logs(tb.rich_log_lines(spark, sf_dir))
+    good = land(logs.good_logs(cleaned, keep_text=True), "whole-logs")
+    names = ("dwd_start_log", "dwd_page_log", "dwd_display_log")
+    rows = logs.split_rows(logs.correct_new_visitors(good), *names, text="value")
+    leaves = {
+        "mid": "common.mid", "is_new": "common.is_new", "os": "common.os", "uid": "common.uid", "ts": "ts",
+        "entry": "start.entry", "loading": "start.loading", "code": "err.code", "page_item": "page.item",
+        "during_time": "page.during_time", "item": "item", "x": "pos.x", "shown_on": "page_id",
+        "first_x": "displays[0].pos.x", "first_on": "displays[0].page_id",
+    }
+    return rows.select("topic", *[F.get_json_object("value", f"$.{path}").alias(n) for n, path in leaves.items()])
+
+
 # -- visits and statistics ----------------------------------------------------
 
 

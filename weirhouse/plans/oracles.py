@@ -247,6 +247,25 @@ SELECT 'dwd_start_log' AS topic, {_START_LINE} AS value FROM fixed WHERE page_id
 UNION ALL SELECT 'dwd_page_log', {_PAGE_LINE} FROM fixed WHERE page_id <> 'error'
 UNION ALL SELECT 'dwd_display_log', {_display(1, True)} FROM fixed WHERE page_id = 'click'
 UNION ALL SELECT 'dwd_display_log', {_display(2, True)} FROM fixed WHERE page_id = 'click'""",
+    "record_passthrough": f"""
+WITH {_EVENTS},
+rich AS (
+  SELECT * REPLACE (CASE WHEN is_new = '1' AND
+             row_number() OVER (PARTITION BY mid, is_new ORDER BY ts, seq) = 1 THEN '1' ELSE '0' END AS is_new,
+           CAST(k AS VARCHAR) AS k, CAST(ts AS VARCHAR) AS ts, CAST(during_time AS VARCHAR) AS during_time),
+         k AS n, 'os' || (k % 3) AS os, CAST(k % 7 AS VARCHAR) AS code
+  FROM ev)
+SELECT 'dwd_start_log' AS topic, mid, is_new, os, k AS uid, ts, 'icon' AS entry, k AS loading, code,
+       NULL AS page_item, NULL AS during_time, NULL AS item, NULL AS x, NULL AS shown_on, NULL AS first_x, NULL AS first_on
+FROM rich WHERE page_id = 'error'
+UNION ALL
+SELECT 'dwd_page_log', mid, is_new, os, k, ts, NULL, NULL, code, k, during_time, NULL, NULL, NULL,
+       CASE WHEN page_id = 'click' THEN '1' END, CASE WHEN page_id = 'click' THEN page_id END
+FROM rich WHERE page_id <> 'error'
+UNION ALL
+SELECT 'dwd_display_log', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       CAST(n + x AS VARCHAR), CAST(x AS VARCHAR), page_id, NULL, NULL
+FROM rich, (VALUES (1), (2)) t(x) WHERE page_id = 'click'""",
     "entry_pages": f"""
 WITH {_EVENTS}
 SELECT seq, CAST(coalesce(last_page_id, '') = '' AS BIGINT) AS entry,

@@ -81,6 +81,23 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.when(is_error & (k % 2 == 1), broken).otherwise(text).alias("value"), "seq")
 
 
+def rich_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a log line that holds more than the known fields: objects, numbers, nested displays."""
+    e, k = _events(spark, sf_dir), F.col("k")
+    is_error = F.col("page.page_id") == "error"
+    common = F.col("common").withField("os", F.concat(F.lit("os"), k % 3)).withField("uid", k)
+    display = lambda n: F.struct((k + n).alias("item"), F.struct(F.lit(n).alias("x")).alias("pos"))
+    record = F.struct(
+        common.alias("common"),
+        F.when(~is_error, F.col("page").withField("item", k)).alias("page"),
+        F.when(F.col("page.page_id") == "click", F.array(display(1), display(2))).alias("displays"),
+        F.when(is_error, F.struct(F.lit("icon").alias("entry"), k.alias("loading"))).alias("start"),
+        F.struct((k % 7).alias("code")).alias("err"),
+        "ts",
+    )
+    return e.select(F.to_json(record).alias("value"), "seq")
+
+
 def order_infos(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = F.col("o_totalprice").cast(schemas.MONEY)
     return table(spark, sf_dir, "orders").select(

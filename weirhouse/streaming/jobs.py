@@ -46,9 +46,10 @@ def split_logs(
 ) -> StreamingQuery:
     """Raw lines to start, page and display topics, with the new-visitor flag corrected."""
     state.use_rocksdb(spark)
-    good = log_ops.good_logs(log_ops.clean_logs(read_topic(spark, source)))
+    good = log_ops.good_logs(log_ops.clean_logs(read_topic(spark, source)), keep_text=True)
     fixed = state.correct_new_visitors(good, ORDER)
-    return write_topic(log_ops.split_rows(fixed, start, page, display), sink, checkpoint).trigger(**trigger).start()
+    rows = log_ops.split_rows(fixed, start, page, display, text="value")
+    return write_topic(rows, sink, checkpoint).trigger(**trigger).start()
 
 
 def keep_dirty_logs(
@@ -99,11 +100,7 @@ def route_changes(
 
 def _pages(spark: SparkSession, source: TopicSpec) -> DataFrame:
     rows = records.parse_object(read_topic(spark, source), schemas.page_schema()).filter("record_ok")
-    return rows.select("record.*", *ARRIVAL)
-
-
-def _page_records(rows: DataFrame) -> DataFrame:
-    return records.to_record(rows.select(*schemas.page_schema().names))
+    return rows.select("record.*", "value", *ARRIVAL)  # the text goes on whole
 
 
 def find_unique_visits(
@@ -118,7 +115,7 @@ def find_unique_visits(
     state.use_rocksdb(spark)
     find = {"day": state.first_visits_of_day, "literal": state.literal_visits}[mode]
     found = find(_pages(spark, pages), order=ORDER, lateness=lateness)
-    return write_topic(_page_records(found), sink, checkpoint).trigger(**trigger).start()
+    return write_topic(found.select("value"), sink, checkpoint).trigger(**trigger).start()
 
 
 def find_bounces(
@@ -132,7 +129,7 @@ def find_bounces(
 ) -> StreamingQuery:
     state.use_rocksdb(spark)
     found = state.bounces(_pages(spark, pages), within_ms, ORDER, lateness)
-    return write_topic(_page_records(found), sink, checkpoint).trigger(**trigger).start()
+    return write_topic(found.select("value"), sink, checkpoint).trigger(**trigger).start()
 
 
 def widen_orders(
