@@ -37,16 +37,27 @@ def test_changes_to_wide_payments(spark, tmp_path):
     rules += [rule(n, "kafka", f"dwd_{n}", ",".join(row)) for n, row in facts.items()]
     spark.createDataFrame([(r,) for r in rules], "value string").write.mode("append").parquet(s.topic(cli.RULE_CHANGES).path)
     messages = [(f"s.shop.{n}", json.dumps({"op": "c", "after": row})) for n, row in {**dims, **facts}.items()]
+    messages.append(("s.shop.other", json.dumps({"op": "c", "after": {"id": 1}})))
     spark.createDataFrame(messages, "topic string, value string").write.parquet(str(tmp_path / "t" / "connector"))
-    for job in ("sync-changes", "route-changes", "order-wide", "payment-wide"):
+    for job in ("sync-changes", "route-changes", "unrouted-changes", "order-wide", "payment-wide"):
         cli.start(job, s).awaitTermination()
     (row,) = read_topic(spark, s.topic(cli.PAYMENT_WIDE), streaming=False).collect()
     paid = json.loads(row["value"])
     assert paid["payment_id"] == 12 and paid["total_amount"] == 7.25 and paid["user_gender"] == "F"
     assert (paid["province_name"], paid["spu_name"], paid["tm_name"], paid["category3_name"]) == ("P", "spu", "tm", "cat")
+    lost = [json.loads(r["value"]) for r in read_topic(spark, s.topic(cli.UNROUTED), streaming=False).collect()]
+    assert lost == [{"tableName": "other", "type": "insert", "reason": "no rule", "changes": 1}]
     assert jobs.rules_of_topic(spark, s.topic(cli.RULE_CHANGES)).count() == 10
 
 
+def test_dirty_logs(spark, tmp_path):
+    s = cli.Settings(spark, {"root": str(tmp_path / "t"), "checkpoint": str(tmp_path / "ck"), "once": True})
+    good = json.dumps({"common": {"mid": "m"}, "page": {"page_id": "p"}, "ts": 1})
+    spark.createDataFrame([(good,), ("{",)], "value string").write.parquet(s.topic(cli.RAW_LOG).path)
+    cli.start("dirty-logs", s).awaitTermination()
+    assert [r["value"] for r in read_topic(spark, s.topic(cli.DIRTY_LOG), streaming=False).collect()] == ["{"]
+
+
 def test_unknown_job(spark):
     with pytest.raises(SystemExit):
         cli.start("nothing", cli.Settings(spark, {"root": "x", "checkpoint": "y"}))

@@ -69,6 +69,13 @@ def test_route(spark):
     assert lost == {("order", "update"): ("no rule", 1), ("stats", "insert"): ("sink type clickhouse", 1)}
 
 
+def test_changes_without_key_are_counted(spark):
+    r = spark.createDataFrame([("user", "insert", "hbase", "dim_user", "name", "id", None)], schemas.RULE)
+    live = changes(spark, [("user", "insert", {"id": "1", "name": "x"}, None), ("user", "insert", {"name": "y"}, None)])
+    (lost,) = routing.unrouted(live, r).collect()
+    assert (lost["reason"], lost["changes"]) == ("no key", 1)
+
+
 def test_rules_in_force(spark):
     row = lambda table, sink, op="insert": {
         "source_table": table, "operate_type": op, "sink_type": "kafka", "sink_table": sink, "sink_columns": "id"}

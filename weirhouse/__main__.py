@@ -3,7 +3,7 @@
 Settings: ``servers`` (Kafka) or ``root`` (folder of file topics), and
 ``checkpoint``; ``store`` for the dimension tables; ``jdbc`` (``url``, ``table``,
 ``driver``) or ``stats`` (folder) for the visitor statistics; ``cdc_topics``, the
-pattern of the connector's topics; ``once`` to take what is there and stop.
+pattern of the connector's topics; ``groups``, a consumer group by job; ``once`` to take what is there and stop.
 """
 
 from __future__ import annotations
@@ -37,6 +37,10 @@ BOUNCE = "dwm_user_jump_detail"
 ORDER_WIDE = "dwm_order_wide"
 PAYMENT_WIDE = "dwm_payment_wide"
 
+# Names of our own: what the jobs could not pass on.
+DIRTY_LOG = "dirty_log"
+UNROUTED = "unrouted_changes"
+
 # File topics written together by one job share a folder.
 SHARED = {START_LOG: "dwd_log", PAGE_LOG: "dwd_log", DISPLAY_LOG: "dwd_log"}
 SHARED |= {ORDER_INFO: "dwd_db", ORDER_DETAIL: "dwd_db", PAYMENT_INFO: "dwd_db"}
@@ -85,14 +89,24 @@ class Settings:
 
 def start(job: str, s: Settings):
     spark, topic, ck, trigger = s.spark, s.topic, s.checkpoint(job), s.trigger
+    group = s.values.get("groups", {}).get(job, f"weirhouse-{job}")
     starters = {
         "sync-changes": lambda: jobs.sync_changes(s.connector_messages(), topic(RAW_CHANGES), ck, trigger),
         "split-logs": lambda: jobs.split_logs(
-            spark, topic(RAW_LOG, "ods_base_log_group"), topic(PAGE_LOG), ck, START_LOG, PAGE_LOG, DISPLAY_LOG, trigger
+            spark, topic(RAW_LOG, group), topic(PAGE_LOG), ck, START_LOG, PAGE_LOG, DISPLAY_LOG, trigger
+        ),
+        "dirty-logs": lambda: jobs.keep_dirty_logs(spark, topic(RAW_LOG, group), topic(DIRTY_LOG), ck, trigger),
+        "unrouted-changes": lambda: jobs.count_unrouted(
+            spark,
+            topic(RAW_CHANGES, group),
+            lambda: jobs.rules_of_topic(spark, topic(RULE_CHANGES)),
+            topic(UNROUTED),
+            ck,
+            trigger,
         ),
         "route-changes": lambda: jobs.route_changes(
             spark,
-            topic(RAW_CHANGES, "ods_base_db_group"),
+            topic(RAW_CHANGES, group),
             lambda: jobs.rules_of_topic(spark, topic(RULE_CHANGES)),
             topic(ORDER_INFO),
             s.values["store"],
@@ -101,19 +115,19 @@ def start(job: str, s: Settings):
         ),
         "unique-visits": lambda: jobs.find_unique_visits(
             spark,
-            topic(PAGE_LOG, "unique_visit_app_consumer"),
+            topic(PAGE_LOG, group),
             topic(UNIQUE_VISIT),
             ck,
             s.values.get("unique_mode", "day"),
             trigger=trigger,
         ),
         "bounces": lambda: jobs.find_bounces(
-            spark, topic(PAGE_LOG, "bounce_rate_app_consumer"), topic(BOUNCE), ck, trigger=trigger
+            spark, topic(PAGE_LOG, group), topic(BOUNCE), ck, trigger=trigger
         ),
         "order-wide": lambda: jobs.widen_orders(
             spark,
-            topic(ORDER_INFO, "order_wide_group"),
-            topic(ORDER_DETAIL, "order_wide_group"),
+            topic(ORDER_INFO, group),
+            topic(ORDER_DETAIL, group),
             s.dims,
             topic(ORDER_WIDE),
             ck,
@@ -121,17 +135,17 @@ def start(job: str, s: Settings):
         ),
         "payment-wide": lambda: jobs.widen_payments(
             spark,
-            topic(PAYMENT_INFO, "payment_wide_group"),
-            topic(ORDER_WIDE, "payment_wide_group"),
+            topic(PAYMENT_INFO, group),
+            topic(ORDER_WIDE, group),
             topic(PAYMENT_WIDE),
             ck,
             trigger=trigger,
         ),
         "visitor-stats": lambda: jobs.count_visitors(
             spark,
-            topic(PAGE_LOG, "visitor_stats_app"),
-            topic(UNIQUE_VISIT, "visitor_stats_app"),
-            topic(BOUNCE, "visitor_stats_app"),
+            topic(PAGE_LOG, group),
+            topic(UNIQUE_VISIT, group),
+            topic(BOUNCE, group),
             s.write_stats,
             ck,
             trigger=trigger,

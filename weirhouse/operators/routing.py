@@ -104,13 +104,19 @@ def store_rows(routed: DataFrame) -> DataFrame:
 
 
 def unrouted(changes: DataFrame, rules: DataFrame) -> DataFrame:
-    """How many changes reach no sink, by table, operation and reason."""
-    why = F.when(F.col("sinkType").isNull(), F.lit("no rule")).otherwise(
-        F.concat(F.lit("sink type "), F.col("sinkType"))
+    """How many changes reach no sink, by table, operation and reason.
+
+    A change for the store without a value of its key column can't be merged and counts too.
+    """
+    no_key = (F.col("sinkType") == SINK_STORE) & F.try_element_at("data", F.col("sinkPk")).isNull()
+    why = (
+        F.when(F.col("sinkType").isNull(), F.lit("no rule"))
+        .when(no_key, F.lit("no key"))
+        .otherwise(F.concat(F.lit("sink type "), F.col("sinkType")))
     )
     return (
         attach_rules(changes, rules, "left")
-        .filter(~F.coalesce(F.col("sinkType").isin(SINK_STORE, SINK_TOPIC), F.lit(False)))
+        .filter(no_key | ~F.coalesce(F.col("sinkType").isin(SINK_STORE, SINK_TOPIC), F.lit(False)))
         .groupBy("tableName", "type", why.alias("reason"))
         .agg(F.count("*").alias("changes"))
     )

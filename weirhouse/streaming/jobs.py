@@ -98,6 +98,28 @@ def route_changes(
     )
 
 
+def count_unrouted(
+    spark: SparkSession,
+    source: TopicSpec,
+    rules: Callable[[], DataFrame],
+    sink: TopicSpec,
+    checkpoint: str,
+    trigger: Mapping = EVERY,
+) -> StreamingQuery:
+    """Counts, per batch, of the changes that ``route_changes`` gives no place."""
+    changes = routing.drop_empty(cdc.parse_changes(read_topic(spark, source)))
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        write_batch(records.to_record(routing.unrouted(rows, rules())), sink, batch_id)
+
+    return (
+        changes.writeStream.foreachBatch(batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def _pages(spark: SparkSession, source: TopicSpec) -> DataFrame:
     rows = records.parse_object(read_topic(spark, source), schemas.page_schema()).filter("record_ok")
     return rows.select("record.*", "value", *ARRIVAL)  # the text goes on whole
