@@ -119,6 +119,12 @@ def test_table_from_rule(spark):
     assert [(f.name, f.dataType.simpleString(), f.nullable) for f in t.schema().fields] == [
         ("id", "string", False), ("name", "string", True)]
     assert dim_store.DimTable.of_rule({**rule, "sinkPk": "name", "sinkExtend": "x"}).pk == "name"
+    keyless = dim_store.DimTable.of_rule({**rule, "sinkColumns": "name"})
+    assert keyless.columns == ("name", "id")  # the key is a column in any case
+    both = dim_store.DimTable.of_rules([rule, {**rule, "sinkColumns": "id,age"}, {**rule, "sinkTable": "dim_y"}])
+    assert {n: x.columns for n, x in both.items()} == {"dim_x": ("id", "name", "age"), "dim_y": ("id", "name")}
+    odd = dim_store.DimTable("a`b", ("c`d", "o'k"), "o'k").create_sql("shop")
+    assert odd.startswith("CREATE TABLE IF NOT EXISTS `shop`.`a``b` (`c``d` STRING, `o'k` STRING)") and r"'o\'k'" in odd
     spark.sql("CREATE DATABASE IF NOT EXISTS shop_test")
     spark.sql(t.create_sql("shop_test"))
     spark.sql(t.create_sql("shop_test"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from weirhouse import schemas
 from weirhouse.operators import dims as dim_ops
+from weirhouse.operators import routing
 from weirhouse.session import get_spark
 from weirhouse.sources import dim_store
 from weirhouse.sources.jdbc import write_jdbc
@@ -72,8 +73,8 @@ class Settings:
 
     def dims(self) -> dict[str, DataFrame]:
         """The six dimension tables as the store has them now."""
-        rules = jobs.rules_of_topic(self.spark, self.topic(RULE_CHANGES)).collect()
-        tables = {r["sinkTable"].lower(): dim_store.DimTable.of_rule(r) for r in rules if r["sinkType"] == "hbase"}
+        rules = routing.store_rows(jobs.rules_of_topic(self.spark, self.topic(RULE_CHANGES))).collect()
+        tables = {name.lower(): t for name, t in dim_store.DimTable.of_rules(rules).items()}
         wanted = [spec.table for spec in dim_ops.order_dims(0)]
         missing = [name for name in wanted if name not in tables]
         if missing:

@@ -31,23 +31,38 @@ class DimTable:
 
     @staticmethod
     def of_rule(rule) -> "DimTable":
+        """The rule's columns, and its key where they lack it: routing keeps the key in any case."""
+        pk = "id" if rule["sinkPk"] is None else rule["sinkPk"]
+        columns = records.split_columns(rule["sinkColumns"])
         return DimTable(
             rule["sinkTable"],
-            tuple(records.split_columns(rule["sinkColumns"])),
-            "id" if rule["sinkPk"] is None else rule["sinkPk"],
+            tuple(columns if pk in columns else [*columns, pk]),
+            pk,
             "" if rule["sinkExtend"] is None else rule["sinkExtend"],
         )
 
+    @staticmethod
+    def of_rules(rules) -> "dict[str, DimTable]":
+        """Tables by name; one that several rules fill has the columns of all of them."""
+        tables: dict[str, DimTable] = {}
+        for new in map(DimTable.of_rule, rules):
+            old = tables.setdefault(new.name, new)
+            columns = dict.fromkeys((*old.columns, *new.columns))
+            tables[new.name] = DimTable(old.name, tuple(columns), old.pk, old.extend)
+        return tables
+
     def schema(self) -> T.StructType:
         """All text; the key column is not nullable."""
         return T.StructType([T.StructField(c, T.StringType(), c != self.pk) for c in self.columns])
 
     def create_sql(self, database: str) -> str:
         """Statement for a catalog table; Spark has no primary keys, so it is a property."""
-        cols = ", ".join(f"`{c}` STRING" for c in self.columns)
+        quoted = lambda name: "`" + name.replace("`", "``") + "`"
+        cols = ", ".join(f"{quoted(c)} STRING" for c in self.columns)
+        pk = self.pk.replace("\\", "\\\\").replace("'", "\\'")
         return (
-            f"CREATE TABLE IF NOT EXISTS {database}.{self.name} ({cols}) USING parquet"
-            f" TBLPROPERTIES ('weirhouse.pk'='{self.pk}') {self.extend}".rstrip()
+            f"CREATE TABLE IF NOT EXISTS {quoted(database)}.{quoted(self.name)} ({cols}) USING parquet"
+            f" TBLPROPERTIES ('weirhouse.pk'='{pk}') {self.extend}".rstrip()
         )
 
 
@@ -147,6 +162,7 @@ def compact(spark: SparkSession, root: str, table: DimTable) -> int | None:
     """Fold complete batches into a new base version; readers switch when it is whole.
 
     Older folders stay for running readers; remove them after a grace period.
+    The columns of ``table`` are kept; changes to others are not.
     """
     above, _ = _base(spark, root, table)
     todo, _ = _pending(spark, root, table.name, above)

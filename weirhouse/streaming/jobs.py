@@ -74,11 +74,13 @@ def route_changes(
     store: str,
     checkpoint: str,
     trigger: Mapping = EVERY,
+    fold_every: int = 100,
 ) -> StreamingQuery:
     """Envelopes to fact topics and to the dimension store.
 
     ``rules`` is called per batch, so a rule written meanwhile applies to the
-    next batch; changes that came before their rule are dropped.
+    next batch; changes that came before their rule are dropped.  After every
+    ``fold_every`` batches the store is folded, so a read merges no more than that many.
     """
     changes = routing.drop_empty(cdc.parse_changes(read_topic(spark, source)))
 
@@ -89,6 +91,9 @@ def route_changes(
             dim_store.append(routing.store_rows(routed), store, batch_id, ARRIVAL)
         finally:
             routed.unpersist()
+        if (batch_id + 1) % fold_every == 0:
+            for table in dim_store.DimTable.of_rules(routing.store_rows(rules()).collect()).values():
+                dim_store.compact(spark, store, table)
 
     return (
         changes.writeStream.foreachBatch(batch)

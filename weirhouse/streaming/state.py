@@ -18,12 +18,14 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from weirhouse.functions import times
 from weirhouse.operators import visits
-from weirhouse.session import ROCKSDB
+from weirhouse.session import ROCKSDB, ship_package
 
 DAY_MS = times.DAY_MS
 
 
 def use_rocksdb(spark: SparkSession) -> None:
+    """What these operators need of a session: the state store, and their classes in its workers."""
+    ship_package(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
@@ -101,14 +103,17 @@ class _FirstFlagged(StatefulProcessor):
 
 
 def correct_new_visitors(logs: DataFrame, order: Sequence[str] = ("ts", "seq")) -> DataFrame:
-    """Stream form of ``logs.correct_new_visitors``; the state never expires."""
+    """Stream form of ``logs.correct_new_visitors``; the state never expires.
+
+    Only records that claim a new visitor go through the state; the others are neither
+    shuffled nor handed to Python.
+    """
     claims = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
-    out = _run(logs, _FirstFlagged(len(order)), {"mid": F.col("common.mid")}, order, claims)
-    repeated = F.coalesce(F.col("common.is_new") == "1", F.lit(False)) & ~F.col("mark")
-    fixed = F.col("common").withField(
-        "is_new", F.when(repeated, F.lit("0")).otherwise(F.col("common.is_new"))
-    )
-    return out.withColumn("common", fixed).drop("mark")
+    keys = {"mid": F.col("common.mid")}
+    out = _run(logs.filter(claims), _FirstFlagged(len(order)), keys, order, F.lit(True))
+    fixed = F.col("common").withField("is_new", F.when(F.col("mark"), F.lit("1")).otherwise(F.lit("0")))
+    corrected = out.withColumn("common", fixed).select(*logs.columns)
+    return logs.filter(~claims).unionByName(corrected)
 
 
 def first_visits_of_day(
