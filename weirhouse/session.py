@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-import zipfile
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -34,34 +32,6 @@ def get_spark(app: str = "weirhouse", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
-@cache
-def _package_zip() -> str:
-    """This package as a zip; a file of the driver, which Spark itself hands to the executors."""
-    root = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="weirhouse-"), "weirhouse_pkg.zip")
-    with zipfile.ZipFile(path, "w") as out:
-        for folder, _, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    out.write(full, os.path.join("weirhouse", os.path.relpath(full, root)))
-    return path
-
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers, wherever the driver was started.
-
-    Nothing is done where it already runs from a zip that was submitted with the job.
-    """
-    app = spark.sparkContext.applicationId
-    if app not in _shipped and os.path.isdir(os.path.dirname(os.path.abspath(__file__))):
-        spark.sparkContext.addPyFile(_package_zip())
-        _shipped.add(app)
-
-
 @cache
 def _local_base() -> str:
     return tempfile.mkdtemp(prefix="weirhouse-")

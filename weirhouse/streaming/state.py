@@ -8,9 +8,11 @@ watermark, not the size of the group.  They need the RocksDB state store
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,14 +20,15 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from weirhouse.functions import times
 from weirhouse.operators import visits
-from weirhouse.session import ROCKSDB, ship_package
+from weirhouse.session import ROCKSDB
 
 DAY_MS = times.DAY_MS
 
+# The processors travel whole: the worker that sets up a stream on the driver sees no shipped files.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """What these operators need of a session: the state store, and their classes in its workers."""
-    ship_package(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
