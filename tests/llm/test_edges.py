@@ -213,6 +213,25 @@ def test_near_duplicates(spark, odd, odd_ids, none):
     assert near_dup.near_duplicates(none).count() == 0 and near_dup.keep_one(odd).columns == odd.columns
 
 
+def test_near_duplicates_of_a_large_loose_group(spark):
+    """Twins at 0.76 among many others at 0.66, which rank before some of them."""
+    rnd = random.Random(31)
+    base, word = [f"w{k}" for k in range(300)], lambda: f"x{rnd.randrange(10**9)}"
+    texts = []
+    for _ in range(120):
+        at = [10 * k + rnd.randrange(5) for k in rnd.sample(range(29), 10)]
+        family = list(base)
+        for k in at[:2]:
+            family[k] = word()
+        for own in (at[2:6], at[6:]):
+            text = list(family)
+            for k in own:
+                text[k] = word()
+            texts.append(" ".join(text))
+    out = near_dup.near_duplicates(table(spark, texts))
+    assert got(out, "doc_id", "n_shingles", "component_id", "kept") == sorted_by_text(brute.near_duplicates(docs(texts)))
+
+
 def test_repetition(odd, odd_ids, none):
     short = [(i, t if t is None or len(t) < 1000 else t[:1000]) for i, t in docs()]
     out = repetition.quality(odd.withColumn("text", odd["text"].substr(1, 1000)))

@@ -8,11 +8,11 @@ random order.  Documents with equal sets form a class, and only classes go on.
 Bands of four registers bring classes together in groups.  Inside a group, similarity is
 estimated from equal registers, corrected for chance collisions.  In round t every class proposes its
 8^t most similar partners of other components whose estimate comes within four standard errors of the
-threshold (two, once its best eight were tried); proposals are checked once, exactly, on the full
-sets.  Links found merge components; groups with further candidates go on to the next round until
-none is left, so a tight group of m classes checks about m pairs, not m squared.  A pair
-at the threshold shares a band with a probability of 1 - 5e-6.  It can be missed only if it does not, or if its
-estimate is low, it is not among its class's best eight, and nothing else links the two components.
+threshold, by its registers and by a longer signature of 512 bytes; proposals are checked once,
+exactly, on the full sets.  Links found merge components; groups with further candidates go on to the
+next round, so a tight group of m classes checks about m pairs, not m squared.  After 64 partners
+the last round proposes all that are left.  A pair at the threshold shares a band with a
+probability of 1 - 5e-6, and each estimate is that low with one of about 3e-5; nothing else is missed.
 
 Skew: exact copies are collapsed with partial sums.  A group larger than ``block`` is split in
 blocks, and each pair of blocks is a task of its own.  Components are label joins on written tables.
@@ -45,7 +45,8 @@ SLICE_BYTES = 4 << 20
 BLOCK = 2048
 MARKS = 1 << 20
 SIGN_SCHEMA = "doc_id long, n_shingles long, digest1 long, digest2 long, registers binary"
-GROUP_COLUMNS = ["key", "band", "left", "right", "block", "rep", "n", "registers", "component"]
+LONG = 512
+GROUP_COLUMNS = ["key", "band", "left", "right", "block", "rep", "n", "registers", "long", "component"]
 _U = np.uint64
 
 
@@ -57,12 +58,22 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-#: Up to so many partners are tried at four standard errors, later ones at two.
-SURE = GROWTH = 8
+#: Partners per class grow by this from round to round; after ``RANKED`` of them all others are tried.
+GROWTH, RANKED = 8, 64
+#: Standard errors that an estimate may lie below the threshold.
+ERRORS = 4
+#: Pairs whose longer signatures are compared at a time.
+PAIRS = 1 << 14
 MULTIPLIERS = _mix(np.arange(1, SHINGLE + 2, dtype=np.uint64)) | _U(1)
-_tries = _mix(np.arange(REGISTERS * 64, dtype=np.uint64) + _U(99)).reshape(REGISTERS, 64) % _U(REGISTERS)
-#: Where an empty bucket borrows from: random tries, then all buckets in order.
-BORROW = np.concatenate([_tries.astype(np.int64), (np.arange(REGISTERS)[:, None] + np.arange(REGISTERS)) % REGISTERS], axis=1)
+
+
+def _borrow(registers: int) -> np.ndarray:
+    """Where an empty bucket borrows from: random tries, then all buckets in order."""
+    tries = _mix(np.arange(registers * 64, dtype=np.uint64) + _U(99)).reshape(registers, 64) % _U(registers)
+    return np.concatenate([tries.astype(np.int64), (np.arange(registers)[:, None] + np.arange(registers)) % registers], axis=1)
+
+
+BORROW = {r: _borrow(r) for r in (REGISTERS, LONG)}
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -103,45 +114,56 @@ def compress(values: np.ndarray) -> np.ndarray:
     return (zeros.astype(np.uint64) * _U(1 << MANTISSA) + mantissa + _U(1)).astype(np.uint16)
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
+def signatures(sets: list[np.ndarray], registers: int = REGISTERS) -> np.ndarray:
     """A row of registers for each set; all 0 for an empty set."""
     counts = np.array([len(s) for s in sets], np.int64)
     h = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
     none = _U(1) << _U(VALUE_BITS)
-    least = np.full(len(sets) * REGISTERS, none, np.uint64)
-    np.minimum.at(least, np.repeat(np.arange(len(sets)), counts) * REGISTERS + (h & _U(REGISTERS - 1)).astype(np.int64), h >> _U(7))
-    own = np.where(least < none, compress(np.minimum(least, none - _U(1))), 0).astype(np.uint16).reshape(-1, REGISTERS)
-    out, some = own.copy(), np.flatnonzero(counts)
-    for step in range(BORROW.shape[1]):
+    least = np.full(len(sets) * registers, none, np.uint64)
+    np.minimum.at(least, np.repeat(np.arange(len(sets)), counts) * registers + (h & _U(registers - 1)).astype(np.int64), h >> _U(7))
+    own = np.where(least < none, compress(np.minimum(least, none - _U(1))), 0).astype(np.uint16).reshape(-1, registers)
+    out, some, borrow = own.copy(), np.flatnonzero(counts), BORROW[registers]
+    for step in range(borrow.shape[1]):
         rows, cols = np.nonzero(out[some] == 0)
         if not len(rows):
             break
-        out[some[rows], cols] = own[some[rows], BORROW[cols, step]]
+        out[some[rows], cols] = own[some[rows], borrow[cols, step]]
+        some = some[np.unique(rows)]
     return out
 
 
+def long_signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of ``LONG`` bytes for each set, the low mantissa bits of registers from other hashes."""
+    with np.errstate(over="ignore"):
+        return signatures([_mix(s + _U(11)) for s in sets], LONG).astype(np.uint8)
+
+
 def band_keys(registers: np.ndarray) -> np.ndarray:
     """A number for each band of each row."""
     words = np.ascontiguousarray(registers).view(np.uint64)
     return _mix(words ^ _mix(np.arange(1, words.shape[1] + 1, dtype=np.uint64))).view(np.int64)
 
 
+def digests(sets: list[np.ndarray]) -> list[pa.Array]:
+    with np.errstate(over="ignore"):
+        one = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64)
+        two = np.array([np.bitwise_xor.reduce(_mix(s + _U(7))) if len(s) else 0 for s in sets], np.uint64)
+    return [pa.array(one.view(np.int64)), pa.array(two.view(np.int64))]
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in sliced(batch, "text", SLICE_BYTES):
             sets = shingle_sets(texts_of(part, "text"))
             registers = signatures(sets)
-            with np.errstate(over="ignore"):
-                one = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64)
-                two = np.array([np.bitwise_xor.reduce(_mix(s + _U(7))) if len(s) else 0 for s in sets], np.uint64)
             yield pa.record_batch(
-                [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array([r.tobytes() for r in registers], pa.binary())],
+                [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *digests(sets), pa.array([r.tobytes() for r in registers], pa.binary())],
                 names=["doc_id", "n_shingles", "digest1", "digest2", "registers"],
             )
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), REGISTERS)
+def _matrix(column: pa.Array, kind: type = np.uint16, width: int = REGISTERS) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), width)
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,17 +176,32 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 #: Chance that registers of different values agree: same zeros (about 1 in 3) and mantissa.
 COLLISION = 1 / 3 / (1 << MANTISSA)
+#: That of the bytes of longer signatures.
+LONG_COLLISION = 1 / 256
+
+
+def estimate(equal: np.ndarray, registers: int = REGISTERS, collision: float = COLLISION) -> np.ndarray:
+    return np.maximum(0.0, (equal / registers - collision) / (1 - collision))
 
 
-def estimate(equal: np.ndarray) -> np.ndarray:
-    return np.maximum(0.0, (equal / REGISTERS - COLLISION) / (1 - COLLISION))
+def lowest(small: np.ndarray, registers: int) -> np.ndarray:
+    """The least estimate with which a pair at the threshold is reckoned, by the size of its smaller set."""
+    least = PERCENT / 100
+    return least - ERRORS * np.sqrt(least * (1 - least) / np.minimum(small, registers))
 
 
-def candidates(rows: dict[str, np.ndarray], most: int, pair: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Of one group: the ``most`` likeliest partners of each class in other components; whether
-    there are more.  ``pair``: only classes of these two blocks are paired."""
+def _long_fits(long: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    parts = [(long[i[at : at + PAIRS]] == long[j[at : at + PAIRS]]).sum(axis=1) for at in range(0, len(i), PAIRS)]
+    equal = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    return estimate(equal, LONG, LONG_COLLISION) >= lowest(np.minimum(n[i], n[j]), LONG)
+
+
+def candidates(rows: dict[str, np.ndarray], most: int | None, pair: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Of one group: the ``most`` likeliest partners (None: all) of each class in other components;
+    whether there are more.  ``pair``: only classes of these two blocks are paired."""
     regs, n, comp, block = rows["registers"], rows["n"], rows["component"], rows["block"]
-    least, out_a, out_b, more = PERCENT / 100, [], [], False
+    out_a, out_b, more = [], [], False
+    words = np.ascontiguousarray(regs).view(np.uint64)  # one per band
     left, right = np.flatnonzero(block == pair[0]), np.flatnonzero(block == pair[1])
     step = max(1, (1 << 18) // max(1, len(right)))
     for at in range(0, len(left), step):
@@ -173,31 +210,36 @@ def candidates(rows: dict[str, np.ndarray], most: int, pair: tuple[int, int]) ->
         for j in range(REGISTERS):
             equal += regs[a, j][:, None] == regs[right, j][None, :]
         small, large = np.minimum(n[a][:, None], n[right][None, :]), np.maximum(n[a][:, None], n[right][None, :])
-        slack = (4 if most <= SURE else 2) * np.sqrt(least * (1 - least) / np.minimum(small, REGISTERS))
-        fits = (estimate(equal) >= least - slack) & (100 * small >= PERCENT * large) & (comp[a][:, None] != comp[right][None, :])
-        equal[~fits] = -1
-        keep = min(most, len(right))
-        top = np.argpartition(-equal, keep - 1, axis=1)[:, :keep]
-        i, j = np.nonzero(np.take_along_axis(equal, top, axis=1) >= 0)
-        i, j = a[i], right[top[i, j]]
+        fits = (estimate(equal) >= lowest(small, REGISTERS)) & (100 * small >= PERCENT * large) & (comp[a][:, None] != comp[right][None, :])
+        if most is None or most >= len(right):
+            i, j = np.nonzero(fits)
+            i, j = a[i], right[j]
+        else:
+            equal[~fits] = -1
+            top = np.argpartition(-equal, most - 1, axis=1)[:, :most]
+            i, j = np.nonzero(np.take_along_axis(equal, top, axis=1) >= 0)
+            i, j = a[i], right[top[i, j]]
+            more |= bool((fits.sum(axis=1) > most).any())
         # A pair belongs to the first band that both share, and is proposed there only.
-        shared = (regs[i] == regs[j]).reshape(len(i), REGISTERS // BAND, BAND).all(axis=2)
-        own = shared.argmax(axis=1) == rows["band"][0]
+        shared = (words[i] == words[j]).argmax(axis=1)
+        own = shared == rows["band"][0]
+        i, j = i[own], j[own]
+        own = _long_fits(rows["long"], n, i, j)
         out_a.append(rows["rep"][i[own]])
         out_b.append(rows["rep"][j[own]])
-        more |= bool((fits.sum(axis=1) > keep).any())
     if not out_a:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), False
     a, b = np.concatenate(out_a), np.concatenate(out_b)
     return np.minimum(a, b), np.maximum(a, b), more
 
 
-def _propose(most: int):
+def _propose(most: int | None):
     """Streams over rows sorted by group; a group's rows may span batches."""
 
     def emit(batch: pa.RecordBatch) -> pa.RecordBatch:
-        column = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in GROUP_COLUMNS if c != "registers"}
+        column = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in GROUP_COLUMNS if c not in ("registers", "long")}
         column["registers"] = _matrix(batch.column("registers"))
+        column["long"] = _matrix(batch.column("long"), np.uint8, LONG)
         cut = np.flatnonzero(np.diff(column["key"]) | np.diff(column["left"]) | np.diff(column["right"])) + 1
         out: tuple[list, list, list] = ([], [], [])
         for a, b in zip([0, *cut], [*cut, batch.num_rows], strict=True):
@@ -243,7 +285,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in sliced(batch, "text", SLICE_BYTES):
             sets = shingle_sets(texts_of(part, "text"))
-            yield pa.record_batch([part.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "set"])
+            long = [x.tobytes() for x in long_signatures(sets)]
+            yield pa.record_batch([part.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(long, pa.binary()), *digests(sets)], names=["rep", "set", "long", "digest1", "digest2"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,15 +355,18 @@ def links(docs: DataFrame, signed: DataFrame, block: int = BLOCK) -> tuple[DataF
     some = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     grouped = some.groupBy("n_shingles", "digest1", "digest2").agg(F.min("doc_id").alias("rep"), F.first("registers").alias("registers"))
     classes = write_once(grouped.select("rep", F.col("n_shingles").alias("n"), "digest1", "digest2", "registers"), "classes")
-    leaders = classes.groupBy("rep", "n", "registers").agg(F.lit(1)).select("rep", "n", "registers")
     bands = classes.select("rep", "registers").mapInArrow(_bands, "key long, band int, rep long")
-    members = write_once(_blocks(bands, block).join(leaders, "rep"), "members")
-    needed = members.select(F.col("rep").alias("doc_id")).distinct()
+    places = write_once(_blocks(bands, block), "places")
+    needed = places.select(F.col("rep").alias("doc_id")).distinct()
     mark = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)).alias("mark")
     marks = F.broadcast(needed.select(mark).distinct())  # at most MARKS numbers: spares most texts the shuffle
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     node_sets = texts.withColumn("mark", mark).join(marks, "mark", "left_semi").select("doc_id", "text").join(needed, "doc_id", "left_semi")
-    sets = write_once(node_sets.mapInArrow(_sets, "rep long, set binary"), "sets")
+    sets = write_once(node_sets.mapInArrow(_sets, "rep long, set binary, long binary, digest1 long, digest2 long"), "sets")
+    # An id may have several texts, not all of them leading a class; equal rows count once.
+    longs = sets.groupBy("rep", "digest1", "digest2").agg(F.first("long").alias("long"))
+    leaders = classes.join(longs, ["rep", "digest1", "digest2"]).select("rep", "n", "registers", "long")
+    members = write_once(places.join(leaders, "rep"), "members")
 
     tested, edges, found, most, active = None, None, None, 1, members
     while True:
@@ -343,7 +389,8 @@ def links(docs: DataFrame, signed: DataFrame, block: int = BLOCK) -> tuple[DataF
         more = proposed.where(F.col("a") < 0).select(F.col("more").alias("key")).distinct()
         if more.isEmpty():
             return classes.select("rep", "n", "digest1", "digest2"), found
-        active, most = write_once(active.join(more, "key", "left_semi"), "active"), most * GROWTH
+        active = write_once(active.join(more, "key", "left_semi"), "active")
+        most = most * GROWTH if most < RANKED else None
 
 
 def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
