@@ -153,6 +153,17 @@ def test_token_store(spark, odd, odd_ids, none):
         assert token_store.read_store(spark, path).count() == n
 
 
+def test_ids_are_those_of_the_whole_text():
+    from tokenizers import Tokenizer
+
+    path = tokens.default_vocabulary()
+    whole = Tokenizer.from_file(path)
+    before = ["_", "a_", "\x1c", "a\x1f", "x\x85", "İ", "e\u0301", "ﬁ", "½", "字", "9", "Ünï", "it's", "*", "\u200b", "\t", "\xa0", "a.", "b,", ""]
+    texts = [f"{start}{x}{mark} {end}" for x in before for mark in ".," for start in ("", "foo ", "snake_") for end in ("bar", ". z", "_, y")]
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [list(memoryview(x).cast("I")) for x in tokens.PieceEncoder(path).encode(texts)] == want
+
+
 def test_one_document_of_a_shard():
     import numpy as np
 

@@ -20,8 +20,8 @@ GROUP = 512
 WORD_END = "</w>"
 #: Letters that no normal form changes, then marks; no apostrophe, which the vocabulary treats by rule.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-#: A full stop or comma that belongs to a longer run of marks.
-RUN = re.compile(r"[^\w\s][.,]\s")
+#: A full stop or comma that ends a piece, right after a letter as above or a digit, so in no longer run of marks.
+STOP = re.compile("[.,](?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ][.,]) ")
 
 
 def default_vocabulary() -> str:
@@ -62,10 +62,7 @@ class PieceEncoder:
             self.words.update((w, raw[a:b]) for w, a, b in zip(group, bounds, bounds[1:], strict=False))
 
     def _pieces(self, text: str) -> list[str]:
-        text = text.replace("\n", " ")
-        if not RUN.search(text):
-            text = text.replace(". ", " . ").replace(", ", " , ")
-        return text.split(" ")
+        return STOP.sub(r" \g<0>", text.replace("\n", " ")).split(" ")
 
     def _learn(self, pieces: Iterable[str]) -> set[str]:
         """Puts the pieces' ids into ``pieces``; returns the words new to ``words``."""
