@@ -73,6 +73,17 @@ def test_line_dedup(spark, odd, odd_ids, none):
     assert line_dedup.drop_lines(odd).columns == odd.columns
 
 
+def test_rows_of_one_id_are_spread(spark):
+    texts = [f"line {k}\nother {k}" for k in range(100)] * 3 + ["same"] * 300
+    rows = table(spark, texts, [None] * 600)
+    hits = line_dedup.frequent_lines(rows, 3).toDF("row", "h1", "h2").groupBy("row").count().collect()
+    assert len(hits) == 101
+    assert line_dedup.dedup_lines(rows, 3).where("n_dropped = n_lines").count() == 600
+    pieces = packing.write_once(packing.token_pieces(rows.repartition(2)), "pieces")
+    placed = packing.place(pieces, block_pieces=60).selectExpr("shiftright(sequence_id, 32) AS block").groupBy("block").count().collect()
+    assert len(placed) == 10 and max(r["count"] for r in placed) < 150
+
+
 def test_license_scan(odd, odd_ids, none):
     out = license_scan.digest(license_scan.scan(odd))
     assert got(out, "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels") == sorted_by_text(brute.licenses(docs()))

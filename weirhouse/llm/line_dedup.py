@@ -7,7 +7,8 @@ get back those found in ``min_docs`` documents or more, whose lines they lose.
 
 Skew: keys are counted with partial sums.  A shard gets one probe per document and key; a
 shard with more of them than ``probes_per_task`` is copied, and the copies share its
-probes, so a line in a third of all documents is looked up by many tasks.
+probes, so a line in a third of all documents is looked up by many tasks.  What was found is gathered
+by a hash of id and text, so by one text's lines at most, however many rows share an id.
 
 Null and empty texts are one empty line; empty keys are never dropped.  Each row counts as a
 document, also where rows or ids repeat or the id is null.  An empty table gives an empty one.
@@ -98,7 +99,7 @@ def _build(probes_per_task: int):
 
 def _probe(min_docs: int):
     def probe(probes: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-        out = probes[["doc_id", "h1", "h2"]]
+        out = probes[["row_key", "h1", "h2"]]
         if not len(probes) or not len(index):
             return out.iloc[:0]
         row = index.iloc[0]
@@ -124,10 +125,15 @@ def _lines() -> Column:
     return F.split(whole(), "\n", -1)
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """Rows that share one by chance also share what is found; all of that is frequent, so nothing changes."""
+    return F.xxhash64(doc_id.cast("long"), text.cast("string"))
+
+
 def line_keys(docs: DataFrame) -> DataFrame:
-    """(doc_id, h1, h2): each document's distinct keys but the empty one."""
+    """(row_key, h1, h2): each document's distinct keys but the empty one."""
     keys = F.filter(F.array_distinct(F.transform(_lines(), _key)), lambda k: k != "")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(keys).alias("key")).select("doc_id", *_hashes(F.col("key")))
+    return docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row_key"), F.explode(keys).alias("key")).select("row_key", *_hashes(F.col("key")))
 
 
 def build_index(keys: DataFrame, keys_per_shard: int = KEYS_PER_SHARD, probes_per_task: int = PROBES_PER_TASK) -> DataFrame:
@@ -139,7 +145,7 @@ def build_index(keys: DataFrame, keys_per_shard: int = KEYS_PER_SHARD, probes_pe
 
 
 def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, **sizes: int) -> DataFrame:
-    """(doc_id, h1, h2) of each document's keys that ``min_docs`` documents or more hold."""
+    """(row_key, h1, h2) of each document's keys that ``min_docs`` documents or more hold."""
     ship(docs.sparkSession)
     keys = line_keys(docs)
     index = build_index(keys, **sizes)
@@ -150,11 +156,11 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, **sizes: int) -> D
     probes = (
         keys.withColumn("shard", F.pmod("h1", F.lit(shards)))
         .join(copies, "shard")
-        .withColumn("copy", F.pmod(F.xxhash64("doc_id", "h2"), F.col("copies")))
-        .select("shard", "copy", "doc_id", "h1", "h2")
+        .withColumn("copy", F.pmod(F.xxhash64("row_key", "h2"), F.col("copies")))
+        .select("shard", "copy", "row_key", "h1", "h2")
     )
     copied = index.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-    return probes.groupBy("shard", "copy").cogroup(copied.groupBy("shard", "copy")).applyInPandas(_probe(min_docs), "doc_id long, h1 long, h2 long")
+    return probes.groupBy("shard", "copy").cogroup(copied.groupBy("shard", "copy")).applyInPandas(_probe(min_docs), "row_key long, h1 long, h2 long")
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, **sizes: int) -> DataFrame:
@@ -162,11 +168,11 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, **sizes: int) -> Data
     frequent lines, and the numbers of lines before and dropped."""
     hits = (
         frequent_lines(docs, min_docs, **sizes)
-        .groupBy(F.col("doc_id").alias("hit_id"))
+        .groupBy("row_key")
         .agg(F.collect_set(F.struct("h1", "h2")).alias("hits"))
     )
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    joined = rows.join(hits, F.col("row.doc_id").cast("long").eqNullSafe(F.col("hit_id")), "left")
+    joined = rows.join(hits, row_key(F.col("row.doc_id"), F.col("row.text")) == F.col("row_key"), "left")
     text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
     lines = F.split(text, "\n", -1)
     keep = lambda line: ~F.array_contains("hits", F.struct(*_hashes(_key(line))))

@@ -5,8 +5,8 @@ they are longer.  Pieces are placed longest first.  A piece goes where the squar
 counts of open sequences per residual gap add up to least afterwards: into an open sequence,
 or into a new one.  Full pieces are sequences of their own.
 
-Placing needs lengths only, which are dealt by hash into blocks of ``block_pieces``
-pieces; each block is packed by one task, so the number of tasks grows with the input, and a
+Placing needs lengths only, which are dealt by a hash of id, text and, where a row repeats in an
+input partition, its number there, into blocks of about ``block_pieces`` pieces; each block is packed by one task, so the number of tasks grows with the input, and a
 block ends with few open sequences.
 
 Null and empty texts are the end id alone.  Rows are packed one by one, repeated or not, null
@@ -15,6 +15,7 @@ ids too.  An empty table gives no pieces.  Columns other than ``doc_id`` and ``t
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,8 @@ CAPACITY = 2048
 END_ID = 0
 BLOCK_PIECES = 60_000
 BATCH_BYTES = 4 << 20
+#: Between the keys of equal rows.
+REPEAT = 0x9E3779B97F4A7C15
 PIECE_SCHEMA = "doc_id long, row_key long, piece int, start long, length long, ids binary"
 
 
@@ -38,6 +41,7 @@ def _cut(path: str, capacity: int, end_id: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokens.encoder(path)
+        seen: Counter[int] = Counter()
         for batch in batches:
             for part in sliced(batch, "text", BATCH_BYTES):
                 ids = [x + end for x in coder.encode(part.column("text").fill_null("").to_pylist())]
@@ -47,10 +51,15 @@ def _cut(path: str, capacity: int, end_id: int):
                 row = np.repeat(np.arange(len(pieces)), counts)
                 number = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
                 flat = [x for p in pieces for x in p]
+                keys = []
+                for k in part.column("row_key").to_pylist():
+                    keys.append(k + seen[k] * REPEAT)
+                    seen[k] += 1
+                keys = np.array([(k + (1 << 63)) % (1 << 64) - (1 << 63) for k in keys], np.int64)
                 yield pa.record_batch(
                     {
                         "doc_id": part.column("doc_id").take(pa.array(row)),
-                        "row_key": part.column("row_key").take(pa.array(row)),
+                        "row_key": pa.array(keys[row]),
                         "piece": pa.array(number.astype(np.int32)),
                         "start": pa.array(number * capacity),
                         "length": pa.array(np.array([len(x) // 4 for x in flat], np.int64)),
@@ -64,7 +73,7 @@ def _cut(path: str, capacity: int, end_id: int):
 def token_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """(doc_id, row_key, piece, start, length, ids): ids as little-endian unsigned 32-bit."""
     ship(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id").alias("row_key"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("row_key"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_cut(vocabulary or tokens.default_vocabulary(), capacity, end_id), PIECE_SCHEMA)
 
 
