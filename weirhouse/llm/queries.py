@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirhouse.llm import chat, ctw, decontam, license_scan, line_dedup, near_dup, packing, repetition, token_store, toxicity
+from weirhouse.llm import (
+    chat,
+    ctw,
+    decontam,
+    license_scan,
+    line_dedup,
+    merkle,
+    near_dup,
+    packing,
+    repetition,
+    token_store,
+    toxicity,
+)
 from weirhouse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +120,81 @@ def op9_near_dup(spark, sf_dir):
 @query
 def op7_lm_score(spark, sf_dir):
     return ctw.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    hit = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    changed = F.when(hit, merkle.leaf(n_chars=F.col("n_chars") + 1))
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), carry={"changed": changed})
+    folded = merkle.fold(F.coalesce("changed", "leaf"), F.col("proof"))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), folded.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+#: A CTE with the table of crc32 by its rule, and the crc32 of a text as an expression over its column ``t``.
+CRC_TABLE = """
+crc AS (
+  SELECT list(list_reduce([n, 1, 2, 3, 4, 5, 6, 7, 8], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS t
+  FROM (SELECT unnest(range(256)) AS n)
+)"""
+
+
+def crc_of(text: str) -> str:
+    byte = f"list_transform(range(1, strlen({text}) + 1), lambda i: CAST('0x' || substring(hex({text}), 2 * i - 1, 2) AS BIGINT))"
+    step = "xor(c >> 8, t[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_concat([4294967295], {byte}), lambda c, b: {step}), 4294967295)"
+
+
+def _leaf_of(n_chars: str) -> str:
+    cells = [("doc_id", "doc_id"), ("source", "source"), ("lang", "lang"), ("n_chars", n_chars), ("text", "text")]
+    cell = lambda v: f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR), '-')"
+    return "sha256(" + " || ".join(cell(v) for _, v in cells) + ")"
+
+
+def _tree_of(name: str, source: str, group: str) -> str:
+    """Recursive CTE of all nodes over (group, pos, h) with ``n``, the nodes of the level."""
+    return f"""
+{name} AS (
+  SELECT {group} AS grp, 0 AS level, pos, h, count(*) OVER (PARTITION BY {group}) AS n FROM {source}
+  UNION ALL
+  SELECT grp, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2
+  FROM {name} WHERE n > 1 GROUP BY grp, level, pos // 2, n
+)"""
+
+
+def _steps_of(tree: str) -> str:
+    """From a leaf's place up: each sibling with its side, or ``-`` where there is none."""
+    return f"""
+  SELECT a.grp, a.pos, b.level, CASE WHEN s.h IS NULL THEN '-' WHEN b.pos % 2 = 1 THEN 'L' || s.h ELSE 'R' || s.h END AS step
+  FROM {tree} a
+  JOIN {tree} b ON a.level = 0 AND b.n > 1 AND a.grp = b.grp AND b.pos = a.pos >> b.level
+  LEFT JOIN {tree} s ON s.grp = b.grp AND s.level = b.level AND s.pos = xor(b.pos, 1)"""
+
+
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE {CRC_TABLE}, leaves AS (
+  SELECT doc_id, coalesce('v' || lang, '') AS grp, {_leaf_of('n_chars')} AS h,
+    CASE WHEN {crc_of('CAST(doc_id AS VARCHAR)')} % 7 = 0 THEN {_leaf_of('n_chars + 1')} END AS changed
+  FROM documents, crc
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM leaves
+), {_tree_of('low', 'placed', 'grp')}, subroots AS (
+  SELECT grp, h, row_number() OVER (ORDER BY grp) - 1 AS pos FROM low WHERE n = 1
+), {_tree_of('high', 'subroots', "''")}, steps AS (
+  SELECT grp, pos, level, step FROM ({_steps_of('low')})
+  UNION ALL
+  SELECT p.grp, p.pos, 1000 + u.level, u.step
+  FROM placed p JOIN subroots r ON p.grp = r.grp JOIN ({_steps_of('high')}) u ON u.pos = r.pos
+), paths AS (
+  SELECT grp, pos, list(step ORDER BY level) AS path FROM steps GROUP BY grp, pos
+), done AS (
+  SELECT p.doc_id, p.h AS leaf, r.h AS subroot, (SELECT h FROM high WHERE n = 1) AS root,
+    sha256(array_to_string(list_transform(coalesce(path, []), lambda s: s[2:]), '')) AS proof_sha256,
+    list_reduce(list_concat([coalesce(p.changed, p.h)], coalesce(path, [])), lambda node, s: sha256(
+      CASE s[1] WHEN 'L' THEN s[2:] || node WHEN 'R' THEN node || s[2:] ELSE node END)) AS folded_root
+  FROM placed p JOIN subroots r ON p.grp = r.grp LEFT JOIN paths q ON q.grp = p.grp AND q.pos = p.pos
+)
+SELECT *, folded_root = root AS verified FROM done
+"""
