@@ -11,6 +11,7 @@ from weirhouse.llm import (
     chat,
     ctw,
     decontam,
+    importance,
     license_scan,
     line_dedup,
     merkle,
@@ -198,3 +199,52 @@ WITH RECURSIVE {CRC_TABLE}, leaves AS (
 )
 SELECT *, folded_root = root AS verified FROM done
 """
+
+
+@query
+def op12_importance_resampling(spark, sf_dir):
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def _grams_of(source: str) -> str:
+    """Words and pairs of every row of ``source`` (row, text), repeats kept."""
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    split = "regexp_extract_all(" + low + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+  SELECT row, len(w) AS n_words, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS gram
+  FROM (SELECT row, {split} AS w FROM {source})"""
+
+
+ORACLES["op12_importance_resampling"] = f"""
+WITH {CRC_TABLE}, docs AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
+items AS (SELECT row_number() OVER () AS row, text FROM benchmark),
+doc_grams AS ({_grams_of('docs')}), item_grams AS ({_grams_of('items')}),
+hashed AS (
+  SELECT gram, {crc_of('gram')} % 10000 AS bucket
+  FROM (SELECT gram FROM doc_grams UNION SELECT gram FROM item_grams), crc
+), counted AS (
+  SELECT bucket, CAST(sum(s) AS BIGINT) AS s, CAST(sum(t) AS BIGINT) AS t
+  FROM (SELECT gram, 1 AS s, 0 AS t FROM doc_grams UNION ALL SELECT gram, 0, 1 FROM item_grams) JOIN hashed USING (gram)
+  GROUP BY bucket
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM counted)::DOUBLE + 10000)
+    / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM counted)::DOUBLE + 10000)))) AS BIGINT) AS gain
+  FROM counted
+), summed AS (
+  SELECT row, any_value(n_words) AS n_words, count(*) AS n, CAST(sum(gain) AS BIGINT) AS gain
+  FROM doc_grams JOIN hashed USING (gram) JOIN gains USING (bucket) GROUP BY row
+), scored AS (
+  SELECT row, doc_id, coalesce(n_words, 0) AS n_words, coalesce(n, 0) AS n_features,
+    CASE WHEN n > 0 THEN (gain - ((gain % n) + n) % n) // n ELSE 0 END AS weight,
+    CAST('0x' || sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8] AS BIGINT) AS h
+  FROM docs LEFT JOIN summed USING (row)
+), noised AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM scored
+), ranked AS (
+  SELECT *, n_words >= 20 AS large, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, row) AS place,
+    count(*) OVER (PARTITION BY n_words >= 20) AS total
+  FROM noised
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN large AND place <= 25 * total // 100 THEN place END AS rank FROM ranked
+"""
