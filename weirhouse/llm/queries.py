@@ -18,6 +18,7 @@ from weirhouse.llm import (
     near_dup,
     packing,
     repetition,
+    substring_dedup,
     token_store,
     toxicity,
 )
@@ -248,3 +249,30 @@ hashed AS (
 )
 SELECT doc_id, n_features, weight, score, CASE WHEN large AND place <= 25 * total // 100 THEN place END AS rank FROM ranked
 """
+
+
+@query
+def op13_substring_dedup(spark, sf_dir):
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+ORACLES["op13_substring_dedup"] = """
+WITH split AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT row, doc_id, pos, md5(array_to_string(w[pos : pos + 49], ' ')) AS h
+  FROM (SELECT row, doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM split)
+), earliest AS (
+  SELECT h, min(doc_id) AS first FROM windows GROUP BY h
+), gone AS (
+  SELECT DISTINCT row, pos + step AS pos
+  FROM windows JOIN earliest USING (h), (SELECT unnest(range(50)) AS step) WHERE first < doc_id
+), words AS (
+  SELECT row, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM split
+), kept AS (
+  SELECT row, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS text FROM words ANTI JOIN gone USING (row, pos) GROUP BY row
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (row)
+"""
