@@ -145,3 +145,89 @@ def tokens(docs, path, end):
 
     t = Tokenizer.from_file(path)
     return [(i, np.array([*t.encode(x or "", add_special_tokens=False).ids, end], "<u4")) for i, x in docs]
+
+
+def leaf(row):
+    cell = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    return sha("".join(cell(v) for v in row))
+
+
+def tree(leaves, arity=2):
+    """The root and, for each leaf, the siblings on its way as (left, right) texts."""
+    levels = [list(leaves)]
+    while len(levels[-1]) > 1:
+        x = levels[-1]
+        levels.append([sha("".join(x[k : k + arity])) for k in range(0, len(x), arity)])
+    proofs = []
+    for k in range(len(leaves)):
+        steps = []
+        for x in levels[:-1]:
+            run = k - k % arity
+            steps.append(("".join(x[run:k]), "".join(x[k + 1 : run + arity])))
+            k //= arity
+        proofs.append(steps)
+    return levels[-1][0], proofs
+
+
+def manifest(rows, arity=2):
+    """(doc_id, leaf, subroot, root, proof) of rows (doc_id, source, lang, n_chars, text)."""
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[2], []).append((r[0] is not None, r[0] or 0, leaf(r), r))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: tree([x[2] for x in sorted(groups[g], key=lambda x: x[:3])], arity) for g in order}
+    root, upper = tree([trees[g][0] for g in order], arity) if order else (None, [])
+    return [
+        (x[3][0], x[2], trees[g][0], root, [*proof, *up])
+        for g, up in zip(order, upper, strict=True)
+        for x, proof in zip(sorted(groups[g], key=lambda x: x[:3]), trees[g][1], strict=True)
+    ]
+
+
+def fold_proof(node, proof):
+    for left, right in proof:
+        node = sha(left + node + right)
+    return node
+
+
+def grams(text):
+    w = WORD.findall(lower(text or ""))
+    return [*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))], len(w)
+
+
+def resample(docs, items, buckets=10_000, least=20, share=25, seed=7):
+    of = lambda g: zlib.crc32(g.encode()) % buckets
+    s, t = (Counter(of(g) for _, x in rows for g in grams(x)[0]) for rows in (docs, items))
+    n_s, n_t = sum(s.values()), sum(t.values())
+    gain = lambda b: math.floor(1000 * math.log((t[b] + 1) * (n_s + buckets) / ((s[b] + 1) * (n_t + buckets))))
+    rows = []
+    for k, (i, x) in enumerate(docs):
+        g, n_words = grams(x)
+        weight = sum(gain(of(y)) for y in g) // len(g) if g else 0
+        h = int(sha(f"{seed}:{'' if i is None else i}")[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32)))
+        rows.append((k, i, n_words, len(g), weight, score))
+    large = sorted((r for r in rows if r[2] >= least), key=lambda r: (-r[5], r[1] is None, r[1] or 0, r[0]))
+    rank = {r[0]: k + 1 for k, r in enumerate(large[: share * len(large) // 100])}
+    return [(i, n, g, w, sc, rank.get(k)) for k, i, n, g, w, sc in rows]
+
+
+def repeats(docs, window=50):
+    """(doc_id, n_words, n_removed, spans, kept_text); a null id counts as the largest."""
+    key = lambda i: 2**63 - 1 if i is None else i
+    split, first = [(i, SOLID.findall(t or "")) for i, t in docs], {}
+    for i, w in split:
+        for k in range(len(w) - window + 1):
+            x = tuple(w[k : k + window])
+            first[x] = min(first.get(x, key(i)), key(i))
+    out = []
+    for i, w in split:
+        gone = {k + j for k in range(len(w) - window + 1) if first[tuple(w[k : k + window])] < key(i) for j in range(window)}
+        spans = []
+        for k in sorted(gone):
+            if spans and spans[-1][1] == k:
+                spans[-1][1] = k + 1
+            else:
+                spans.append([k, k + 1])
+        out.append((i, len(w), len(gone), spans, " ".join(x for k, x in enumerate(w) if k not in gone)))
+    return out

@@ -22,7 +22,7 @@ def rows(spark, name, *columns):
 
 
 def test_all_registered():
-    assert {f"op{n}_" for n in range(1, 11)} <= {q[: q.index("_") + 1] for q in Q if q.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} <= {q[: q.index("_") + 1] for q in Q if q.startswith("op")}
     assert "pipeline" in Q
 
 
