@@ -108,11 +108,12 @@ def start(job: str, s: Settings):
         "route-changes": lambda: jobs.route_changes(
             spark,
             topic(RAW_CHANGES, group),
-            lambda: jobs.rules_of_topic(spark, topic(RULE_CHANGES)),
+            lambda: jobs.rule_history_of_topic(spark, topic(RULE_CHANGES)),
             topic(ORDER_INFO),
             s.values["store"],
             ck,
             trigger,
+            as_of=True,
         ),
         "unique-visits": lambda: jobs.find_unique_visits(
             spark,

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirhouse import schemas
 from weirhouse.functions import records
+from weirhouse.operators.asof_join import as_of_join
 
 # Sink kinds a rule may name; rows for the last one go nowhere.
 SINK_STORE = "hbase"
@@ -64,6 +65,18 @@ def latest_rules(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     )
 
 
+def _cut_to_rule(rows: DataFrame) -> DataFrame:
+    """Data cut to the columns of the rule beside it; rows without a rule keep theirs."""
+    is_key = lambda k: (F.col("sinkType") == SINK_STORE) & (k == F.col("sinkPk"))
+    keep = F.map_filter("data", lambda k, _: F.array_contains("_columns", k) | F.coalesce(is_key(k), F.lit(False)))
+    cut = F.when(F.col("_columns").isNull(), F.col("data")).otherwise(keep)
+    return rows.withColumn("data", cut).drop("_columns")
+
+
+def _sink_of_rule() -> list[Column | str]:
+    return ["sinkType", "sinkTable", F.split("sinkColumns", ",").alias("_columns"), F.coalesce("sinkPk", F.lit("id")).alias("sinkPk")]
+
+
 def attach_rules(changes: DataFrame, rules: DataFrame, how: str = "inner") -> DataFrame:
     """Add the sink of each change and cut its data to the rule's columns.
 
@@ -72,23 +85,39 @@ def attach_rules(changes: DataFrame, rules: DataFrame, how: str = "inner") -> Da
     operation); Spark picks the join by its statistics.
     Changes without a rule are dropped unless ``how='left'``.
     """
-    r = rules.select(
-        F.col("sourceTable").alias("_table"),
-        F.col("operateType").alias("_type"),
-        "sinkType",
-        "sinkTable",
-        F.split("sinkColumns", ",").alias("_columns"),
-        F.coalesce("sinkPk", F.lit("id")).alias("sinkPk"),
-    )
-    is_key = lambda k: (F.col("sinkType") == SINK_STORE) & (k == F.col("sinkPk"))
-    keep = F.map_filter("data", lambda k, _: F.array_contains("_columns", k) | F.coalesce(is_key(k), F.lit(False)))
-    return (
-        changes.join(
-            r, (F.col("tableName") == F.col("_table")) & (F.col("type") == F.col("_type")), how
-        )
-        .withColumn("data", F.when(F.col("_columns").isNull(), F.col("data")).otherwise(keep))
-        .drop("_table", "_type", "_columns")
+    r = rules.select(F.col("sourceTable").alias("_table"), F.col("operateType").alias("_type"), *_sink_of_rule())
+    matches = (F.col("tableName") == F.col("_table")) & (F.col("type") == F.col("_type"))
+    return _cut_to_rule(changes.join(r, matches, how).drop("_table", "_type"))
+
+
+def attach_rules_as_of(
+    changes: DataFrame,
+    history: DataFrame,
+    at: str,
+    slice_size: int,
+    order: Sequence[str] = (),
+    how: str = "inner",
+) -> DataFrame:
+    """As ``attach_rules``, each change with the rule that was in force when it arrived (batch).
+
+    ``history`` holds all rule rows ever written, as ``rule_changes`` gives them; ``at`` is the moment of
+    arrival on both sides, and a rule applies from its own moment on, until one for the same table and
+    operation follows or removes it.  A change that came before its first rule has none.
+    """
+    versions = history.select(
+        F.col("sourceTable").alias("tableName"),
+        F.col("operateType").alias("type"),
+        at,
+        *order,
+        *_sink_of_rule(),
+        F.coalesce("removed", F.lit(False)).alias("_removed"),
     )
+    take = ["sinkType", "sinkTable", "_columns", "sinkPk", "_removed"]
+    # What is removed comes before what is put at the same moment of one message.
+    met = as_of_join(changes, versions.withColumn("_puts", ~F.col("_removed")), ["tableName", "type"], at, take, slice_size, [*order, "_puts"])
+    live = ~F.coalesce(F.col("_removed"), F.lit(True))
+    met = met.withColumns({c: F.when(live, F.col(c)) for c in ("sinkType", "sinkTable", "_columns", "sinkPk")})
+    return _cut_to_rule((met if how == "left" else met.where(live)).drop("_removed"))
 
 
 def topic_rows(routed: DataFrame) -> DataFrame:

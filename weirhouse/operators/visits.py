@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirhouse.functions import times
+from weirhouse.operators.asof_join import as_of_join
+from weirhouse.operators.patterns import Pattern
+from weirhouse.sources.landing import land
 
 
 def is_entry(empty_too: bool = True) -> Column:
@@ -16,7 +19,9 @@ def is_entry(empty_too: bool = True) -> Column:
     return (last.isNull() | (F.length(last) == 0)) if empty_too else last.isNull()
 
 
-def unique_visits(pages: DataFrame, mode: str = "day", order: Sequence[str] = ("ts", "seq")) -> DataFrame:
+def unique_visits(
+    pages: DataFrame, mode: str = "day", order: Sequence[str] = ("ts", "seq"), ttl_ms: int | None = None
+) -> DataFrame:
     """Page records that count as a visit (batch).
 
     ``day``: the first record of a mid on each UTC+8 day.
@@ -34,6 +39,8 @@ def unique_visits(pages: DataFrame, mode: str = "day", order: Sequence[str] = ("
         return pages.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
     if mode != "literal":
         raise ValueError(f"unknown mode {mode!r}")
+    if ttl_ms is not None:
+        return _expiring_visits(pages, order, ttl_ms)
 
     mid, sec = F.col("common.mid"), times.slot_of("ts", 1000)
     opening = (
@@ -55,6 +62,54 @@ def unique_visits(pages: DataFrame, mode: str = "day", order: Sequence[str] = ("
     )
 
 
+def _expiring_visits(pages: DataFrame, order: Sequence[str], ttl_ms: int) -> DataFrame:
+    """Literal visits whose state expires.
+
+    Every entry and the mid's first record open a visit; from there a visit opened at t is followed by
+    the first record at t + ``ttl_ms`` or later, unless an entry comes before it.  These steps depend on one another, so
+    each moment of a mid becomes a pointer to the one that would follow it, and pointers are doubled
+    (composed with themselves) until all moments reached from entries and first records are found: as many rounds as
+    the longest stretch without an entry has binary digits in lifetimes.
+    """
+    slim = pages.select(F.col("common.mid").alias("mid"), F.col("ts").alias("t"), is_entry().alias("entry"))
+    moments = land(slim.groupBy("mid", "t").agg(F.max("entry").alias("entry")), "visit-moments")
+    # The first moment at or after another is the last one at or before it in reversed time.
+    back = moments.select("mid", F.col("t").alias("next"), (-F.col("t")).alias("at"))
+    entries = moments.where("entry").select("mid", F.col("t").alias("next_entry"), (-F.col("t")).alias("at"))
+    later = as_of_join(moments.select("mid", "t", (-F.col("t") - ttl_ms).alias("at")), back, ["mid"], "at", ["next"], ttl_ms, how="inner")
+    later = later.select("mid", "t", (-F.col("t") - 1).alias("at"), "next")
+    guarded = as_of_join(later, entries, ["mid"], "at", ["next_entry"], ttl_ms)
+    follows = guarded.where("next_entry IS NULL OR next_entry > next").select("mid", "t", "next")
+    jumps = land(follows, "visit-jumps")
+    first = moments.groupBy("mid").agg(F.min("t").alias("t"))
+    opened = land(moments.where("entry").select("mid", "t").unionByName(first).distinct(), "visits-opened")
+    while not jumps.isEmpty():
+        reached = opened.join(jumps, ["mid", "t"]).select("mid", F.col("next").alias("t"))
+        opened = land(opened.unionByName(reached).distinct(), "visits-opened")
+        again = jumps.select("mid", F.col("t").alias("next"), F.col("next").alias("far"))
+        jumps = land(jumps.join(again, ["mid", "next"]).select("mid", "t", F.col("far").alias("next")), "visit-jumps")
+
+    held = opened.select("mid", F.col("t").alias("opened"), F.col("t").alias("at"))
+    before = as_of_join(moments.select("mid", "t", (F.col("t") - 1).alias("at")), held, ["mid"], "at", ["opened"], ttl_ms)
+    state = before.select(F.col("mid").alias("_mid"), F.col("t").alias("_t"), F.col("opened").alias("_opened"))
+    same = Window.partitionBy("_mid", "_t").orderBy(*order)
+    entry_before = F.coalesce(F.max(is_entry()).over(same.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))
+    gone = F.col("_opened").isNull() | (F.col("ts") - F.col("_opened") >= ttl_ms)
+    passes = F.when(gone, F.col("_nth") == 1).otherwise(times.slot_of("ts", 1000) != times.slot_of("_opened", 1000))
+    return (
+        pages.withColumns({"_mid": F.col("common.mid"), "_t": F.col("ts")})
+        .join(state, ["_mid", "_t"])
+        .withColumns({"_entry_before": entry_before, "_nth": F.row_number().over(same)})
+        .filter(is_entry() | (~F.col("_entry_before") & passes))
+        .select(*pages.columns)
+    )
+
+
+def bounce_pattern(within_ms: int = 10_000) -> Pattern:
+    """An entry page and right after it another one, or none in time."""
+    return Pattern.begin("start", is_entry()).next("next", is_entry()).within(within_ms)
+
+
 def bounces(
     pages: DataFrame,
     within_ms: int = 10_000,

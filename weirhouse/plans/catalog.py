@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from weirhouse import schemas
 from weirhouse.functions import records, times
-from weirhouse.operators import dims, logs, orders, routing, stats, visits
+from weirhouse.operators import dims, lateness, logs, orders, patterns, routing, stats, visits
 from weirhouse.plans import replay as rp
 from weirhouse.plans import tables as tb
 from weirhouse.session import scratch_dir
@@ -166,6 +166,55 @@ def unique_visit_literal(spark, sf_dir):
     return _flat_pages(visits.unique_visits(_dense_pages(spark, sf_dir), "literal"), "seq", "mid", "ts")
 
 
+#: Of the slowed-down records: some gaps are longer, some shorter.
+VISIT_TTL_MS = 20_000
+
+
+@query
+def unique_visit_literal_ttl(spark, sf_dir):
+    """Open visits expire, on slowed-down records with gaps on both sides of the lifetime."""
+    found = visits.unique_visits(_dense_pages(spark, sf_dir), "literal", ttl_ms=VISIT_TTL_MS)
+    return _flat_pages(found, "seq", "mid", "ts")
+
+
+@query
+def pattern_bounce(spark, sf_dir):
+    """Bounces as a declared pattern, with how they came about."""
+    pages = tb.pages(spark, sf_dir)
+    found = patterns.find_pattern(pages, visits.bounce_pattern(WITHIN_MS), F.col("common.mid"), slice_ms=HOUR_MS)
+    return _plain(_flat_pages(found, "seq", "mid", "ts", "outcome", "steps"))
+
+
+def _buying() -> patterns.Pattern:
+    """A view, right after it a click, right after it a purchase, within two days."""
+    on = lambda name: F.col("page.page_id") == name
+    return patterns.Pattern.begin("seen", on("view")).next("chosen", on("click")).next("bought", on("purchase")).within(2 * times.DAY_MS)
+
+
+@query
+def pattern_three_steps(spark, sf_dir):
+    found = patterns.find_pattern(tb.pages(spark, sf_dir), _buying(), F.col("common.mid"), slice_ms=6 * HOUR_MS)
+    return _plain(_flat_pages(found, "seq", "mid", "ts", "outcome", "steps"))
+
+
+#: How far the watermark stays behind.
+LATENESS_MS = 2 * times.DAY_MS
+
+
+@query
+def late_rows(spark, sf_dir):
+    """The rows that a watermark of two days drops, and the watermark they met."""
+    _, late = lateness.split_late(tb.arrivals(spark, sf_dir), "step", LATENESS_MS, HOUR_MS, slice_size=8)
+    return _flat_pages(late, "seq", "mid", "ts", "step", "watermark")
+
+
+@query
+def late_windows(spark, sf_dir):
+    """Page windows without the late rows."""
+    kept, _ = lateness.split_late(tb.arrivals(spark, sf_dir), "step", LATENESS_MS, HOUR_MS, slice_size=8)
+    return stats.windowed(stats.page_measures(kept), "1 hour", dims=["ch"])
+
+
 @query
 def bounce(spark, sf_dir):
     return _flat_pages(_bounces(tb.pages(spark, sf_dir)), "seq", "mid", "ts")
@@ -332,6 +381,30 @@ def cdc_unrouted(spark, sf_dir):
     return routing.unrouted(routing.drop_empty(_changes(spark, sf_dir)), tb.rules(spark))
 
 
+#: Arrival numbers per slice of the as-of join.
+ARRIVALS = 256
+
+
+def _rule_history(spark, sf_dir):
+    return routing.rule_changes(cdc.normalize_cdc(tb.rule_history_messages(spark, sf_dir)), ["seq"])
+
+
+@query
+def cdc_route_as_of(spark, sf_dir):
+    """Changes and rule messages in one order of arrival: each change by the rule in force then."""
+    changes = routing.drop_empty(_changes(spark, sf_dir))
+    routed = routing.attach_rules_as_of(changes, _rule_history(spark, sf_dir), "seq", ARRIVALS)
+    return routed.select("tableName", "type", "seq", "sinkType", "sinkTable", F.to_json("data").alias("data"))
+
+
+@query
+def cdc_unrouted_as_of(spark, sf_dir):
+    """How many changes of each kind came while no rule was in force for them."""
+    changes = routing.drop_empty(_changes(spark, sf_dir))
+    routed = routing.attach_rules_as_of(changes, _rule_history(spark, sf_dir), "seq", ARRIVALS, how="left")
+    return routed.filter("sinkTable IS NULL").groupBy("tableName", "type").agg(F.count("*").alias("changes"))
+
+
 @query
 def rule_upkeep(spark, sf_dir):
     changes = cdc.normalize_cdc(tb.rule_messages(spark, sf_dir))

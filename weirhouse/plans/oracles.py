@@ -200,6 +200,66 @@ SELECT CASE type WHEN 'insert' THEN 'dwd_order_info' ELSE 'dwd_order_update' END
        CASE type WHEN 'insert' THEN data ELSE short END AS value
 FROM changes WHERE "tableName" = 'order_info' AND type IN ('insert', 'update')"""
 
+_ARRIVED = f"""
+{_EVENTS}, arrived AS (
+  SELECT *, (seq + CASE WHEN k % 7 = 0 THEN k % 40 * 64 ELSE 0 END) // 64 AS step FROM ev
+), marked AS (
+  SELECT *, max(ts) OVER (ORDER BY step RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {2 * DAY_MS} AS watermark FROM arrived
+), judged AS (
+  SELECT *, coalesce((ts // {HOUR_MS} + 1) * {HOUR_MS} <= watermark, false) AS late FROM marked
+)"""
+
+
+def _sequence(source: str, steps: tuple[str, ...], within_ms: int) -> str:
+    """Starts of strictly consecutive records that meet ``steps``, or wait in vain for the next one."""
+    n = len(steps)
+    ahead = ", ".join(
+        f"lead(ts, {k}) OVER w AS t{k}, " + f"lead({steps[k]}, {k}) OVER w AS m{k}" for k in range(1, n)
+    )
+    late = [f"(t{k} IS NULL OR t{k} - ts >= {within_ms})" for k in range(1, n)]
+    met = [f"m{k}" for k in range(1, n)]
+    cases = " ".join(f"WHEN {' AND '.join([*(f'NOT {x}' for x in late[:k]), *met[:k], late[k]])} THEN {k + 1}" for k in range(n - 1))
+    whole = " AND ".join([*(f"NOT {x}" for x in late), *met])
+    return f"""
+SELECT seq, mid, ts, CASE WHEN steps = {n} THEN 'match' ELSE 'timeout' END AS outcome, CAST(steps AS BIGINT) AS steps
+FROM (
+  SELECT *, CASE WHEN {whole} THEN {n} {cases} END AS steps
+  FROM (SELECT *, {ahead}, {steps[0]} AS starts FROM {source} WINDOW w AS (PARTITION BY mid ORDER BY ts, seq))
+  WHERE starts
+) WHERE steps IS NOT NULL"""
+
+
+_ENTRY = "(coalesce(last_page_id, '') = '')"
+
+_RULED = f"""
+{_EVENTS}, {_CHANGES}, messages AS (
+  SELECT seq, page_id = 'error' AS deletes, k,
+    ['order_info', 'user_info', 'sku_info', 'spu_info'] AS names, ['insert', 'update', 'read'][seq % 3 + 1] AS operation,
+    ['hbase', 'kafka', 'kafka', 'clickhouse', 'kafka'][k % 5 + 1] AS kind,
+    ['id,status,name', 'id,user_id,seg'][seq % 2 + 1] AS cols
+  FROM ev
+), versions AS (
+  SELECT names[k % 4 + 1] AS source, operation, seq AS at, deletes AS removed, kind, 'sink_' || seq AS sink, string_split(cols, ',') AS cols
+  FROM messages
+  UNION ALL
+  SELECT names[(k + 1) % 4 + 1], operation, seq, true, NULL, NULL, NULL FROM messages WHERE seq % 11 = 0 AND NOT deletes
+), cells AS (
+  SELECT 'order_info' AS source, o_orderkey AS seq, 'id' AS name, CAST(o_orderkey AS VARCHAR) AS cell, 1 AS n FROM orders
+  UNION ALL SELECT 'order_info', o_orderkey, 'status', o_orderstatus, 2 FROM orders
+  UNION ALL SELECT 'order_info', o_orderkey, 'user_id', CAST(o_custkey AS VARCHAR), 3 FROM orders
+  UNION ALL SELECT 'user_info', c_custkey, 'id', CAST(c_custkey AS VARCHAR), 1 FROM customer
+  UNION ALL SELECT 'user_info', c_custkey, 'name', c_name, 2 FROM customer
+  UNION ALL SELECT 'user_info', c_custkey, 'seg', c_mktsegment, 3 FROM customer
+  UNION ALL SELECT 'sku_info', p_partkey, 'id', CAST(p_partkey AS VARCHAR), 1 FROM part
+  UNION ALL SELECT 'sku_info', p_partkey, 'name', p_name, 2 FROM part
+  UNION ALL SELECT 'spu_info', s_suppkey, 'id', CAST(s_suppkey AS VARCHAR), 1 FROM supplier
+  UNION ALL SELECT 'spu_info', s_suppkey, 'name', s_name, 2 FROM supplier
+), ruled AS (
+  SELECT c."tableName", c.type, c.seq, v.kind, v.sink, v.cols, coalesce(v.removed, true) AS none
+  FROM (SELECT * FROM changes WHERE data <> '{{}}') c
+  ASOF LEFT JOIN versions v ON c."tableName" = v.source AND c.type = v.operation AND c.seq >= v.at
+)"""
+
 _DIM_UPSERT = """
 SELECT CAST(coalesce(c_custkey, o_custkey) AS VARCHAR) AS id, any_value(c_name) AS name,
        CAST(max(o_orderkey) AS VARCHAR) AS last_order,
@@ -286,6 +346,27 @@ opened AS (
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
   FROM dense)
 SELECT seq, mid, ts FROM opened WHERE entry OR coalesce(before, 0) = 0""",
+    "unique_visit_literal_ttl": f"""
+WITH RECURSIVE {_EVENTS}, dense AS (
+  SELECT seq, mid, ts // 3600 AS ts, {_ENTRY} AS entry, row_number() OVER (PARTITION BY mid ORDER BY ts // 3600, seq) AS nth FROM ev
+), folded AS (
+  SELECT mid, nth, seq, ts, true AS passes, ts AS state FROM dense WHERE nth = 1
+  UNION ALL
+  SELECT d.mid, d.nth, d.seq, d.ts, d.entry OR d.ts - f.state >= 20000 OR d.ts // 1000 <> f.state // 1000,
+    CASE WHEN d.entry OR d.ts - f.state >= 20000 THEN d.ts ELSE f.state END
+  FROM folded f JOIN dense d ON d.mid = f.mid AND d.nth = f.nth + 1
+)
+SELECT seq, mid, ts FROM folded WHERE passes""",
+    "pattern_bounce": f"WITH {_EVENTS} {_sequence('ev', (_ENTRY, _ENTRY), WITHIN_MS)}",
+    "pattern_three_steps": f"""
+WITH {_EVENTS} {_sequence('ev', ("(page_id = 'view')", "(page_id = 'click')", "(page_id = 'purchase')"), 2 * DAY_MS)}""",
+    "late_rows": f"WITH {_ARRIVED} SELECT seq, mid, ts, CAST(step AS BIGINT) AS step, watermark FROM judged WHERE late",
+    "late_windows": f"""
+WITH {_ARRIVED}
+SELECT {_text(f'(ts // {HOUR_MS}) * {HOUR_MS}')} AS stt, {_text(f'(ts // {HOUR_MS} + 1) * {HOUR_MS}')} AS edt, ch,
+       0::BIGINT AS uv_ct, count(*) AS pv_ct, count(*) FILTER (WHERE last_page_id IS NULL) AS sv_ct,
+       0::BIGINT AS uj_ct, CAST(sum(during_time) AS BIGINT) AS dur_sum, max(ts) AS ts
+FROM judged WHERE NOT late GROUP BY ts // {HOUR_MS}, ch""",
     "bounce": f"WITH {_EVENTS}, {_visits('ev')} SELECT seq, mid, ts FROM uj",
     "bounce_ten_seconds": f"WITH {_EVENTS}, {_visits('ev', 10_000)} SELECT seq, mid, ts FROM uj",
     "visitor_measures": f"""
@@ -345,6 +426,15 @@ FROM changes
 WHERE data <> '{{}}' AND NOT ("tableName" = 'order_info' AND type IN ('insert', 'update'))
   AND "tableName" <> 'user_info'
 GROUP BY "tableName", type""",
+    "cdc_route_as_of": f"""
+WITH {_RULED}
+SELECT r."tableName", r.type, r.seq, any_value(kind) AS "sinkType", any_value(sink) AS "sinkTable",
+  '{{' || string_agg('"' || name || '":"' || cell || '"', ',' ORDER BY n) || '}}' AS data
+FROM ruled r JOIN cells c ON c.source = r."tableName" AND c.seq = r.seq AND list_contains(cols, name)
+WHERE NOT none GROUP BY r."tableName", r.type, r.seq""",
+    "cdc_unrouted_as_of": f"""
+WITH {_RULED}
+SELECT "tableName", type, count(*) AS changes FROM ruled WHERE none GROUP BY "tableName", type""",
     "rule_upkeep": f"""
 WITH {_EVENTS},
 last AS (

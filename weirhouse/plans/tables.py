@@ -54,6 +54,17 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).drop("k")
 
 
+#: Events that arrive together.
+STEP = 64
+
+
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page records with the number of the delivery they came in; every seventh came with a later one."""
+    e = _events(spark, sf_dir)
+    behind = F.when(F.col("k") % 7 == 0, F.col("k") % 40 * STEP).otherwise(0)
+    return e.withColumn("step", F.floor((F.col("seq") + behind) / STEP)).drop("k")
+
+
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as one raw log line.
 
@@ -273,6 +284,31 @@ def rule_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rule_history_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a message of the rule table about the shop's tables, in the order of ``seq``.
+
+    Errors delete a rule; every eleventh message moves its rule from another table.
+    """
+    e, k = _events(spark, sf_dir), F.col("k")
+    pick = lambda n, *names: F.element_at(F.array(*map(F.lit, names)), (n + 1).cast("int"))
+    tables = ("order_info", "user_info", "sku_info", "spu_info")
+    operation = pick(F.col("seq") % 3, "insert", "update", "read")
+    key = dict(source_table=pick(k % 4, *tables), operate_type=operation)
+    new = _image(
+        **key,
+        sink_type=pick(k % 5, "hbase", "kafka", "kafka", "clickhouse", "kafka"),
+        sink_table=F.concat(F.lit("sink_"), F.col("seq")),
+        sink_columns=pick(F.col("seq") % 2, "id,status,name", "id,user_id,seg"),
+    )
+    moved_from = _image(source_table=pick((k + 1) % 4, *tables), operate_type=operation)
+    none = F.lit(None).cast("map<string,string>")
+    deletes, moves = F.col("page.page_id") == "error", F.col("seq") % 11 == 0
+    before = F.when(deletes, _image(**key)).when(moves, moved_from).otherwise(none)
+    return e.select(
+        *_message("srv.config.table_process", F.when(deletes, "d").otherwise("u"), before, F.when(~deletes, new), F.col("seq"))
+    )
+
+
 def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order writes its customer's row; finished ones leave ``urgent`` alone."""
     finished = F.col("o_orderstatus") == "F"

@@ -45,10 +45,11 @@ ARRIVAL = ("part", "offset")
 
 
 def read_topic(spark: SparkSession, spec: TopicSpec, streaming: bool = True) -> DataFrame:
-    """The topic's messages as text in ``value``, with ``part`` and ``offset``.
+    """The topic's messages as text in ``value``, with ``part``, ``offset`` and ``arrived``.
 
-    The two identify a message: Kafka's partition and offset, or a file and a
-    row of it, where files sort by the time they were written.
+    The first two identify a message: Kafka's partition and offset, or a file and a
+    row of it, where files sort by the time they were written.  ``arrived`` is the epoch
+    millisecond of the message, or of its file; it orders messages of several topics.
     """
     reader = spark.readStream if streaming else spark.read
     if spec.path:
@@ -70,10 +71,14 @@ def read_topic(spark: SparkSession, spec: TopicSpec, streaming: bool = True) ->
                 F.col("_metadata.file_path"),
             ).alias("part"),
             F.col("_metadata.row_index").alias("offset"),
+            F.unix_millis("_metadata.file_modification_time").alias("arrived"),
         )
     rows = reader.format("kafka").option("subscribe", spec.name).options(**spec.kafka_options()).load()
     return rows.select(
-        F.col("value").cast("string").alias("value"), F.col("partition").alias("part"), "offset"
+        F.col("value").cast("string").alias("value"),
+        F.col("partition").alias("part"),
+        "offset",
+        F.unix_millis("timestamp").alias("arrived"),
     )
 
 

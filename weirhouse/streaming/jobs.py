@@ -24,6 +24,9 @@ from weirhouse.streaming import state
 
 ORDER = ("ts", *ARRIVAL)
 EVERY = {"processingTime": "10 seconds"}
+RULE_ORDER = ("arrived", *ARRIVAL)
+#: Changes of one table and operation that arrive within this time are joined with rules by one task.
+ARRIVAL_SLICE_MS = 10_000
 
 
 def sync_changes(
@@ -60,10 +63,15 @@ def keep_dirty_logs(
     return write_topic(dirty, sink, checkpoint).trigger(**trigger).start()
 
 
+def rule_history_of_topic(spark: SparkSession, source: TopicSpec) -> DataFrame:
+    """Every rule ever written to a topic of change envelopes of the rule table, with its arrival."""
+    changes = cdc.parse_changes(read_topic(spark, source, streaming=False))
+    return routing.rule_changes(changes, RULE_ORDER)
+
+
 def rules_of_topic(spark: SparkSession, source: TopicSpec) -> DataFrame:
     """The rules in force, from a topic of change envelopes of the rule table."""
-    changes = cdc.parse_changes(read_topic(spark, source, streaming=False))
-    return routing.latest_rules(routing.rule_changes(changes, ARRIVAL), ARRIVAL)
+    return routing.latest_rules(rule_history_of_topic(spark, source), RULE_ORDER)
 
 
 def route_changes(
@@ -75,25 +83,35 @@ def route_changes(
     checkpoint: str,
     trigger: Mapping = EVERY,
     fold_every: int = 100,
+    as_of: bool = False,
 ) -> StreamingQuery:
     """Envelopes to fact topics and to the dimension store.
 
-    ``rules`` is called per batch, so a rule written meanwhile applies to the
-    next batch; changes that came before their rule are dropped.  After every
+    ``rules`` is called once per batch.  With ``as_of`` it gives the history of rules
+    (``rule_history_of_topic``) and a change goes by the rule that was in force when it arrived, however
+    batches fall; else it gives one rule per table and operation, which applies to the whole batch.
+    Changes that came before their rule are dropped.  After every
     ``fold_every`` batches the store is folded, so a read merges no more than that many.
     """
     changes = routing.drop_empty(cdc.parse_changes(read_topic(spark, source)))
 
     def batch(rows: DataFrame, batch_id: int) -> None:
-        routed = routing.attach_rules(rows, rules()).persist()
+        known = rules().persist()
+        if as_of:
+            routed = routing.attach_rules_as_of(rows, known, "arrived", ARRIVAL_SLICE_MS, ARRIVAL)
+        else:
+            routed = routing.attach_rules(rows, known)
+        routed = routed.persist()
         try:
             write_batch(routing.topic_rows(routed), facts, batch_id)
             dim_store.append(routing.store_rows(routed), store, batch_id, ARRIVAL)
+            if (batch_id + 1) % fold_every == 0:
+                in_force = routing.latest_rules(known, RULE_ORDER) if as_of else known
+                for table in dim_store.DimTable.of_rules(routing.store_rows(in_force).collect()).values():
+                    dim_store.compact(spark, store, table)
         finally:
             routed.unpersist()
-        if (batch_id + 1) % fold_every == 0:
-            for table in dim_store.DimTable.of_rules(routing.store_rows(rules()).collect()).values():
-                dim_store.compact(spark, store, table)
+            known.unpersist()
 
     return (
         changes.writeStream.foreachBatch(batch)
