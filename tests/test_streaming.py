@@ -1,6 +1,8 @@
 """Streams: state over batches and restarts, late rows, and the jobs end to end."""
 
 import json
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +11,9 @@ from helpers import PAGES, page, pages
 from test_visits import T0, brute_bounces, brute_literal, random_pages
 from weirhouse import schemas
 from weirhouse.functions import records, times
-from weirhouse.operators import logs, stats
+from weirhouse.operators import logs, patterns, stats
 from weirhouse.operators.interval_join import interval_join
+from weirhouse.operators.patterns import Pattern
 from weirhouse.sources import dim_store
 from weirhouse.sources.topics import TopicSpec, read_topic
 from weirhouse.streaming import jobs, state
@@ -265,3 +268,38 @@ def test_order_jobs_end_to_end(spark, tmp_path):
     query = jobs.widen_orders(spark, at("orders"), at("details"), dim_tables, at("wide"), str(tmp_path / "ck"), trigger=NOW)
     with pytest.raises(Exception):
         query.awaitTermination()
+
+
+def test_changes_go_by_the_rule_of_their_arrival(spark, tmp_path):
+    """All is there before the job starts, in one batch; each change still has its own rule."""
+    at = lambda n, **kw: TopicSpec(n, path=str(tmp_path / n), **kw)
+    envelope = lambda table, data: json.dumps({"database": "c", "tableName": table, "type": "insert", "data": data, "before": {}})
+    rule = lambda sink, cols: envelope("rules", {"source_table": "t", "operate_type": "insert", "sink_type": "kafka", "sink_table": sink, "sink_columns": cols})
+    for n, (topic, text) in enumerate([
+        ("db", envelope("t", {"id": "0"})), ("rules", rule("one", "id")), ("db", envelope("t", {"id": "1", "name": "x"})),
+        ("rules", rule("two", "id,name")), ("db", envelope("t", {"id": "2", "name": "y"}))]):
+        feed_topic(spark, at(topic), text)
+        time.sleep(0.05)
+    history = lambda: jobs.rule_history_of_topic(spark, at("rules"))
+    run(jobs.route_changes(spark, at("db"), history, at("facts"), str(tmp_path / "store"), str(tmp_path / "ck"), {"availableNow": True}, as_of=True))
+    got = {r["topic"]: json.loads(r["value"]) for r in spark.read.option("basePath", str(tmp_path / "facts")).parquet(str(tmp_path / "facts" / "batch=0")).collect()}
+    assert got == {"one": {"id": "1"}, "two": {"id": "2", "name": "y"}}
+
+
+def test_pattern_in_any_order_over_batches(spark, tmp_path):
+    """Three steps over several batches equal the batch operator, whatever the order within a batch."""
+    rnd = random.Random(4)
+    rows = sorted((page(f"m{rnd.randrange(3)}", rnd.randrange(0, 60_000), k, page_id=rnd.choice("aabc")) for k in range(400)), key=lambda r: r[3])
+    rows.append(page("zz", 10**7, 999))
+    on = lambda n: F.col("page.page_id") == n
+    pattern = Pattern.begin("x", on("a")).next("y", on("a")).next("z", on("b")).within(900)
+    feed = Feed(spark, tmp_path, lambda pages: state.find_pattern(pages, pattern, F.col("common.mid")))
+    for k in range(0, len(rows), 150):
+        part = rows[k : k + 150]
+        rnd.shuffle(part)
+        feed(*part)
+    got = sorted((r.seq, r.outcome, r.steps) for r in feed.out.collect())
+    want = patterns.find_pattern(pages(spark, rows), pattern, F.col("common.mid"))
+    assert got == sorted((r.seq, r.outcome, r.steps) for r in want.collect() if r.seq != 999) and len(got) > 20
+    with pytest.raises(ValueError, match="limit"):
+        state.find_pattern(pages(spark, rows), Pattern.begin("x", on("a")), F.col("common.mid"))

@@ -35,7 +35,7 @@ def as_of_join(
     by = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     key_names = [f"_k{i}" for i in range(len(keys))]
     known = versions.select(*by, slot.alias("_slot"), place.alias("_place"), found.alias("_found"))
-    known = known.where(F.col("_slot").isNotNull())
+    known = known.dropna(subset=[*key_names, "_slot"])
     rows = left.select(*by, slot.alias("_slot"), F.col(at).alias("_at"), F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("_row"))
 
     lasts = known.groupBy(*key_names, "_slot").agg(F.max_by("_found", "_place").alias("_last"))

@@ -479,6 +479,70 @@ def stream_unique_visit_literal(spark, sf_dir):
     return _flat_pages(out, "seq", "mid", "ts")
 
 
+@query
+def stream_unique_visit_literal_ttl(spark, sf_dir):
+    """With a lifetime that ends many visits."""
+    state.use_rocksdb(spark)
+    out = rp.replay_pages(
+        spark,
+        "unique-literal-ttl",
+        _dense_pages(spark, sf_dir),
+        lambda pages: state.literal_visits(pages, ttl_ms=VISIT_TTL_MS),
+    )
+    return _flat_pages(out, "seq", "mid", "ts")
+
+
+@query
+def stream_pattern_three_steps(spark, sf_dir):
+    state.use_rocksdb(spark)
+    find = lambda pages: state.find_pattern(pages, _buying(), F.col("common.mid"))
+    out = rp.replay_pages(spark, "three-steps", tb.pages(spark, sf_dir), find)
+    return _plain(_flat_pages(out, "seq", "mid", "ts", "outcome", "steps"))
+
+
+@query
+def stream_late_windows(spark, sf_dir):
+    """Deliveries one after the other, each with late rows: what the watermark lets through."""
+    total = tb.table(spark, sf_dir, "events").count()
+    rows = tb.arrivals(spark, sf_dir, total // 3, 3)
+    pages = rows.drop("step")
+    steps = [r["step"] for r in rows.select("step").distinct().orderBy("step").collect()]  # six at most
+    replay = rp.Replay(spark, "late-windows")
+    slices = rp.with_sentinel([{"pages": rows.filter(F.col("step") == n).drop("step")} for n in steps], pages)
+
+    def start():
+        measures = stats.page_measures(replay.source("pages", pages))
+        return [replay.store(stats.windowed(measures, "1 hour", dims=["ch"], lateness="2 days"), "out")]
+
+    rp.run_slices(replay, slices, start)
+    return spark.read.parquet(replay.path("out"))
+
+
+@query
+def stream_visitor_chain(spark, sf_dir):
+    """From the page topic alone: unique visits and bounces to topics, all three to window sums."""
+    state.use_rocksdb(spark)
+    pages = tb.pages(spark, sf_dir)
+    replay = rp.Replay(spark, "visitor-chain")
+    parts = rp.time_slices({"pages": (pages, "ts")}, 2)
+    parts[-1] = {"pages": parts[-1]["pages"].unionByName(rp.sentinel_pair(pages))}
+    topic = {n: TopicSpec(n, path=replay.path(n)) for n in ("pages", "unique", "bounced")}
+    checkpoint = lambda n: replay.path(f"{n}-checkpoint")
+
+    def write(rows, batch_id):
+        rows.write.mode("overwrite").parquet(f"{replay.path('out')}/batch={batch_id}")
+
+    def start():
+        yield jobs.find_unique_visits(spark, topic["pages"], topic["unique"], checkpoint("unique"), trigger=rp.NOW)
+        yield jobs.find_bounces(spark, topic["pages"], topic["bounced"], checkpoint("bounced"), WITHIN_MS, trigger=rp.NOW)
+        yield jobs.count_visitors(
+            spark, *topic.values(), write, checkpoint("stats"), WINDOW, bounce_lateness="7 hours", trigger=rp.NOW
+        )
+
+    rp.run_slices(replay, [{"pages": records.to_record(p["pages"])} for p in parts], start)
+    return spark.read.parquet(replay.path("out")).drop("batch")
+
+
 @query
 def stream_bounce(spark, sf_dir):
     state.use_rocksdb(spark)

@@ -200,9 +200,11 @@ SELECT CASE type WHEN 'insert' THEN 'dwd_order_info' ELSE 'dwd_order_update' END
        CASE type WHEN 'insert' THEN data ELSE short END AS value
 FROM changes WHERE "tableName" = 'order_info' AND type IN ('insert', 'update')"""
 
-_ARRIVED = f"""
+def _arrived(together: str = "64", behind: int = 40) -> str:
+    """CTE ``judged``: page records in deliveries, with the watermark they met."""
+    return f"""
 {_EVENTS}, arrived AS (
-  SELECT *, (seq + CASE WHEN k % 7 = 0 THEN k % 40 * 64 ELSE 0 END) // 64 AS step FROM ev
+  SELECT *, CAST(seq // {together} + CASE WHEN k % 7 = 0 THEN k % {behind} ELSE 0 END AS BIGINT) AS step FROM ev
 ), marked AS (
   SELECT *, max(ts) OVER (ORDER BY step RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {2 * DAY_MS} AS watermark FROM arrived
 ), judged AS (
@@ -210,6 +212,13 @@ _ARRIVED = f"""
 )"""
 
 
+_LATE_WINDOWS = f"""
+SELECT {_text(f'(ts // {HOUR_MS}) * {HOUR_MS}')} AS stt, {_text(f'(ts // {HOUR_MS} + 1) * {HOUR_MS}')} AS edt, ch,
+       0::BIGINT AS uv_ct, count(*) AS pv_ct, count(*) FILTER (WHERE last_page_id IS NULL) AS sv_ct,
+       0::BIGINT AS uj_ct, CAST(sum(during_time) AS BIGINT) AS dur_sum, max(ts) AS ts
+FROM judged WHERE NOT late GROUP BY ts // {HOUR_MS}, ch"""
+
+
 def _sequence(source: str, steps: tuple[str, ...], within_ms: int) -> str:
     """Starts of strictly consecutive records that meet ``steps``, or wait in vain for the next one."""
     n = len(steps)
@@ -360,13 +369,9 @@ SELECT seq, mid, ts FROM folded WHERE passes""",
     "pattern_bounce": f"WITH {_EVENTS} {_sequence('ev', (_ENTRY, _ENTRY), WITHIN_MS)}",
     "pattern_three_steps": f"""
 WITH {_EVENTS} {_sequence('ev', ("(page_id = 'view')", "(page_id = 'click')", "(page_id = 'purchase')"), 2 * DAY_MS)}""",
-    "late_rows": f"WITH {_ARRIVED} SELECT seq, mid, ts, CAST(step AS BIGINT) AS step, watermark FROM judged WHERE late",
-    "late_windows": f"""
-WITH {_ARRIVED}
-SELECT {_text(f'(ts // {HOUR_MS}) * {HOUR_MS}')} AS stt, {_text(f'(ts // {HOUR_MS} + 1) * {HOUR_MS}')} AS edt, ch,
-       0::BIGINT AS uv_ct, count(*) AS pv_ct, count(*) FILTER (WHERE last_page_id IS NULL) AS sv_ct,
-       0::BIGINT AS uj_ct, CAST(sum(during_time) AS BIGINT) AS dur_sum, max(ts) AS ts
-FROM judged WHERE NOT late GROUP BY ts // {HOUR_MS}, ch""",
+    "late_rows": f"WITH {_arrived()} SELECT seq, mid, ts, step, watermark FROM judged WHERE late",
+    "late_windows": f"WITH {_arrived()} {_LATE_WINDOWS}",
+    "stream_late_windows": f"WITH {_arrived('((SELECT count(*) FROM events) // 3)', 3)} {_LATE_WINDOWS}",
     "bounce": f"WITH {_EVENTS}, {_visits('ev')} SELECT seq, mid, ts FROM uj",
     "bounce_ten_seconds": f"WITH {_EVENTS}, {_visits('ev', 10_000)} SELECT seq, mid, ts FROM uj",
     "visitor_measures": f"""
@@ -453,6 +458,8 @@ SELECT CAST(c_custkey AS VARCHAR) AS "cCustkey", c_name AS "cName", c_mktsegment
 
 # A stream over the whole table ends at the batch result.
 for _name in (
-    "new_visitor_fix unique_visit_day unique_visit_literal bounce visitor_stats order_wide payment_wide"
+    "new_visitor_fix unique_visit_day unique_visit_literal unique_visit_literal_ttl bounce pattern_three_steps"
+    " visitor_stats order_wide payment_wide"
 ).split():
     ORACLES[f"stream_{_name}"] = ORACLES[_name]
+ORACLES["stream_visitor_chain"] = ORACLES["visitor_stats"]

@@ -90,6 +90,13 @@ def sentinel_pages(pages: DataFrame) -> DataFrame:
     ).select(*pages.columns)
 
 
+def sentinel_pair(pages: DataFrame) -> DataFrame:
+    """Two entry pages of one visitor long after all others: the second settles the first."""
+    one = sentinel_pages(pages).withColumn("page", F.col("page").withField("last_page_id", F.lit("")))
+    two = one.withColumns({"ts": F.col("ts") + 30 * times.DAY_MS, "seq": F.col("seq") + 1})
+    return one.unionByName(two)
+
+
 def with_sentinel(slices: list[dict[str, DataFrame]], pages: DataFrame) -> list[dict[str, DataFrame]]:
     """The sentinel joins the last slice of every input."""
     last = sentinel_pages(pages)

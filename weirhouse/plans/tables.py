@@ -54,15 +54,12 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).drop("k")
 
 
-#: Events that arrive together.
-STEP = 64
-
-
-def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page records with the number of the delivery they came in; every seventh came with a later one."""
+def arrivals(spark: SparkSession, sf_dir: str, together: int = 64, behind: int = 40) -> DataFrame:
+    """Page records with the number of the delivery they came in, ``together`` of them at a time; every
+    seventh or so came up to ``behind`` deliveries later."""
     e = _events(spark, sf_dir)
-    behind = F.when(F.col("k") % 7 == 0, F.col("k") % 40 * STEP).otherwise(0)
-    return e.withColumn("step", F.floor((F.col("seq") + behind) / STEP)).drop("k")
+    late = F.when(F.col("k") % 7 == 0, F.col("k") % behind).otherwise(0)
+    return e.withColumn("step", F.floor(F.col("seq") / together) + late).drop("k")
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

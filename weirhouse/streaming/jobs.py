@@ -233,11 +233,25 @@ def count_visitors(
     checkpoint: str,
     size: str = "10 seconds",
     lateness: str = "10 seconds",
+    bounce_lateness: str | None = None,
     trigger: Mapping = EVERY,
 ) -> StreamingQuery:
-    """Window statistics; ``write`` stores a batch, as with ``jdbc.write_jdbc``."""
+    """Window statistics; ``write`` stores a batch, as with ``jdbc.write_jdbc``.
+
+    Windows close by the newest record of any topic.  With ``bounce_lateness`` (the bounce time and
+    ``lateness`` together) each topic has a watermark of its own and the slowest one closes windows: then
+    bounces, which are known only when their time is over, always count, but a topic that falls silent
+    holds windows open.
+    """
     strict = lambda spec: records.parse_strict(read_topic(spark, spec), schemas.page_schema())
-    rows = stats.union_measures(strict(pages), strict(unique), strict(bounced))
+    if bounce_lateness is None:
+        rows = stats.union_measures(strict(pages), strict(unique), strict(bounced))
+    else:
+        rows = (
+            stats.watermarked(stats.unique_visit_measures(strict(unique)), lateness)
+            .unionByName(stats.watermarked(stats.bounce_measures(strict(bounced)), bounce_lateness))
+            .unionByName(stats.watermarked(stats.page_measures(strict(pages)), lateness))
+        )
     return (
         stats.windowed(rows, size, lateness=lateness)
         .writeStream.foreachBatch(write)

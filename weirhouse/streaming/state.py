@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from weirhouse.functions import times
 from weirhouse.operators import visits
+from weirhouse.operators.patterns import Pattern
 from weirhouse.session import ROCKSDB
 
 DAY_MS = times.DAY_MS
@@ -40,8 +41,9 @@ def _run(
     flag: Column,
     lateness: str | None = None,
     time_mode: str = "None",
+    says: str = "mark boolean",
 ) -> DataFrame:
-    """Apply ``processor``; it answers with (record text, mark) rows."""
+    """Apply ``processor``; it answers with the record text and what ``says`` declares."""
     if lateness is not None:
         rows = rows.withColumn("_et", times.event_time("ts")).withWatermark("_et", lateness)
     columns = [c for c in rows.columns if c != "_et"]
@@ -56,11 +58,12 @@ def _run(
     )
     out = narrow.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor,
-        outputStructType=T.StructType.fromDDL("record string, mark boolean"),
+        outputStructType=T.StructType.fromDDL(f"record string, {says}"),
         outputMode="append",
         timeMode=time_mode,
     )
-    return out.select(F.from_json("record", schema).alias("r"), "mark").select("r.*", "mark")
+    said = T.StructType.fromDDL(says).names
+    return out.select(F.from_json("record", schema).alias("r"), *said).select("r.*", *said)
 
 
 class _FirstFlagged(StatefulProcessor):
@@ -205,47 +208,59 @@ def literal_visits(
     ).drop("mark")
 
 
-class _Bounce(StatefulProcessor):
+class _Sequence(StatefulProcessor):
     """Holds records until the watermark has settled what follows them."""
 
-    def __init__(self, order_types: Sequence[str], within_ms: int):
+    def __init__(self, order_types: Sequence[str], length: int, within_ms: int):
         self._order = [f"o{i}" for i in range(len(order_types))]
         self._types = list(order_types)
+        self._length = length
         self._within = within_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         cols = ", ".join(f"{c} {kind}" for c, kind in zip(self._order, self._types))
-        self._held = handle.getListState("held", f"t bigint, {cols}, entry boolean, record string")
+        self._names = ["t", *self._order, "met", "record"]
+        self._held = handle.getListState("held", f"t bigint, {cols}, met int, record string")
         self._timer = handle.getValueState("timer", "t bigint")
 
     def _settle(self, watermark: int) -> pd.DataFrame | None:
-        """Emit settled bounces; keep what a later record could still decide."""
-        held = sorted(self._held.get(), key=lambda r: tuple(r)[1:-2])
-        n_final = sum(1 for r in held if r[0] <= watermark)
-        out, keep = [], held[n_final:]
-        for i in range(n_final):
-            t, entry, record = held[i][0], held[i][-2], held[i][-1]
-            if not entry:
-                continue
-            if i + 1 < n_final:
-                follow_t, follow_entry = held[i + 1][0], held[i + 1][-2]
-                if follow_entry or follow_t - t >= self._within:
-                    out.append(record)
-            elif watermark >= t + self._within - 1:
-                out.append(record)
+        """Emit settled starts; keep what a later record could still decide.
+
+        What is kept is written anew only when something leaves."""
+        held = pd.DataFrame([tuple(r) for r in self._held.get()], columns=self._names)
+        held = held.sort_values(self._order, ignore_index=True)
+        t, met = held["t"].to_numpy("int64"), held["met"].to_numpy("int64")
+        final = int((t <= watermark).sum())
+        start = (met[:final] & 1).nonzero()[0]
+        waiting, found = start[:0], []
+        for step in range(1, self._length):
+            after = start + step
+            here = after < final
+            at = after.clip(max=max(final - 1, 0))
+            late = here & (t[at] - t[start] >= self._within) | ~here & (watermark >= t[start] + self._within - 1)
+            found.append((start[late], "timeout", step))
+            waiting = pd.Index(waiting).union(start[~here & ~late]).to_numpy()
+            start = start[here & ~late & (met[at] >> step & 1 == 1)]
+        found.append((start, "match", self._length))
+        cut = int(waiting.min()) if len(waiting) else final
+        if cut:
+            kept = held.iloc[cut:].astype(object)
+            if len(kept):
+                self._held.put([tuple(r) for r in kept.itertuples(index=False)])
             else:
-                keep = held[i:]
-        if keep:
-            self._held.put([tuple(r) for r in keep])
-        else:
-            self._held.clear()
-        self._rearm(max(r[0] for r in keep) + self._within if keep else None)
-        return pd.DataFrame({"record": out, "mark": [True] * len(out)}) if out else None
+                self._held.clear()
+        # By then the first one kept is settled, so a record waits no longer than the limit after the watermark.
+        self._rearm(int(t[cut]) + self._within if len(t) > cut else None)
+        parts = [pd.DataFrame({"record": held["record"].to_numpy()[i], "outcome": how, "steps": n}) for i, how, n in found if len(i)]
+        return pd.concat(parts, ignore_index=True) if parts else None
 
     def _rearm(self, at: int | None) -> None:
-        if self._timer.exists():
-            self._handle.deleteTimer(self._timer.get()[0])
+        armed = self._timer.get()[0] if self._timer.exists() else None
+        if armed == at:
+            return
+        if armed is not None:
+            self._handle.deleteTimer(armed)
             self._timer.clear()
         if at is not None:
             self._handle.registerTimer(at)
@@ -253,15 +268,16 @@ class _Bounce(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         for chunk in rows:
-            # only an entry record can be emitted, so only its text is held
-            texts = [r if f else None for r, f in zip(chunk["record"], chunk["flag"])]
+            # only a start can be emitted, so only its text is held
+            texts = chunk["record"].where(chunk["flag"] & 1 == 1, None)
             cells = [chunk["t"].tolist(), *[chunk[c].tolist() for c in self._order]]
-            self._held.appendList(list(zip(*cells, chunk["flag"].tolist(), texts)))
+            self._held.appendList(list(zip(*cells, chunk["flag"].tolist(), texts.tolist())))
         out = self._settle(timerValues.getCurrentWatermarkInMs())
         if out is not None:
             yield out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self._timer.clear()
         out = self._settle(timerValues.getCurrentWatermarkInMs())
         if out is not None:
             yield out
@@ -270,6 +286,21 @@ class _Bounce(StatefulProcessor):
         pass
 
 
+def find_pattern(
+    rows: DataFrame,
+    pattern: Pattern,
+    key: Column,
+    order: Sequence[str] = ("ts", "seq"),
+    lateness: str = "1 second",
+) -> DataFrame:
+    """Stream form of ``patterns.find_pattern``; the pattern needs a time limit, which bounds its state."""
+    if pattern.within_ms is None:
+        raise ValueError("a pattern without a limit would hold records for ever")
+    processor = _Sequence([rows.schema[c].dataType.simpleString() for c in order], pattern.length, pattern.within_ms)
+    says = "outcome string, steps int"
+    return _run(rows, processor, {"mid": key}, order, pattern.met(), lateness, "EventTime", says)
+
+
 def bounces(
     pages: DataFrame,
     within_ms: int = 10_000,
@@ -277,6 +308,5 @@ def bounces(
     lateness: str = "1 second",
 ) -> DataFrame:
     """Stream form of ``visits.bounces``."""
-    keys = {"mid": F.col("common.mid")}
-    processor = _Bounce([pages.schema[c].dataType.simpleString() for c in order], within_ms)
-    return _run(pages, processor, keys, order, visits.is_entry(), lateness, "EventTime").drop("mark")
+    found = find_pattern(pages, visits.bounce_pattern(within_ms), F.col("common.mid"), order, lateness)
+    return found.drop("outcome", "steps")
