@@ -289,3 +289,61 @@ def test_pipeline_stages(spark):
     assert all(after[i][0] == t for i, t in before.items() if i not in dirty)
     want = brute.tokens([(i, t) for i, (t, _) in after.items()], tokens.default_vocabulary(), 0)
     assert sum(r.length for r in stages["packing"](spark, cut, sf).collect()) == sum(len(x) for _, x in want)
+
+
+def test_keep_one_decides_on_rows(spark):
+    a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
+    kept = lambda rows: sorted((r.doc_id, r.text) for r in near_dup.keep_one(table(spark, [t for _, t in rows], [i for i, _ in rows])).collect())
+    assert kept([(3, a), (5, a), (5, b)]) == [(3, a), (5, b)]
+    assert kept([(3, a), (3, a), (4, ""), (4, "")]) == [(3, a), (4, ""), (4, "")]
+    # A leader's id may have another text in the same component: one row stays.
+    assert kept([(3, a), (3, a + " x"), (9, a)]) in ([(3, a)], [(3, a + " x")])
+
+
+def test_near_duplicates_by_exact_links(spark, monkeypatch):
+    """Without rounds of proposals all links are found where classes meet."""
+    monkeypatch.setattr(near_dup, "PARTNERS", (1,))
+    rnd = random.Random(8)
+    base = [f"w{k}" for k in range(200)]
+    texts = []
+    for _ in range(150):
+        text = list(base)
+        for k in rnd.sample(range(200), rnd.randrange(1, 7)):
+            text[k] = f"x{rnd.randrange(10**6)}"
+        texts.append(" ".join(text))
+    want = sorted_by_text(brute.near_duplicates(docs(texts)))
+    columns = ("doc_id", "n_shingles", "component_id", "kept")
+    assert got(near_dup.near_duplicates(table(spark, texts)), *columns) == want
+    assert got(near_dup.near_duplicates(table(spark, texts), block=16), *columns) == want
+    assert len({r[2] for r in want}) > 1
+
+
+def test_exact_links_are_a_forest():
+    import numpy as np
+
+    sets = [np.arange(k, k + 60, dtype=np.uint64) for k in range(0, 40, 2)]
+    rows = {
+        "rep": np.arange(20), "n": np.full(20, 60), "component": np.arange(20), "block": np.zeros(20, np.int64), "band": np.zeros(20, np.int32),
+        "registers": np.zeros((20, near_dup.REGISTERS), np.uint16), "long": np.zeros((20, near_dup.LONG), np.uint8), "set": [x.tobytes() for x in sets],
+    }
+    a, b = near_dup.exact_links(rows, (0, 0))
+    assert len(a) == 19 and near_dup.stars(a, b)[1].tolist() == [0] * 19
+    rows["component"] = np.zeros(20, np.int64)
+    assert len(near_dup.exact_links(rows, (0, 0))[0]) == 0
+
+
+def test_decontamination_over_blocks_leaves_no_window(spark):
+    p, q = [f"p{k}" for k in range(10)], [f"q{k}" for k in range(10)]
+    text = " ".join(p[:5] + q + p[5:])
+    items = spark.createDataFrame([(1, " ".join(p)), (2, " ".join(q))], "item_id long, text string")
+    for size in (decontam.BLOCK_BYTES, 1):
+        assert decontam.decontaminate(table(spark, [text, None]), items, block_bytes=size).first().text.strip() == ""
+    blocks = decontam.Blocks(items.union(items).union(items), 70)
+    assert len(blocks) > 1 and sum(len(b) for b in blocks) == 6 and all(sum(len(t) for _, t in b) < 140 for b in blocks)
+
+
+def test_toxicity_keeps_any_column_name_and_samples_rows(spark, labels):
+    rows = table(spark, ["a", None]).withColumnRenamed("key", "my col").withColumnRenamed("word", "a`b.c")
+    assert toxicity.keep_clean(rows, None).columns == rows.columns and toxicity.keep_clean(rows, None).count() == 2
+    many = table(spark, [f"t{k}" for k in range(300)], [2] * 150 + [6] * 150)
+    assert toxicity.sample(many, labels, toxicity.F.lit(True), 10).count() == 2

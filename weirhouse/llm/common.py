@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -50,6 +50,22 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(app)
 
 
+#: What empties the caches that operators keep in a Python worker between tasks.
+caches: list[Callable[[], None]] = []
+
+
+def drop_caches() -> None:
+    """For tasks that need none of them: a reused worker keeps what earlier stages left."""
+    for empty in caches:
+        empty()
+    pa.default_memory_pool().release_unused()
+
+
+def quoted(name: str) -> str:
+    """A column name of any letters, as one part."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

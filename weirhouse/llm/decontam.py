@@ -12,25 +12,28 @@ benchmark of one block, and no document leaves its task.
 
 Null, empty and word-less texts have no words and no hits; items without words have no windows.
 Each row is looked at by itself, repeated or not.  Repeated item ids count once; a null
-item id is the empty text.
+item id is the empty text.  Very long texts are shards of their own, whose arrays grow with them.  Empty tables
+give no rows or no hits.  Of ``docs`` only ``doc_id`` and ``text`` are looked at.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirhouse.llm.common import WORD_BYTES, ship, sliced, texts_of
+from weirhouse.llm.common import WORD_BYTES, ship, sliced, texts_of, whole, write_once
+from weirhouse.llm.ranked import positions
 
 WINDOW = 10
 SHARD_BYTES = 8 << 20
 BLOCK_BYTES = 16 << 20
+RUN = 1000  # items whose bytes are summed up together
 SAMPLE_EVERY = 8
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 FOUND = "struct<n_words:long,n_hit:long,item_ids:array<string>,spans:array<struct<first:long,last:long>>>"
@@ -203,22 +206,38 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[start:]])
 
 
-@cache
+@lru_cache(maxsize=1)
 def _phrases(items: tuple[tuple[str, bytes], ...], window: int) -> Phrases:
     return Phrases(list(items), window)
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[tuple[str, bytes], ...]]:
-    """The benchmark's items in blocks of bounded size, in order of their ids."""
-    rows, size = [], 0
-    for item, text in benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).orderBy("item_id").toLocalIterator():
-        raw = (text or "").encode()
-        if rows and size + len(raw) > block_bytes:
-            yield tuple(rows)
-            rows, size = [], 0
-        rows.append((item if item is not None else "", raw))
-        size += len(raw)
-    yield tuple(rows)
+class Blocks:
+    """The benchmark's items in blocks of bounded size, in order of their ids; one at a time passes the driver.
+
+    Items are numbered and their bytes summed up by Spark; the table with each item's block is written."""
+
+    def __init__(self, benchmark: DataFrame, block_bytes: int):
+        items = benchmark.select(F.lit(0).alias("grp"), F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), whole().alias("text"))
+        placed = positions(items, ["grp"], [F.col("item"), F.col("text")], "items")
+        size = F.octet_length("text").cast("long") + 1
+        # Bytes are summed over runs of items first, so no window holds more than a run, or one row per run.
+        run = F.floor(F.col("pos") / RUN)
+        within = F.sum(size).over(Window.partitionBy("run").orderBy("pos"))
+        runs = placed.withColumn("run", run).withColumn("within", within)
+        sums = runs.groupBy("run").agg(F.max("within").alias("bytes"))
+        before = sums.select("run", (F.sum("bytes").over(Window.orderBy("run")) - F.col("bytes")).alias("before"))
+        end = F.col("before") + F.col("within")
+        block = F.floor((end - 1) / block_bytes)
+        self.items = write_once(runs.join(before, "run").select("pos", "item", "text", block.alias("block")), "benchmark")
+        self.numbers = [r["block"] for r in self.items.select("block").distinct().orderBy("block").collect()] or [None]
+
+    def __len__(self) -> int:
+        return len(self.numbers)
+
+    def __iter__(self) -> Iterator[tuple[tuple[str, bytes], ...]]:
+        for number in self.numbers:
+            rows = self.items.where(F.col("block") == F.lit(number)).orderBy("pos").collect()  # one block, of bounded size
+            yield tuple((r["item"], r["text"].encode()) for r in rows)
 
 
 FOUND_TYPE = pa.struct(
@@ -276,11 +295,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     """(doc_id, n_words, n_hit, item_ids, spans) of every row of ``docs``."""
     ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = list(_blocks(benchmark, block_bytes))
+    blocks = Blocks(benchmark, block_bytes)
     for i, block in enumerate(blocks):  # the texts are carried on to the last block only
         names = [*(c for c in rows.columns if c != "text" or i + 1 < len(blocks)), f"found{i}"]
         kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields} | {f"found{i}": FOUND}
         rows = rows.mapInArrow(_mark(block, window, names), ", ".join(f"{c} {kinds[c]}" for c in names))
+        if i + 1 < len(blocks):
+            rows = write_once(rows, "marked")  # a plan holds one block only
     if len(blocks) == 1:
         return rows.select("doc_id", "found0.*")
     every = [F.col(f"found{i}") for i in range(len(blocks))]
@@ -291,8 +312,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with the merged spans cut out of their texts, until no window is left."""
+    """``docs`` with the merged spans cut out of their texts, until no window of any block is left.
+
+    A cut may bring words of another block's window together, so with several blocks all are gone through
+    again until a round has cut nothing; each round shortens a text, so it ends."""
     ship(docs.sparkSession)
-    for block in _blocks(benchmark, block_bytes):
-        docs = docs.mapInArrow(_cut(block, window), docs.schema)
-    return docs
+    blocks = Blocks(benchmark, block_bytes)
+    if len(blocks) == 1:
+        return docs.mapInArrow(_cut(next(iter(blocks)), window), docs.schema)
+    while True:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+        for block in blocks:
+            docs = write_once(docs.mapInArrow(_cut(block, window), docs.schema), "cut")
+        if docs.agg(F.sum(F.octet_length("text"))).first()[0] == size:
+            return docs

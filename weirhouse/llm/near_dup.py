@@ -6,12 +6,12 @@ count of leading zeros and ten mantissa bits.  An empty bucket borrows from anot
 random order.  Documents with equal sets form a class, and only classes go on.
 
 Bands of four registers bring classes together in groups.  Inside a group, similarity is
-estimated from equal registers, corrected for chance collisions.  In round t every class proposes its
-8^t most similar partners of other components whose estimate comes within four standard errors of the
-threshold, by its registers and by a longer signature of 512 bytes; proposals are checked once,
-exactly, on the full sets.  Links found merge components; groups with further candidates go on to the
-next round, so a tight group of m classes checks about m pairs, not m squared.  After 64 partners
-the last round proposes all that are left.  A pair at the threshold shares a band with a
+estimated from equal registers, corrected for chance collisions.  In two rounds every class proposes its
+most similar partner, then its eight most similar ones, of other components whose estimate comes within four standard
+errors of the threshold, by its registers and by a longer signature of 512 bytes; proposals are checked once,
+exactly, on the full sets.  Links found merge components.  Groups with further candidates get their sets and check
+all that are left where they meet; a group hands on only links that join components it did not know to be one, fewer
+than it has classes.  A pair at the threshold shares a band with a
 probability of 1 - 5e-6, and each estimate is that low with one of about 3e-5; nothing else is missed.
 
 Skew: exact copies are collapsed with partial sums.  A group larger than ``block`` is split in
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirhouse.llm.common import ship, sliced, texts_of, write_once
+from weirhouse.llm.common import drop_caches, quoted, ship, sliced, texts_of, write_once
 
 SHINGLE = 5
 PERCENT = 75
@@ -46,7 +46,7 @@ BLOCK = 2048
 MARKS = 1 << 20
 SIGN_SCHEMA = "doc_id long, n_shingles long, digest1 long, digest2 long, registers binary"
 LONG = 512
-GROUP_COLUMNS = ["key", "band", "left", "right", "block", "rep", "n", "registers", "long", "component"]
+GROUP_COLUMNS = ["key", "band", "left", "right", "block", "rep", "n", "digest1", "digest2", "registers", "long", "component"]
 _U = np.uint64
 
 
@@ -58,8 +58,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-#: Partners per class grow by this from round to round; after ``RANKED`` of them all others are tried.
-GROWTH, RANKED = 8, 64
+#: Partners per class that a round proposes; after these rounds all others are checked where they meet.
+PARTNERS = (1, 8)
 #: Standard errors that an estimate may lie below the threshold.
 ERRORS = 4
 #: Pairs whose longer signatures are compared at a time.
@@ -151,15 +151,18 @@ def digests(sets: list[np.ndarray]) -> list[pa.Array]:
     return [pa.array(one.view(np.int64)), pa.array(two.view(np.int64))]
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in sliced(batch, "text", SLICE_BYTES):
-            sets = shingle_sets(texts_of(part, "text"))
-            registers = signatures(sets)
-            yield pa.record_batch(
-                [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *digests(sets), pa.array([r.tobytes() for r in registers], pa.binary())],
-                names=["doc_id", "n_shingles", "digest1", "digest2", "registers"],
-            )
+def _sign(more: list[str]):
+    """Signatures of each row, beside its ``more`` columns."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
+        for batch in batches:
+            for part in sliced(batch, "text", SLICE_BYTES):
+                sets = shingle_sets(texts_of(part, "text"))
+                columns = [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *digests(sets), pa.array([r.tobytes() for r in signatures(sets)], pa.binary())]
+                yield pa.record_batch([*columns, *(part.column(c) for c in more)], names=["doc_id", "n_shingles", "digest1", "digest2", "registers", *more])
+
+    return sign
 
 
 def _matrix(column: pa.Array, kind: type = np.uint16, width: int = REGISTERS) -> np.ndarray:
@@ -196,22 +199,38 @@ def _long_fits(long: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) ->
     return estimate(equal, LONG, LONG_COLLISION) >= lowest(np.minimum(n[i], n[j]), LONG)
 
 
-def candidates(rows: dict[str, np.ndarray], most: int | None, pair: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Of one group: the ``most`` likeliest partners (None: all) of each class in other components;
-    whether there are more.  ``pair``: only classes of these two blocks are paired."""
-    regs, n, comp, block = rows["registers"], rows["n"], rows["component"], rows["block"]
-    out_a, out_b, more = [], [], False
-    words = np.ascontiguousarray(regs).view(np.uint64)  # one per band
-    left, right = np.flatnonzero(block == pair[0]), np.flatnonzero(block == pair[1])
+def _fitting(rows: dict[str, np.ndarray], a: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal registers of all pairs of ``a`` and ``right``, and which pairs of two components may be links."""
+    regs, n, comp = rows["registers"], rows["n"], rows["component"]
+    equal = np.zeros((len(a), len(right)), np.int16)
+    for j in range(REGISTERS):
+        equal += regs[a, j][:, None] == regs[right, j][None, :]
+    small, large = np.minimum(n[a][:, None], n[right][None, :]), np.maximum(n[a][:, None], n[right][None, :])
+    return equal, (estimate(equal) >= lowest(small, REGISTERS)) & (100 * small >= PERCENT * large) & (comp[a][:, None] != comp[right][None, :])
+
+
+def _own(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Pairs that belong to this band, the first that both share, and may be links by their longer signatures too."""
+    words = np.ascontiguousarray(rows["registers"]).view(np.uint64)  # one per band
+    own = np.flatnonzero((words[i] == words[j]).argmax(axis=1) == rows["band"][0])
+    return own[_long_fits(rows["long"], rows["n"], i[own], j[own])]
+
+
+def _steps(rows: dict[str, np.ndarray], pair: tuple[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Some rows of the left block at a time, with all of the right one."""
+    left, right = np.flatnonzero(rows["block"] == pair[0]), np.flatnonzero(rows["block"] == pair[1])
     step = max(1, (1 << 18) // max(1, len(right)))
     for at in range(0, len(left), step):
-        a = left[at : at + step]
-        equal = np.zeros((len(a), len(right)), np.int16)
-        for j in range(REGISTERS):
-            equal += regs[a, j][:, None] == regs[right, j][None, :]
-        small, large = np.minimum(n[a][:, None], n[right][None, :]), np.maximum(n[a][:, None], n[right][None, :])
-        fits = (estimate(equal) >= lowest(small, REGISTERS)) & (100 * small >= PERCENT * large) & (comp[a][:, None] != comp[right][None, :])
-        if most is None or most >= len(right):
+        yield left[at : at + step], right
+
+
+def candidates(rows: dict[str, np.ndarray], most: int, pair: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Of one group: the ``most`` likeliest partners of each class in other components;
+    whether there are more.  ``pair``: only classes of these two blocks are paired."""
+    out_a, out_b, more = [], [], False
+    for a, right in _steps(rows, pair):
+        equal, fits = _fitting(rows, a, right)
+        if most >= len(right):
             i, j = np.nonzero(fits)
             i, j = a[i], right[j]
         else:
@@ -220,11 +239,7 @@ def candidates(rows: dict[str, np.ndarray], most: int | None, pair: tuple[int, i
             i, j = np.nonzero(np.take_along_axis(equal, top, axis=1) >= 0)
             i, j = a[i], right[top[i, j]]
             more |= bool((fits.sum(axis=1) > most).any())
-        # A pair belongs to the first band that both share, and is proposed there only.
-        shared = (words[i] == words[j]).argmax(axis=1)
-        own = shared == rows["band"][0]
-        i, j = i[own], j[own]
-        own = _long_fits(rows["long"], n, i, j)
+        own = _own(rows, i, j)
         out_a.append(rows["rep"][i[own]])
         out_b.append(rows["rep"][j[own]])
     if not out_a:
@@ -233,17 +248,69 @@ def candidates(rows: dict[str, np.ndarray], most: int | None, pair: tuple[int, i
     return np.minimum(a, b), np.maximum(a, b), more
 
 
+class _Union:
+    """Which of a group's classes are known to be linked, components of earlier rounds included."""
+
+    def __init__(self, component: np.ndarray):
+        _, first, at = np.unique(component, return_index=True, return_inverse=True)
+        self.up = first[at]
+
+    def top(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = i = self.up[self.up[i]]
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        i, j = self.top(i), self.top(j)
+        self.up[max(i, j)] = min(i, j)
+        return i != j
+
+
+def exact_links(rows: dict[str, np.ndarray], pair: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Of one group: links between classes of the two blocks that are in different components, by their
+    whole sets; enough of them to join all that are linked, so fewer than the group has classes."""
+    sets = [np.frombuffer(x, np.uint64) for x in rows["set"]]
+    sizes = np.array([len(x) for x in sets], np.int64)
+    known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    starts, mark, union = np.cumsum(sizes) - sizes, np.zeros(len(known), np.int64), _Union(rows["component"])
+    out = []
+    for a, right in _steps(rows, pair):
+        _, fits = _fitting(rows, a, right)
+        i, j = np.nonzero(fits)
+        i, j = a[i], right[j]
+        own = _own(rows, i, j)
+        i, j = i[own], j[own]
+        cuts = np.flatnonzero(np.diff(i, prepend=-1))
+        for at, end in zip(cuts, np.append(cuts[1:], len(i))[: len(cuts)], strict=True):
+            x = int(i[at])
+            others = np.array([y for y in j[at:end].tolist() if union.top(y) != union.top(x)], np.int64)
+            if not len(others):
+                continue
+            mine = flat[starts[x] : starts[x] + sizes[x]]
+            mark[mine] = 1
+            where = np.concatenate([flat[starts[y] : starts[y] + sizes[y]] for y in others])
+            both = np.add.reduceat(mark[where], np.cumsum(sizes[others]) - sizes[others])
+            mark[mine] = 0
+            for y in others[100 * both >= PERCENT * (sizes[x] + sizes[others] - both)].tolist():
+                if union.join(x, y):
+                    out.append((rows["rep"][x], rows["rep"][y]))
+    a, b = np.array(out, np.int64).reshape(-1, 2).T
+    return np.minimum(a, b), np.maximum(a, b)
+
+
 def _propose(most: int | None):
-    """Streams over rows sorted by group; a group's rows may span batches."""
+    """Streams over rows sorted by group; a group's rows may span batches.  With ``most`` proposals
+    (a, b) and the keys of groups that have more; with None exact links."""
 
     def emit(batch: pa.RecordBatch) -> pa.RecordBatch:
-        column = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in GROUP_COLUMNS if c not in ("registers", "long")}
+        column = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c not in ("registers", "long")}
         column["registers"] = _matrix(batch.column("registers"))
         column["long"] = _matrix(batch.column("long"), np.uint8, LONG)
         cut = np.flatnonzero(np.diff(column["key"]) | np.diff(column["left"]) | np.diff(column["right"])) + 1
         out: tuple[list, list, list] = ([], [], [])
         for a, b in zip([0, *cut], [*cut, batch.num_rows], strict=True):
-            x, y, more = candidates({c: v[a:b] for c, v in column.items()}, most, (int(column["left"][a]), int(column["right"][a])))
+            group, pair = {c: v[a:b] for c, v in column.items()}, (int(column["left"][a]), int(column["right"][a]))
+            x, y, more = (*exact_links(group, pair), False) if most is None else candidates(group, most, pair)
             out[0].append(x)
             out[1].append(y)
             out[2].append(np.full(len(x), -1, np.int64))
@@ -365,49 +432,73 @@ def links(docs: DataFrame, signed: DataFrame, block: int = BLOCK) -> tuple[DataF
     sets = write_once(node_sets.mapInArrow(_sets, "rep long, set binary, long binary, digest1 long, digest2 long"), "sets")
     # An id may have several texts, not all of them leading a class; equal rows count once.
     longs = sets.groupBy("rep", "digest1", "digest2").agg(F.first("long").alias("long"))
-    leaders = classes.join(longs, ["rep", "digest1", "digest2"]).select("rep", "n", "registers", "long")
+    leaders = classes.join(longs, ["rep", "digest1", "digest2"]).select("rep", "n", "digest1", "digest2", "registers", "long")
     members = write_once(places.join(leaders, "rep"), "members")
 
-    tested, edges, found, most, active = None, None, None, 1, members
-    while True:
+    tested, edges, found, active = None, None, None, members
+    dealt = lambda rows: rows.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
+    for most in (*PARTNERS, None):
         if found is None:
             labelled = active.withColumn("component", F.col("rep"))
         else:
             labelled = active.join(found, active["rep"] == found["node"], "left").withColumn("component", F.coalesce("component", "rep"))
-        dealt = labelled.select(*GROUP_COLUMNS).repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
-        proposed = write_once(dealt.mapInArrow(_propose(most), "a long, b long, more long"), "proposed")
-        pairs = proposed.where(F.col("a") >= 0).select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = write_once(pairs, "pairs")
-        with_a = pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a")
-        with_both = with_a.join(sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b")), "b")
-        new = write_once(with_both.select("a", "b", "set_a", "set_b").mapInArrow(_verify, "a long, b long"), "links")
-        tested, edges = (pairs, new) if tested is None else (tested.union(pairs), edges.union(new))
+        group = labelled.select(*GROUP_COLUMNS)
+        if most is None:
+            group = group.join(sets.groupBy("rep", "digest1", "digest2").agg(F.first("set").alias("set")), ["rep", "digest1", "digest2"])
+            new = write_once(dealt(group).mapInArrow(_propose(None), "a long, b long, more long").select("a", "b"), "links")
+        else:
+            proposed = write_once(dealt(group).mapInArrow(_propose(most), "a long, b long, more long"), "proposed")
+            pairs = proposed.where(F.col("a") >= 0).select("a", "b").distinct()
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = write_once(pairs, "pairs")
+            with_a = pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a")
+            with_both = with_a.join(sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b")), "b")
+            new = write_once(with_both.select("a", "b", "set_a", "set_b").mapInArrow(_verify, "a long, b long"), "links")
+            tested = pairs if tested is None else tested.union(pairs)
+        edges = new if edges is None else edges.union(new)
         if found is None or not new.isEmpty():
             found = components(edges)
+        if most is None:
+            break
         more = proposed.where(F.col("a") < 0).select(F.col("more").alias("key")).distinct()
         if more.isEmpty():
-            return classes.select("rep", "n", "digest1", "digest2"), found
+            break
         active = write_once(active.join(more, "key", "left_semi"), "active")
-        most = most * GROWTH if most < RANKED else None
+    return classes.select("rep", "n", "digest1", "digest2"), found
 
 
-def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row."""
+def _components(docs: DataFrame, block: int) -> DataFrame:
+    """Every row of ``docs`` (doc_id, text, further columns) with n_shingles, digest1, digest2 and component_id."""
     ship(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = write_once(rows.mapInArrow(_sign, SIGN_SCHEMA), "signatures")
-    classes, found = links(docs, signed, block)
+    rows = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
+    more = [c for c in rows.columns if c not in ("doc_id", "text")]
+    schema = SIGN_SCHEMA + "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in more)
+    signed = write_once(rows.mapInArrow(_sign(more), schema), "signatures")
+    classes, found = links(rows, signed, block)
     classes = classes.withColumnRenamed("n", "n_shingles").join(found, F.col("rep") == F.col("node"), "left")
     top = classes.select("n_shingles", "digest1", "digest2", F.coalesce("component", "rep").alias("least"))
-    slim = signed.select("doc_id", "n_shingles", "digest1", "digest2")
-    out = slim.join(top, ["n_shingles", "digest1", "digest2"], "left")
+    out = signed.drop("registers").join(top, ["n_shingles", "digest1", "digest2"], "left")
     linked = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("least")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", linked.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return out.withColumn("component_id", linked).drop("least")
+
+
+def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row."""
+    found = _components(docs.select("doc_id", "text"), block).select("doc_id", "n_shingles", "component_id")
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document (the least id) of each component."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` with one row of each component: of those with its least id the first by set and place.
+
+    Rows are decided one by one, so where an id repeats a text of its own stays and a copy goes.  Rows
+    with a null id or without words are in no component and stay."""
+    # A row's number has to be the same in each later step, so it is written with the row.
+    numbered = write_once(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("doc")), "numbered")
+    found = _components(numbered.select(F.col("doc.doc_id").alias("doc_id"), F.col("doc.text").alias("text"), "row"), BLOCK)
+    linked = found.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
+    first = linked.where(F.col("doc_id") == F.col("component_id")).groupBy("component_id").agg(F.min(F.struct("n_shingles", "digest1", "digest2", "row")).alias("first"))
+    stays = first.select(F.col("first.row").alias("row"))
+    gone = linked.select("row").join(stays, "row", "left_anti")
+    return numbered.join(gone, "row", "left_anti").select(*[F.col(f"doc.{quoted(c)}").alias(c) for c in docs.columns])

@@ -15,6 +15,8 @@ from collections.abc import Iterable
 
 import numpy as np
 
+from weirhouse.llm.common import caches
+
 KNOWN_PIECES = 400_000
 GROUP = 512
 WORD_END = "</w>"
@@ -92,6 +94,7 @@ class PieceEncoder:
 
 
 _encoders: dict[str, PieceEncoder] = {}
+caches.append(_encoders.clear)
 
 
 def encoder(path: str) -> PieceEncoder:

@@ -8,7 +8,8 @@ label over the sample choose the ``terms`` whose rates differ most; only these g
 weights.  The fitted model has a fixed size whatever the input; scoring covers every whole text.
 
 Labels are read from ``labels`` (rows with a null id or label, and ids with both labels, are left
-out) and only for documents that ``learn`` lets through.  Without both labels in the sample every
+out) and only for documents that ``learn`` lets through; of rows with one id the sample takes that with the
+least hash of its text, so it has 2 x ``sample_per_label`` rows at most.  Without both labels in the sample every
 score is 0.  Null and empty texts have no terms: their score is the bias.  Each row is scored by
 itself, repeated or not; null ids count as held out.  An empty table gives no rows.  Columns other
 than ``doc_id`` and ``text`` are ignored.
@@ -24,15 +25,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from weirhouse.llm.common import WORD_BYTES, ship, sliced, texts_of
+from weirhouse.llm.common import WORD_BYTES, drop_caches, quoted, ship, sliced, texts_of, write_once
 
 SLOTS = 1 << 18
 TERMS = 4096
 FACTORS = 8
 SAMPLE_PER_LABEL = 6000
 STEPS = 2000
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 100_000
 SLICE_BYTES = 4 << 20
 PREFIXES = (4, 5, 6)
 LEAST_DOCS = 4
@@ -138,6 +140,7 @@ def fit_machine(rows: list[np.ndarray], labels: np.ndarray, chosen: np.ndarray,
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many documents of each label hold each term."""
+    drop_caches()
     terms, counts = Terms(), np.zeros((2, SLOTS), np.int64)
     for batch in batches:
         for text, y in zip(texts_of(batch, "text"), batch.column("toxic").to_pylist(), strict=True):
@@ -171,7 +174,8 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int) ->
     known = known.join(ids, "doc_id", "left_semi")
     least = lambda y: known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label)
     chosen = F.broadcast(least(0).unionAll(least(1)))  # at most 2 x per_label pairs of numbers
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
+    return texts.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 def learned_rows(column: str = "doc_id", folds: int = 5) -> Column:
@@ -181,7 +185,7 @@ def learned_rows(column: str = "doc_id", folds: int = 5) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, per_label: int = SAMPLE_PER_LABEL) -> Machine | None:
     ship(docs.sparkSession)
-    rows = sample(docs, labels, learned_rows() if learn is None else learn, per_label)
+    rows = write_once(sample(docs, labels, learned_rows() if learn is None else learn, per_label), "toxic-sample")
     counts = rows.mapInArrow(_count, "term long, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).orderBy("term").toPandas()
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
@@ -193,6 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, per_lab
 
 def _score(machine: Machine | None, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         terms = Terms(machine.chosen) if machine else None
         for batch in batches:
             for part in sliced(batch, "text", SLICE_BYTES):
@@ -213,7 +218,7 @@ def score(docs: DataFrame, machine: Machine | None) -> DataFrame:
 def keep_clean(docs: DataFrame, machine: Machine | None, reject_from: float = 0.5) -> DataFrame:
     """``docs`` without those that score ``reject_from`` or more."""
     ship(docs.sparkSession)
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
-    kinds = f"row {packed.schema['row'].dataType.simpleString()}, score double"
+    packed = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
+    kinds = T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())])
     scored = packed.mapInArrow(_score(machine, ["row"]), kinds).where(F.col("score") < reject_from)
-    return scored.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return scored.select(*[F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns])
