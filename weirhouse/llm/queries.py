@@ -276,3 +276,30 @@ WITH split AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM split LEFT JOIN kept USING (row)
 """
+
+
+def _split_words(text: str) -> str:
+    low = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return "regexp_extract_all(" + low + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+ORACLES["op4_decontamination"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, {_split_words('text')} AS w FROM documents),
+items AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_split_words('text')} AS w FROM benchmark),
+phrases AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[pos : pos + least(10, len(w)) - 1], ' ') AS phrase
+  FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS pos FROM items WHERE len(w) > 0)
+), runs AS (
+  SELECT row, n, pos, array_to_string(w[pos : pos + n - 1], ' ') AS phrase
+  FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS pos FROM docs, (SELECT DISTINCT n FROM phrases) WHERE len(w) >= n)
+), hits AS (
+  SELECT DISTINCT row, pos, n, item FROM runs JOIN phrases USING (n, phrase)
+), covered AS (
+  SELECT row, count(DISTINCT word) AS n_hit FROM (SELECT row, unnest(range(pos, pos + n)) AS word FROM hits) GROUP BY row
+), found AS (
+  SELECT row, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS listed FROM hits GROUP BY row
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (row) LEFT JOIN found USING (row)
+"""
