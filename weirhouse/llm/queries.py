@@ -303,3 +303,31 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN covered USING (row) LEFT JOIN found USING (row)
 """
+
+
+ORACLES["op9_near_dup"] = """
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT row, array_to_string(w[pos : pos + 4], ' ') AS shingle
+  FROM (SELECT row, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS pos FROM docs WHERE len(w) > 0)
+), sizes AS (
+  SELECT row, count(*) AS n FROM shingles GROUP BY row
+), shared AS (
+  SELECT a.row AS u, b.row AS v, count(*) AS n_both FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.row < b.row GROUP BY a.row, b.row
+), links AS (
+  SELECT u, v FROM shared JOIN sizes x ON x.row = u JOIN sizes y ON y.row = v WHERE 100 * n_both >= 75 * (x.n + y.n - n_both)
+), edges AS (
+  SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reached AS (
+  SELECT row, row AS other FROM docs
+  UNION
+  SELECT r.row, e.v FROM reached r JOIN edges e ON r.other = e.u
+), tops AS (
+  SELECT r.row, min(d.doc_id) AS component_id FROM reached r JOIN docs d ON d.row = r.other GROUP BY r.row
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM docs JOIN tops USING (row) LEFT JOIN sizes USING (row)
+"""
