@@ -59,10 +59,10 @@ def test_unfinished_batch_is_written_again(spark, tmp_path):
     spec = TopicSpec("t", path=str(tmp_path))
     write_batch(text(spark, "half"), spec, batch_id=3)
     (tmp_path / "batch=3" / "_SUCCESS").unlink()
-    assert files.numbered(spark, str(tmp_path), "batch") == []
+    assert not files.is_complete(spark, str(tmp_path / "batch=3"))
     write_batch(text(spark, "whole"), spec, batch_id=3)
     assert values(read_topic(spark, spec, False)) == ["whole"]
-    assert files.numbered(spark, str(tmp_path), "batch") == [3]
+    assert files.is_complete(spark, str(tmp_path / "batch=3"))
 
 
 USER = dim_store.DimTable("dim_user", ("id", "name", "city"))
@@ -94,22 +94,85 @@ def test_merge_is_partial_before_its_shuffle(spark):
 
 def test_store(spark, tmp_path):
     root = str(tmp_path)
-    assert dim_store.read(spark, root, USER).count() == 0 and dim_store.compact(spark, root, USER) is None
-    first = ups(spark, {"id": "1", "name": "a"}, {"id": "2", "name": "b"})
-    dim_store.append(first, root, 0, ["seq"])
-    dim_store.append(first, root, 0, ["seq"])
+    put = lambda n, *rows: dim_store.upsert(ups(spark, *rows), root, [USER], n, ["seq"])
+    assert dim_store.read(spark, root, USER).count() == 0
+    assert put(0, {"id": "1", "name": "a"}, {"id": "2", "name": "b"}, {"name": "no key"}) == [USER]
+    put(0, {"id": "1", "name": "a"}, {"id": "2", "name": "b"})
     assert table(dim_store.read(spark, root, USER)) == {"1": ("a", None), "2": ("b", None)}
-    dim_store.append(ups(spark, {"id": "1", "city": "x"}), root, 1, ["seq"])
-    dim_store.append(ups(spark).filter("false"), root, 2, ["seq"])  # a batch without rows
-    want = {"1": ("a", "x"), "2": ("b", None)}
-    assert table(dim_store.read(spark, root, USER)) == want
-    assert dim_store.compact(spark, root, USER) == 2
-    assert table(dim_store.read(spark, root, USER)) == want
-    dim_store.append(ups(spark, {"id": "2", "name": "B"}, {"id": "9", "name": "n"}), root, 10, ["seq"])
-    (tmp_path / "changes" / "batch=11").mkdir()  # a batch that was never finished
+    put(1, {"id": "1", "city": "x"})
+    assert put(2) == [] and put(3, {"name": "no key"}) == []
+    assert table(dim_store.read(spark, root, USER)) == {"1": ("a", "x"), "2": ("b", None)}
+    put(10, {"id": "2", "name": "B"}, {"id": "9", "name": "n"})
     assert table(dim_store.read(spark, root, USER)) == {"1": ("a", "x"), "2": ("B", None), "9": ("n", None)}
     other = dim_store.DimTable("dim_other", ("id",))
     assert dim_store.read(spark, root, other).count() == 0
+    with pytest.raises(ValueError, match="dim_user"):
+        dim_store.upsert(ups(spark, {"id": "1"}), root, [other], 11, ["seq"])
+    wide = dim_store.DimTable("dim_user", (*USER.columns, "age"))
+    dim_store.upsert(ups(spark, {"id": "1", "age": "7"}), root, [wide], 12, ["seq"])
+    got = {r["id"]: (r["city"], r["age"]) for r in dim_store.read(spark, root, wide).collect()}
+    assert got == {"1": ("x", "7"), "2": (None, None), "9": (None, None)}
+
+
+def test_only_touched_buckets_are_replaced(spark, tmp_path):
+    root, people = str(tmp_path), [{"id": str(i), "name": "a"} for i in range(300)]
+    dim_store.upsert(ups(spark, *people), root, [USER], 0, ["seq"])
+    files_of = lambda: {p.parent.name: p.name for p in (tmp_path / "dim_user").glob("*/*.parquet")}
+    before = files_of()
+    dim_store.upsert(ups(spark, {"id": "7", "name": "b"}), root, [USER], 1, ["seq"])
+    after = files_of()
+    assert len(before) == USER.buckets and sum(after[b] != before[b] for b in before) == 1
+    got = table(dim_store.read(spark, root, USER))
+    assert len(got) == 300 and [i for i, (name, _) in got.items() if name == "b"] == ["7"]
+
+
+@pytest.mark.parametrize("lost", ["nothing yet", "a bucket"])
+def test_store_survives_a_crash_while_buckets_are_replaced(spark, tmp_path, monkeypatch, lost):
+    root = str(tmp_path)
+    dim_store.upsert(ups(spark, *[{"id": str(i), "name": "a"} for i in range(100)]), root, [USER], 0, ["seq"])
+    batch = ups(spark, {"id": "1", "city": "x"}, {"id": "2", "city": "y"})
+    stage = dim_store._stage
+
+    def stop(*args):
+        if lost == "a bucket":
+            stage(*args)
+        raise RuntimeError("crash")
+
+    monkeypatch.setattr(dim_store, "_stage", stop)
+    with pytest.raises(RuntimeError):
+        dim_store.upsert(batch, root, [USER], 1, ["seq"])
+    monkeypatch.undo()
+    if lost == "a bucket":  # deleted, and its new files not yet moved in
+        bucket = spark.range(1).select(USER.bucket_of(F.lit("1"))).first()[0]
+        for p in (tmp_path / "dim_user" / f"_bucket={bucket}").iterdir():
+            p.unlink()
+        assert dim_store.read(spark, root, USER).count() < 100
+    dim_store.upsert(batch, root, [USER], 1, ["seq"])
+    got = table(dim_store.read(spark, root, USER))
+    assert len(got) == 100 and got["1"] == ("a", "x") and got["2"] == ("a", "y") and got["3"] == ("a", None)
+
+
+def test_catalog_tables_follow_rules(spark, tmp_path):
+    root = str(tmp_path / "store")
+    spark.sql(f"CREATE DATABASE dims_test LOCATION '{tmp_path}/db'")
+    rule = lambda at, columns, pk=None: ("user", "insert", "hbase", "dim_ox", columns, pk, None, at)
+    schema = "sourceTable string, operateType string, sinkType string, sinkTable string, sinkColumns string, sinkPk string, sinkExtend string, at int"
+    tables = lambda *rules: dim_store.store_tables(spark.createDataFrame(rules, schema), ["at"])
+    first, both = rule(1, "name,z"), rule(2, "id,a b,Name")
+    try:
+        dim_store.follow_rules(spark, tables(first).values(), "dims_test", root)
+        assert spark.table("dims_test.`dim_ox`").columns == ["name", "z", "id", "_bucket"]
+        known = tables(both, first, first)
+        dim_store.follow_rules(spark, tables(first, rule(2, "a b")).values(), "dims_test", root)
+        dim_store.follow_rules(spark, known.values(), "dims_test", root)  # a name in other case is no new column
+        assert spark.table("dims_test.`dim_ox`").columns == ["name", "z", "id", "a b", "_bucket"]
+        row = spark.createDataFrame([("dim_ox", {"id": "1", "a b": "v"}, 1)], "sinkTable string, data map<string,string>, seq int")
+        now = tables(first, rule(2, "a b")).values()
+        touched = dim_store.upsert(row, root, now, 0, ["seq"])
+        dim_store.show_new_buckets(spark, touched, "dims_test")
+        assert [tuple(r)[:4] for r in spark.table("dims_test.`dim_ox`").collect()] == [(None, None, "1", "v")]
+    finally:
+        spark.sql("DROP DATABASE dims_test CASCADE")
 
 
 def test_table_from_rule(spark):

@@ -1,7 +1,7 @@
 """Run one job: ``spark-submit -m weirhouse <job> <settings.json>``.
 
 Settings: ``servers`` (Kafka) or ``root`` (folder of file topics), and
-``checkpoint``; ``store`` for the dimension tables; ``jdbc`` (``url``, ``table``,
+``checkpoint``; ``store`` for the dimension tables and ``database``, whose tables follow the rules, where wanted; ``jdbc`` (``url``, ``table``,
 ``driver``) or ``stats`` (folder) for the visitor statistics; ``cdc_topics``, the
 pattern of the connector's topics; ``groups``, a consumer group by job; ``once`` to take what is there and stop.
 """
@@ -73,8 +73,8 @@ class Settings:
 
     def dims(self) -> dict[str, DataFrame]:
         """The six dimension tables as the store has them now."""
-        rules = routing.store_rows(jobs.rules_of_topic(self.spark, self.topic(RULE_CHANGES))).collect()
-        tables = {name.lower(): t for name, t in dim_store.DimTable.of_rules(rules).items()}
+        rules = routing.store_rows(jobs.rule_history_of_topic(self.spark, self.topic(RULE_CHANGES)))
+        tables = {name.lower(): t for name, t in dim_store.store_tables(rules, jobs.RULE_ORDER).items()}
         wanted = [spec.table for spec in dim_ops.order_dims(0)]
         missing = [name for name in wanted if name not in tables]
         if missing:
@@ -114,6 +114,7 @@ def start(job: str, s: Settings):
             ck,
             trigger,
             as_of=True,
+            database=s.values.get("database"),
         ),
         "unique-visits": lambda: jobs.find_unique_visits(
             spark,

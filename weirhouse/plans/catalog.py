@@ -424,7 +424,7 @@ def dim_upsert(spark, sf_dir):
 
 @query
 def dim_upsert_store(spark, sf_dir):
-    """The same through the store: rows first, changes by status, a fold in between."""
+    """The same through the store: rows first, then the changes in two batches."""
     root = scratch_dir(spark, "dim-store")
     first = tb.user_rows(spark, sf_dir).select(
         F.map_filter(
@@ -437,12 +437,32 @@ def dim_upsert_store(spark, sf_dir):
     middle = changes.agg(F.percentile_approx("seq", 0.5)).first()[0]
     batches = [first, changes.filter(F.col("seq") <= middle), changes.filter(F.col("seq") > middle)]
     for n, rows in enumerate(batches):
-        dim_store.append(rows.withColumn("sinkTable", F.lit(USER_TABLE.name)), root, n, ["seq"])
-        if n == 1:
-            dim_store.compact(spark, root, USER_TABLE)
+        dim_store.upsert(rows.withColumn("sinkTable", F.lit(USER_TABLE.name)), root, [USER_TABLE], n, ["seq"])
     return dim_store.read(spark, root, USER_TABLE)
 
 
+@query
+def dim_tables_of_rules(spark, sf_dir):
+    """Catalog tables that follow two deliveries of rule messages: columns and keys as they end up."""
+    changes = cdc.normalize_cdc(tb.store_rule_messages(spark, sf_dir))
+    history = land(routing.rule_changes(changes, ["seq"]), "store-rules")
+    middle = history.agg(F.percentile_approx("seq", 0.5)).first()[0]
+    root = scratch_dir(spark, "dim-tables")
+    database = root.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}-database'")
+    try:
+        for known in (history.where(F.col("seq") <= middle), history):
+            dim_store.follow_rules(spark, dim_store.store_tables(known, ["seq"]).values(), database, root)
+        rows = []
+        for name in [t.name for t in spark.catalog.listTables(database)]:
+            key = spark.sql(f"SHOW TBLPROPERTIES {database}.{name} ('weirhouse.pk')").first()["value"]
+            names = [c for c in spark.table(f"{database}.{name}").columns if c != dim_store.BUCKET]
+            rows += [(name, c, i, c == key) for i, c in enumerate(names)]
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    return _plain(spark.createDataFrame(rows, "table_name string, column_name string, place bigint, is_key boolean"))
+
+
 @query
 def camel_names(spark, sf_dir):
     rows = tb.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")

@@ -450,6 +450,17 @@ SELECT 't' || mid AS "sourceTable", CASE WHEN k % 2 = 0 THEN 'insert' ELSE 'upda
 FROM last WHERE NOT (page_id = 'error' AND k % 3 = 0)""",
     "dim_upsert": _DIM_UPSERT,
     "dim_upsert_store": _DIM_UPSERT,
+    "dim_tables_of_rules": f"""
+WITH {_EVENTS}, said AS (
+  SELECT seq, 'dim_t' || seq % 4 AS table_name, CASE WHEN seq % 4 = 0 THEN 'code' ELSE 'id' END AS key,
+    ['name', page_id, 'c' || k % 9] || CASE WHEN k % 2 = 0 THEN ['code'] ELSE [] END AS cols FROM ev
+), named AS (
+  SELECT table_name, key, seq, unnest(list_append(cols, key)) AS column_name, unnest(range(1, len(cols) + 2)) AS i FROM said
+), first AS (
+  SELECT table_name, column_name, min((seq, i)) AS place, bool_or(column_name = key) AS is_key FROM named GROUP BY ALL
+)
+SELECT table_name, column_name, row_number() OVER (PARTITION BY table_name ORDER BY place) - 1 AS place,
+       CAST(is_key AS BIGINT) AS is_key FROM first""",
     "camel_names": """
 SELECT CAST(c_custkey AS VARCHAR) AS "cCustkey", c_name AS "cName", c_mktsegment AS "cMktsegment" FROM customer""",
     "stream_cdc_route": _ROUTE,

@@ -306,6 +306,25 @@ def rule_history_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def store_rule_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a rule that fills one of four dimension tables, in the order of ``seq``.
+
+    Column lists differ by kind of event, and some lack the key.
+    """
+    e, k = _events(spark, sf_dir), F.col("k")
+    number = F.col("seq") % 4
+    new = _image(
+        source_table=F.concat(F.lit("t"), number),
+        operate_type=F.lit("insert"),
+        sink_type=F.lit("hbase"),
+        sink_table=F.concat(F.lit("dim_t"), number),
+        sink_columns=F.concat(F.lit("name,"), F.col("page.page_id"), F.lit(",c"), k % 9, F.when(k % 2 == 0, F.lit(",code")).otherwise("")),
+        sink_pk=F.when(number == 0, F.lit("code")),
+    )
+    none = F.lit(None).cast("map<string,string>")
+    return e.select(*_message("srv.config.table_process", F.lit("u"), none, new, F.col("seq")))
+
+
 def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order writes its customer's row; finished ones leave ``urgent`` alone."""
     finished = F.col("o_orderstatus") == "F"

@@ -1,33 +1,51 @@
-"""Dimension tables on Parquet: upserts are appended, reads merge, compaction folds.
+"""Dimension tables on Parquet, partitioned by a hash of the key.
 
-A store is a folder with ``changes/batch=N`` (upserts of one micro-batch, by
-table) and ``base/<table>/version=N`` (all batches up to N folded).  A batch
-writes only its own changes, so an upsert does not get dearer as tables grow.
-All values are text.
+A table is the folder ``<root>/<table>/_bucket=N``, one row per key.  An upsert merges a batch
+into the buckets its keys fall in and replaces only those, so a read is one plain scan however
+many batches there were, and an upsert costs what the touched buckets hold.  All values are text.
+
+The rows of the touched buckets are written aside before any bucket is replaced.  A batch that
+runs again after a crash, at whatever point, starts from there and ends at the same table.  A
+reader that lists a table's files just before a batch replaces them fails on the missing file and
+has to be run again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirhouse.functions import records
-from weirhouse.sources import files
+
+BUCKET = "_bucket"
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 @dataclass(frozen=True)
 class DimTable:
-    """Name, columns and key of a dimension table, from its routing rule."""
+    """Name, columns and key of a dimension table, from its routing rule.
+
+    ``buckets`` must stay the same for the life of a stored table; choose it so that a bucket
+    holds a few hundred megabytes.
+    """
 
     name: str
     columns: tuple[str, ...]
     pk: str = "id"
     extend: str = ""
+    buckets: int = 32
 
     @staticmethod
     def of_rule(rule) -> "DimTable":
@@ -55,17 +73,61 @@ class DimTable:
         """All text; the key column is not nullable."""
         return T.StructType([T.StructField(c, T.StringType(), c != self.pk) for c in self.columns])
 
-    def create_sql(self, database: str) -> str:
-        """Statement for a catalog table; Spark has no primary keys, so it is a property."""
-        quoted = lambda name: "`" + name.replace("`", "``") + "`"
-        cols = ", ".join(f"{quoted(c)} STRING" for c in self.columns)
-        pk = self.pk.replace("\\", "\\\\").replace("'", "\\'")
+    def bucket_of(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def create_sql(self, database: str, root: str | None = None) -> str:
+        """Statement for a catalog table, over the stored one where ``root`` is given.
+
+        Spark has no primary keys, so the key is a property.
+        """
+        cols = [f"{_quoted(c)} STRING" for c in self.columns]
+        stored = ""
+        if root is not None:
+            cols.append(f"{_quoted(BUCKET)} INT")
+            stored = f" PARTITIONED BY ({_quoted(BUCKET)}) LOCATION {_text(f'{root}/{self.name}')}"
         return (
-            f"CREATE TABLE IF NOT EXISTS {quoted(database)}.{quoted(self.name)} ({cols}) USING parquet"
-            f" TBLPROPERTIES ('weirhouse.pk'='{pk}') {self.extend}".rstrip()
+            f"CREATE TABLE IF NOT EXISTS {_quoted(database)}.{_quoted(self.name)} ({', '.join(cols)}) USING parquet"
+            f"{stored} TBLPROPERTIES ('weirhouse.pk'={_text(self.pk)}) {self.extend}".rstrip()
         )
 
 
+def store_tables(rules: DataFrame, order: Sequence[str] = ()) -> dict[str, DimTable]:
+    """The tables that rule rows for the store fill, with the columns of all rules in ``order``.
+
+    Rules that say the same are brought together before they come to the driver, so a long
+    history of rules gives no more rows than there are different rules.
+    """
+    said = ["sinkTable", "sinkColumns", "sinkPk", "sinkExtend"]
+    place = F.min(F.struct(*order)) if order else F.lit(0)
+    different = rules.groupBy(*said).agg(place.alias("_place"))
+    return DimTable.of_rules(different.orderBy("_place", *said).collect())
+
+
+def follow_rules(spark: SparkSession, tables: Iterable[DimTable], database: str, root: str) -> None:
+    """Catalog tables over the store, as rules name them: new ones are created, others gain columns.
+
+    A column that no rule names any more stays.
+    """
+    for table in tables:
+        name = f"{_quoted(database)}.{_quoted(table.name)}"
+        if not spark.catalog.tableExists(name):
+            spark.sql(table.create_sql(database, root))
+            continue
+        has = {c.lower() for c in spark.table(name).columns}
+        new = [c for c in table.columns if c.lower() not in has]
+        if new:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'{_quoted(c)} STRING' for c in new)})")
+
+
+def show_new_buckets(spark: SparkSession, tables: Iterable[DimTable], database: str) -> None:
+    """Let the catalog see the buckets that batches added to the tables' folders."""
+    for table in tables:
+        name = f"{_quoted(database)}.{_quoted(table.name)}"
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(name)
+
+
 def _last(value: Column, order: Column, present: Column) -> Column:
     """The value written last, among rows that wrote the column."""
     return F.max_by(F.when(present, F.struct(value.alias("v"))), F.when(present, order))["v"]
@@ -111,62 +173,77 @@ def merge(
     ).drop("_pk")
 
 
-def append(
-    changes: DataFrame, root: str, batch_id: int, order: Sequence[str], table_col: str = "sinkTable"
-) -> None:
-    """Store one micro-batch of changes (``data`` maps) for all tables in one job.
-
-    ``order`` tells the order of changes within the batch.  A batch that runs
-    again is skipped when its folder is complete, else replaced.
-    """
-    path = f"{root}/changes/batch={batch_id}"
-    if files.is_complete(changes.sparkSession, path):
-        return
-    changes.select(
-        F.col(table_col).alias("table"), "data", F.struct(*[F.col(c) for c in order]).alias("_place")
-    ).hint("rebalance", "table").write.mode("overwrite").partitionBy("table").parquet(path)
-
-
-def _pending(spark: SparkSession, root: str, name: str, above: int) -> tuple[list[int], DataFrame | None]:
-    todo = [n for n in files.numbered(spark, f"{root}/changes", "batch") if n > above]
-    # a batch may hold no row at all, then its folder has no Parquet files
-    rows = [
-        spark.read.option("basePath", f"{root}/changes").parquet(f"{root}/changes/batch={n}")
-        for n in todo
-        if files.has_data(spark, f"{root}/changes/batch={n}")
-    ]
-    if not rows:
-        return todo, None
-    changes = reduce(DataFrame.unionByName, rows).filter(F.col("table") == name)
-    return todo, changes.select("data", F.col("batch").cast("bigint").alias("_batch"), "_place")
+def _scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-def _base(spark: SparkSession, root: str, table: DimTable) -> tuple[int, DataFrame | None]:
-    versions = files.numbered(spark, f"{root}/base/{table.name}", "version")
-    if not versions:
-        return -1, None
-    path = f"{root}/base/{table.name}/version={versions[-1]}"
-    return versions[-1], spark.read.schema(table.schema()).parquet(path)
+def _stored(table: DimTable) -> T.StructType:
+    return T.StructType([*table.schema().fields, T.StructField(BUCKET, T.IntegerType())])
 
 
 def read(spark: SparkSession, root: str, table: DimTable) -> DataFrame:
-    """The table as of the last complete batch, one row per key."""
-    above, current = _base(spark, root, table)
-    _, changes = _pending(spark, root, table.name, above)
-    if changes is None:
-        return current if current is not None else spark.createDataFrame([], table.schema())
-    return merge(changes, table, ["_batch", "_place"], current)
-
-
-def compact(spark: SparkSession, root: str, table: DimTable) -> int | None:
-    """Fold complete batches into a new base version; readers switch when it is whole.
-
-    Older folders stay for running readers; remove them after a grace period.
-    The columns of ``table`` are kept; changes to others are not.
+    """The table, one row per key; without rows where no batch has filled it."""
+    rows = _scan(spark, f"{root}/{table.name}", _stored(table))
+    return spark.createDataFrame([], table.schema()) if rows is None else rows.drop(BUCKET)
+
+
+def _stage(changes: DataFrame, root: str, table: DimTable, batch_id: int, order: Sequence[str], buckets: list[int]) -> str:
+    """Write the touched buckets as they will be, beside the table; its folder."""
+    spark = changes.sparkSession
+    staged, ready = f"{root}/_staged/{table.name}", f"{root}/_ready/{table.name}"
+    last = _scan(spark, ready, T.StructType([T.StructField("batch", T.LongType())]))
+    if last is not None and [r["batch"] for r in last.take(1)] == [batch_id]:
+        return staged  # the table may be half replaced: it is not to be merged again
+    current = _scan(spark, f"{root}/{table.name}", _stored(table))
+    if current is not None:
+        current = current.where(F.col(BUCKET).isin(buckets)).drop(BUCKET)
+    merged = merge(changes, table, order, current).withColumn(BUCKET, table.bucket_of(F.col(_quoted(table.pk))))
+    merged.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(staged)
+    done = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch"))
+    done.coalesce(1).write.mode("overwrite").parquet(ready)
+    return staged
+
+
+def upsert(
+    changes: DataFrame,
+    root: str,
+    tables: Iterable[DimTable],
+    batch_id: int,
+    order: Sequence[str],
+    table_col: str = "sinkTable",
+) -> list[DimTable]:
+    """Store one micro-batch of changes (``data`` maps) for all tables; those that were touched.
+
+    ``order`` tells the order of changes within the batch.  ``changes`` is read several times.  A
+    batch that runs again adds nothing; the batches of one store are numbered by one checkpoint.
+    Changes without their table's key are left out, those for a table that is not among
+    ``tables`` fail the batch.
     """
-    above, _ = _base(spark, root, table)
-    todo, _ = _pending(spark, root, table.name, above)
-    if not todo:
-        return None
-    read(spark, root, table).write.mode("overwrite").parquet(f"{root}/base/{table.name}/version={todo[-1]}")
-    return todo[-1]
+    known = {t.name: t for t in tables}
+    name = F.col(table_col)
+    places = [F.when(name == t.name, t.bucket_of(F.try_element_at("data", F.lit(t.pk)))) for t in known.values()]
+    keyed = [F.when(name == t.name, F.try_element_at("data", F.lit(t.pk)).isNotNull()) for t in known.values()]
+    # at most one row per bucket of each table
+    rows = changes.select(
+        name.alias("name"),
+        F.coalesce(*places, F.lit(-1)).alias("bucket"),
+        F.coalesce(*keyed, F.lit(True)).alias("keyed"),
+    )
+    found = rows.where("keyed").groupBy("name").agg(F.collect_set("bucket").alias("buckets")).collect()
+    unknown = sorted(str(r["name"]) for r in found if r["name"] not in known)
+    if unknown:
+        raise ValueError(f"no columns known for {unknown}")
+    touched = []
+    for r in sorted(found, key=lambda r: r["name"]):
+        table = known[r["name"]]
+        staged = _stage(changes.where(name == table.name), root, table, batch_id, order, sorted(r["buckets"]))
+        whole = changes.sparkSession.read.schema(_stored(table)).parquet(staged)
+        out = whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET)
+        out.parquet(f"{root}/{table.name}")
+        touched.append(table)
+    return touched

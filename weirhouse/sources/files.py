@@ -1,36 +1,10 @@
-"""Numbered output folders: which are there, and which are complete."""
+"""Whether the job that wrote a folder was committed."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import SparkSession
 
 
-def _folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether the job that wrote the folder was committed."""
-    marker, fs = _folder(spark, f"{path}/_SUCCESS")
-    return fs.exists(marker)
-
-
-def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers N of the complete ``prefix=N`` folders under ``path``, ascending."""
-    folder, fs = _folder(spark, path)
-    if not fs.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(folder)]
-    matches = [re.fullmatch(rf"{prefix}=(\d+)", name) for name in names]
-    found = sorted(int(m.group(1)) for m in matches if m)
-    return [n for n in found if is_complete(spark, f"{path}/{prefix}={n}")]
-
-
-def has_data(spark: SparkSession, path: str) -> bool:
-    """Whether the folder holds anything but markers."""
-    folder, fs = _folder(spark, path)
-    names = [status.getPath().getName() for status in fs.listStatus(folder)]
-    return any(not name.startswith(("_", ".")) for name in names)
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)

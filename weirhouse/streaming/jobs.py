@@ -82,16 +82,16 @@ def route_changes(
     store: str,
     checkpoint: str,
     trigger: Mapping = EVERY,
-    fold_every: int = 100,
     as_of: bool = False,
+    database: str | None = None,
 ) -> StreamingQuery:
     """Envelopes to fact topics and to the dimension store.
 
     ``rules`` is called once per batch.  With ``as_of`` it gives the history of rules
     (``rule_history_of_topic``) and a change goes by the rule that was in force when it arrived, however
     batches fall; else it gives one rule per table and operation, which applies to the whole batch.
-    Changes that came before their rule are dropped.  After every
-    ``fold_every`` batches the store is folded, so a read merges no more than that many.
+    Changes that came before their rule are dropped.  With ``database``, tables of that name in the
+    catalog follow the rules: a rule for the store creates its table or widens it, rows or none.
     """
     changes = routing.drop_empty(cdc.parse_changes(read_topic(spark, source)))
 
@@ -104,11 +104,12 @@ def route_changes(
         routed = routed.persist()
         try:
             write_batch(routing.topic_rows(routed), facts, batch_id)
-            dim_store.append(routing.store_rows(routed), store, batch_id, ARRIVAL)
-            if (batch_id + 1) % fold_every == 0:
-                in_force = routing.latest_rules(known, RULE_ORDER) if as_of else known
-                for table in dim_store.DimTable.of_rules(routing.store_rows(in_force).collect()).values():
-                    dim_store.compact(spark, store, table)
+            tables = dim_store.store_tables(routing.store_rows(known), RULE_ORDER if as_of else ()).values()
+            if database:
+                dim_store.follow_rules(spark, tables, database, store)
+            touched = dim_store.upsert(routing.store_rows(routed), store, tables, batch_id, ARRIVAL)
+            if database:
+                dim_store.show_new_buckets(spark, touched, database)
         finally:
             routed.unpersist()
             known.unpersist()
