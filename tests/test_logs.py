@@ -77,6 +77,15 @@ def test_whole_records_go_on(spark):
     assert odd in [r["value"] for r in rows]  # an unchanged line stays as it is
 
 
+def test_repeated_names_lose_no_field(spark):
+    text = '{"common":{"mid":"m","is_new":"0","z":1,"z":2},"page":{"page_id":"p"},"ts":9,"displays":[{"n":{"a":1,"a":2}}],"actions":[1]}'
+    good = logs.good_logs(logs.clean_logs(spark.createDataFrame([(text, 1)], "value string, seq bigint")), keep_text=True)
+    rows = logs.split_rows(logs.correct_new_visitors(good), "s", "p", "d", text="value").collect()
+    out = {r["topic"]: json.loads(r["value"]) for r in rows}
+    assert out["d"] == {"n": {"a": 2}, "page_id": "p"}
+    assert out["p"]["actions"] == [1] and out["p"]["common"] == {"mid": "m", "is_new": "0", "z": 2}
+
+
 def test_new_visitor_flag(spark):
     df = pages(spark, [
         page("a", 1, 1, is_new="0"), page("a", 2, 2, is_new="1"), page("a", 2, 3, is_new="1"),

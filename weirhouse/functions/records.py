@@ -109,13 +109,14 @@ def put(m: Column, key: str, value: Column, kind: str = "string") -> Column:
     return F.map_from_entries(F.concat(kept, F.array(entry)))
 
 
-def last_keys(m: Column) -> Column:
-    """``m`` without null values, and with the last value of a repeated key."""
+def last_keys(m: Column, kind: str = "string") -> Column:
+    """``m``, whose values are of ``kind``, without null values, and with the last value of a repeated key."""
     keys = F.map_keys(m)
+    is_null = lambda v: v.isNull() | F.is_variant_null(v) if kind == "variant" else v.isNull()
     return F.map_from_entries(
         F.filter(
             F.map_entries(m),
-            lambda e, i: e["value"].isNotNull()
+            lambda e, i: ~is_null(e["value"])
             & (F.size(keys) - F.array_position(F.reverse(keys), e["key"]) == i),
         )
     )

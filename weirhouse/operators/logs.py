@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from weirhouse import schemas
 from weirhouse.functions import records
+from weirhouse.session import allow_repeated_names
 
 
 def clean_logs(lines: DataFrame, schema: T.StructType | None = None, value: str = "value") -> DataFrame:
@@ -110,7 +111,8 @@ def _whole_records(logs: DataFrame, text: str) -> DataFrame:
     """Adds ``_whole`` and ``_shown``: the line's whole record and displays as JSON, whatever else they
     hold.  Only what the split changes differs from the line; an unchanged line stays as it is."""
     page_id, flag = F.col("page.page_id"), F.col("common.is_new")
-    # Out of a generator, so that the text is parsed once; null where an inner object repeats a key.
+    allow_repeated_names(logs.sparkSession)
+    # Out of a generator, so that the text is parsed once.
     rows = logs.select("*", F.inline(F.array(F.struct(F.try_parse_json(text).alias("_v")))))
     part = lambda path, kind=_FIELDS: F.try_variant_get("_v", path, kind)
     top = part("$")
@@ -134,7 +136,8 @@ def split_rows(logs: DataFrame, start: str, page: str, display: str, text: str |
 
     ``logs`` are good, corrected logs; the names are those of the target topics.
     With ``text``, the column of the raw lines, the whole records go on, with fields this package does not
-    know and with their JSON types; else, and where an inner object of a line repeats a key, the known fields do.
+    know and with their JSON types; of a repeated name the last value, where the line is changed.  Else the known
+    fields do.
     """
     if text is not None:
         logs = _whole_records(logs, text)

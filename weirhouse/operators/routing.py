@@ -27,7 +27,7 @@ def drop_empty(changes: DataFrame) -> DataFrame:
 def _rule_of(m: str) -> dict:
     """Rule fields of a config row; its columns may be snake or camel case."""
     snake = {n: "".join("_" + ch.lower() if ch.isupper() else ch for ch in n) for n in RULE_COLUMNS}
-    return {n: F.coalesce(F.col(m)[n], F.col(m)[snake[n]]) for n in RULE_COLUMNS}
+    return {n: F.coalesce(F.col(m)[n], F.col(m)[snake[n]]).cast("string") for n in RULE_COLUMNS}
 
 
 def rule_changes(changes: DataFrame, order: Sequence[str]) -> DataFrame:

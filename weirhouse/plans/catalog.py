@@ -355,6 +355,26 @@ def cdc_normalize(spark, sf_dir):
     return _changes(spark, sf_dir).withColumns(maps)
 
 
+def _typed_changes(spark, sf_dir):
+    """Typed messages through the change topic: to envelopes, to text and back."""
+    sent = cdc.normalize_cdc(tb.typed_change_messages(spark, sf_dir)).select(*schemas.CHANGE.names)
+    return cdc.parse_changes(records.to_record(sent))
+
+
+@query
+def cdc_typed_cells(spark, sf_dir):
+    """Routed data keeps numbers, nested values and text as they were sent."""
+    rules = tb.rules(spark).withColumn("sinkColumns", F.lit("id,price,price_text,open,more"))
+    return routing.topic_rows(routing.attach_rules(_typed_changes(spark, sf_dir), rules))
+
+
+@query
+def cdc_types(spark, sf_dir):
+    """The types that a table's cells have in common; digits of decimals left aside."""
+    types = cdc.column_types(_typed_changes(spark, sf_dir))
+    return types.select("tableName", "column", F.regexp_replace("type", r"\(\d+,\d+\)", "").alias("type"))
+
+
 @query
 def cdc_drop_empty(spark, sf_dir):
     return routing.drop_empty(_changes(spark, sf_dir)).select("tableName", "type", "seq")

@@ -417,6 +417,16 @@ SELECT o_orderkey + 1000000 AS payment_id, o_orderkey AS order_id, round(o_total
        {_PAID_TEXT} AS payment_create_time, {_ORDER_TEXT} AS order_create_time
 FROM orders WHERE epoch_ms(o_orderdate) - epoch_ms({_PAID}) BETWEEN -900000 AND 5000""",
     "cdc_normalize": f"WITH {_CHANGES} SELECT * EXCLUDE (short) FROM changes",
+    "cdc_typed_cells": """
+WITH o AS (SELECT *, CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS VARCHAR) AS price FROM orders)
+SELECT 'dwd_order_info' AS topic,
+  '{"id":' || o_orderkey || ',"price":' || regexp_replace(regexp_replace(price, '0+$', ''), '[.]$', '') ||
+  ',"price_text":"' || price || '","open":' || (CASE WHEN o_orderstatus = 'O' THEN 'true' ELSE 'false' END) ||
+  ',"more":{"keys":[' || o_custkey || ',null],"priority":"' || o_orderpriority || '"}}' AS value FROM o""",
+    "cdc_types": """
+SELECT 'order_info' AS "tableName", unnest(['id', 'price', 'price_text', 'open', 'more']) AS "column",
+  unnest(['BIGINT', 'DECIMAL', 'STRING', 'BOOLEAN', 'OBJECT<keys: ARRAY<BIGINT>, priority: STRING>']) AS type
+FROM (SELECT 1 FROM orders LIMIT 1)""",
     "cdc_drop_empty": f"""WITH {_CHANGES} SELECT "tableName", type, seq FROM changes WHERE data <> '{{}}'""",
     "cdc_route": _ROUTE,
     "cdc_route_store": f"""

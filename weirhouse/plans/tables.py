@@ -237,6 +237,22 @@ def change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def typed_change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inserted orders with cells of every JSON type, the price as a number and as text."""
+    price = F.col("o_totalprice").cast("decimal(14,2)")
+    cells = F.struct(
+        F.col("o_orderkey").alias("id"),
+        price.alias("price"),
+        price.cast("string").alias("price_text"),
+        (F.col("o_orderstatus") == "O").alias("open"),
+        F.struct(F.array("o_custkey", F.lit(None)).alias("keys"), F.col("o_orderpriority").alias("priority")).alias("more"),
+        F.lit(None).cast("string").alias("coupon"),
+    )
+    rows = table(spark, sf_dir, "orders")
+    none = F.lit(None).cast("map<string,string>")
+    return rows.select(*_message("srv.shop.order_info", F.lit("c"), none, cells, F.col("o_orderkey")))
+
+
 # Routing rules of the example shop: (table, operation, kind of sink, sink, columns).
 RULES = [
     ("order_info", "insert", "kafka", "dwd_order_info", "id,status,user_id"),

@@ -32,6 +32,11 @@ def get_spark(app: str = "weirhouse", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+def allow_repeated_names(spark: SparkSession) -> None:
+    """An object that repeats a name is read with its last value, also as VARIANT."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 @cache
 def _local_base() -> str:
     return tempfile.mkdtemp(prefix="weirhouse-")

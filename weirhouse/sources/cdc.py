@@ -1,4 +1,9 @@
-"""Database change records in Debezium's JSON form."""
+"""Database change records in Debezium's JSON form.
+
+Row images are maps of VARIANT cells, so a cell keeps the JSON type it was sent with: numbers stay
+numbers, nested values stay nested, and text that looks like a number stays text.  A number of
+more than 38 digits becomes a double, and a decimal loses trailing zeros.
+"""
 
 from __future__ import annotations
 
@@ -8,15 +13,19 @@ from pyspark.sql import types as T
 
 from weirhouse import schemas
 from weirhouse.functions import records
+from weirhouse.session import allow_repeated_names
 
 # Operation codes of the change format and the names used here.
 OPERATIONS = {"c": "insert", "r": "read", "u": "update", "d": "delete"}
 
-_IMAGE = T.MapType(T.StringType(), T.StringType())
+_IMAGE = T.MapType(T.StringType(), T.VariantType())
 _BODY = T.StructType(
     [T.StructField("before", _IMAGE), T.StructField("after", _IMAGE), T.StructField("op", T.StringType())]
 )
 _ENVELOPE = T.StructType([*_BODY.fields, T.StructField("payload", _BODY)])
+_CHANGE = T.StructType(
+    [T.StructField(f.name, _IMAGE if f.name in ("data", "before") else f.dataType) for f in schemas.CHANGE.fields]
+)
 
 
 def normalize_cdc(messages: DataFrame, topic: str = "topic", value: str = "value") -> DataFrame:
@@ -24,14 +33,15 @@ def normalize_cdc(messages: DataFrame, topic: str = "topic", value: str = "value
 
     ``database`` and ``tableName`` are the second and third part of the topic
     name.  A missing row image is an empty map, and null columns are left out of
-    an image.  A message wrapped in ``payload`` is unwrapped.  Bad messages and
-    unknown operations fail the job.
+    an image.  Of a repeated name the last value holds.  A message wrapped in ``payload`` is
+    unwrapped.  Bad messages and unknown operations fail the job.
     """
+    allow_repeated_names(messages.sparkSession)
     rest = [c for c in messages.columns if c not in (topic, value)]
     parsed = records.parse_object(messages, _ENVELOPE, value)
     parts = F.split(F.col(topic), r"\.")
     empty = F.create_map().cast(_IMAGE)
-    image = lambda m: F.coalesce(records.last_keys(m), empty)
+    image = lambda m: F.coalesce(records.last_keys(m, "variant"), empty)
     names = F.create_map(*[F.lit(x) for pair in OPERATIONS.items() for x in pair])
     bad = F.raise_error(F.concat(F.lit("bad change record: "), F.coalesce(F.col(value), F.lit("null"))))
     ok, record = F.col("record_ok"), F.col("record")
@@ -58,10 +68,18 @@ def normalize_cdc(messages: DataFrame, topic: str = "topic", value: str = "value
 
 def parse_changes(lines: DataFrame, value: str = "value") -> DataFrame:
     """Envelopes from topic text; broken text is dropped."""
+    allow_repeated_names(lines.sparkSession)
     rest = [c for c in lines.columns if c != value]
     return (
-        records.parse_object(lines, schemas.CHANGE, value)
+        records.parse_object(lines, _CHANGE, value)
         .filter("record_ok")
         .select(*rest, "record.*")
-        .withColumns({m: records.last_keys(F.col(m)) for m in ("data", "before")})
+        .withColumns({m: records.last_keys(F.col(m), "variant") for m in ("data", "before")})
     )
+
+
+def column_types(changes: DataFrame, *by: str) -> DataFrame:
+    """The type of each column of each table, one that fits all cells sent; one partial aggregate."""
+    keys = [*(by or ("tableName",)), "column"]
+    cells = changes.select(*keys[:-1], F.explode("data").alias("column", "_cell"))
+    return cells.groupBy(*keys).agg(F.schema_of_variant_agg("_cell").alias("type"))

@@ -128,6 +128,11 @@ def show_new_buckets(spark: SparkSession, tables: Iterable[DimTable], database:
         spark.catalog.refreshTable(name)
 
 
+def _cell(column: str) -> Column:
+    """A cell of a change as text; nested values as JSON."""
+    return F.try_element_at("data", F.lit(column)).cast("string")
+
+
 def _last(value: Column, order: Column, present: Column) -> Column:
     """The value written last, among rows that wrote the column."""
     return F.max_by(F.when(present, F.struct(value.alias("v"))), F.when(present, order))["v"]
@@ -147,9 +152,9 @@ def merge(
         F.struct(src(c).alias("v"), has(c).alias("on")).alias(f"c{i}") for i, c in enumerate(table.columns)
     ]
     rows = changes.select(
-        F.try_element_at("data", F.lit(table.pk)).alias("_pk"),
+        _cell(table.pk).alias("_pk"),
         place.alias("_place"),
-        *cells(lambda c: F.try_element_at("data", F.lit(c)), lambda c: F.map_contains_key("data", c)),
+        *cells(_cell, lambda c: F.map_contains_key("data", c)),
     ).filter(F.col("_pk").isNotNull())
     if current is not None:
         nothing = F.lit(None)
@@ -226,8 +231,8 @@ def upsert(
     """
     known = {t.name: t for t in tables}
     name = F.col(table_col)
-    places = [F.when(name == t.name, t.bucket_of(F.try_element_at("data", F.lit(t.pk)))) for t in known.values()]
-    keyed = [F.when(name == t.name, F.try_element_at("data", F.lit(t.pk)).isNotNull()) for t in known.values()]
+    places = [F.when(name == t.name, t.bucket_of(_cell(t.pk))) for t in known.values()]
+    keyed = [F.when(name == t.name, _cell(t.pk).isNotNull()) for t in known.values()]
     # at most one row per bucket of each table
     rows = changes.select(
         name.alias("name"),
