@@ -212,15 +212,47 @@ def test_toxicity(odd, odd_ids, none, labels):
     assert toxicity.keep_clean(odd, None).columns == odd.columns
 
 
-def test_factorization_learns_a_pair():
-    """Neither term alone is telling, both together are."""
+def test_factorization_learns_a_pair(spark):
+    """Each term is as frequent in both labels; only the two together tell."""
+    rnd = random.Random(5)
+    rows = []
+    for i in range(3000):
+        insult, group = rnd.random() < 0.5, rnd.random() < 0.5
+        words = [f"filler{rnd.randrange(300)}" for _ in range(15)] + ["insult"] * insult + ["group"] * group
+        rows.append((i, " ".join(words), int(insult and group or not insult and not group)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    held = ~toxicity.learned_rows()
+    machine = toxicity.fit(docs.drop("toxic"), docs.drop("text"))
+    scored = toxicity.score(docs.drop("toxic"), machine).where(held).join(docs.select("doc_id", "toxic"), "doc_id").collect()
+    assert len(scored) > 400 and sum((r.score >= 0.5) == r.toxic for r in scored) > 0.97 * len(scored)
+
+
+def test_rare_terms_are_learned(spark):
+    """A slur in fourteen toxic documents and no clean one."""
+    rnd = random.Random(6)
+    text = lambda: " ".join(f"filler{rnd.randrange(300)}" for _ in range(15))
+    rows = [(i, text() + (" slur" if i < 14 else ""), int(i % 2 == 0 or i < 14)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    machine = toxicity.fit(docs.drop("toxic"), docs.drop("text"), toxicity.F.lit(True))
+    new = [(f"{i}{end}", base + end) for i, base in enumerate(text() for _ in range(40)) for end in ("", " slur")]
+    scores = dict(zip([i for i, _ in new], machine.score([toxicity.Terms().of(t.encode()) for _, t in new]), strict=True))
+    assert all(scores[f"{i} slur"] > scores[str(i)] + 0.1 for i in range(40))
+
+
+def test_margin_is_that_of_all_pairs():
     import numpy as np
 
-    rnd = np.random.default_rng(0)
-    rows = [np.flatnonzero(rnd.random(3) < 0.5) for _ in range(800)]
-    y = np.array([{0, 1} <= set(r) for r in rows], float)
-    m = toxicity.fit_machine(rows, y, np.arange(3))
-    assert ((m.score(rows) >= 0.5) == y).mean() > 0.97
+    rnd = np.random.default_rng(3)
+    m = toxicity.Machine(0.25, rnd.normal(0, 1, (1 + toxicity.FACTORS, 12)).astype(np.float32))
+    rows = [np.flatnonzero(rnd.random(12) < 0.5).astype(np.int32) for _ in range(300)] + [np.zeros(0, np.int32)]
+    weights, factors = m.table[0].astype(float), m.table[1:].astype(float)
+
+    def margin(row):
+        x = 1 / max(len(row), 1) ** 0.5
+        pairs = sum(factors[:, i] @ factors[:, j] for n, i in enumerate(row) for j in row[n + 1 :])
+        return 0.25 + x * sum(weights[i] for i in row) + x * x * pairs
+
+    assert np.allclose(m.margin(rows), [margin(r) for r in rows], atol=1e-4)
 
 
 def test_near_duplicates(spark, odd, odd_ids, none):

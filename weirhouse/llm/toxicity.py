@@ -1,18 +1,20 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms are a text's distinct words and their first 4, 5 and 6 bytes, hashed into ``SLOTS``
-numbers.  The machine has a weight and ``FACTORS`` factors per term, so it learns pairs
-of terms besides single ones.  It is fitted on a bounded sample: per label, the
-``sample_per_label`` documents with the least hash of their id.  Counts of terms per
-label over the sample choose the ``terms`` whose rates differ most; only these get
-weights.  The fitted model has a fixed size whatever the input; scoring covers every whole text.
+numbers; a text of n terms gives each the value 1 / sqrt(n).  The machine has a weight and
+``FACTORS`` factors for every slot, so it learns pairs of terms besides single ones, also pairs
+whose terms are as frequent in both labels.  It is fitted on a bounded sample: per label, the
+``sample_per_label`` documents with the least hash of their id, of each at most ``SLOTS`` numbers.
+All terms of the sample take part; numbers that do not earn their ``SHRINK`` go back to 0, and
+slots that the sample never met stay at 0.  The fitted model has a fixed size (9 MB) whatever the
+input; scoring covers every whole text.
 
 Labels are read from ``labels`` (rows with a null id or label, and ids with both labels, are left
 out) and only for documents that ``learn`` lets through; of rows with one id the sample takes that with the
 least hash of its text, so it has 2 x ``sample_per_label`` rows at most.  Without both labels in the sample every
 score is 0.  Null and empty texts have no terms: their score is the bias.  Each row is scored by
 itself, repeated or not; null ids count as held out.  An empty table gives no rows.  Columns other
-than ``doc_id`` and ``text`` are ignored.
+than ``doc_id`` and ``text`` are ignored.  Of a very long text a worker holds the text and its distinct terms, in slices of rows.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,15 +33,17 @@ from pyspark.sql import types as T
 from weirhouse.llm.common import WORD_BYTES, drop_caches, quoted, ship, sliced, texts_of, write_once
 
 SLOTS = 1 << 18
-TERMS = 4096
 FACTORS = 8
 SAMPLE_PER_LABEL = 6000
-STEPS = 2000
-KNOWN_WORDS = 100_000
+PASSES = 8
+BATCH = 128
+RATE = 0.2
+FACTOR_RATE = 0.04
+SHRINK = 2e-4
+DECAY = 1e-4
+KNOWN_WORDS = 50_000
 SLICE_BYTES = 4 << 20
 PREFIXES = (4, 5, 6)
-LEAST_DOCS = 4
-STRENGTH = 3.5
 
 
 def word_terms(word: bytes) -> tuple[int, ...]:
@@ -49,114 +54,105 @@ def word_terms(word: bytes) -> tuple[int, ...]:
 
 
 class Terms:
-    """Distinct chosen terms of texts; words seen before are not hashed again."""
+    """Distinct terms of texts; words seen before are not hashed again."""
 
-    def __init__(self, chosen: np.ndarray | None = None):
-        self.number = None if chosen is None else {int(t): i for i, t in enumerate(chosen)}
+    def __init__(self):
         self.known: dict[bytes, tuple[int, ...]] = {}
 
-    def _of(self, word: bytes) -> tuple[int, ...]:
-        terms = word_terms(word)
-        return terms if self.number is None else tuple(self.number[t] for t in terms if t in self.number)
-
-    def of(self, text: bytes) -> list[int]:
+    def of(self, text: bytes) -> np.ndarray:
         known, found = self.known, set()
         for w in set(text.translate(WORD_BYTES).split()):
             terms = known.get(w)
             if terms is None:
-                terms = self._of(w)
+                terms = word_terms(w)
                 if len(known) < KNOWN_WORDS:
                     known[w] = terms
-            if terms:
-                found.update(terms)
-        return sorted(found)
+            found.update(terms)
+        return np.sort(np.fromiter(found, np.int32, len(found)))
 
 
-def _sums(rows: list[np.ndarray], values: np.ndarray) -> np.ndarray:
-    """Sums of ``values`` at each row's indices."""
-    lengths = np.array([len(r) for r in rows], np.int64)
-    out = np.zeros((len(rows), *values.shape[1:]))
-    flat = np.concatenate(rows) if lengths.sum() else np.zeros(0, np.int64)
-    full = np.flatnonzero(lengths)
-    if len(full):
-        out[full] = np.add.reduceat(values[flat], (np.cumsum(lengths) - lengths)[full], axis=0)
-    return out
+def _sums(table: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's sums of its terms' weights and factors, and what its pairs of terms add up to."""
+    n = len(lengths)
+    text = np.repeat(np.arange(n), lengths)
+    value = 1 / np.sqrt(np.maximum(lengths, 1))
+    sums, pairs = np.empty((len(table), n)), np.zeros(n)
+    for f, row in enumerate(table):
+        own = row[at]
+        sums[f] = np.bincount(text, own, n) * value
+        if f:
+            pairs += (sums[f] ** 2 - np.bincount(text, own.astype(float) ** 2, n) * value**2) / 2
+    return sums, pairs
 
 
 @dataclass
 class Machine:
-    chosen: np.ndarray
+    """``table`` holds the weights, then the factors, of all slots."""
+
     bias: float
-    weights: np.ndarray
-    factors: np.ndarray
+    table: np.ndarray
 
     def margin(self, rows: list[np.ndarray]) -> np.ndarray:
-        pairs = _sums(rows, self.factors) ** 2 - _sums(rows, self.factors**2)
-        return self.bias + _sums(rows, self.weights) + pairs.sum(axis=1) / 2
+        out = [np.zeros(0)]
+        for k in range(0, len(rows), BATCH):
+            own = rows[k : k + BATCH]
+            sums, pairs = _sums(self.table, np.concatenate(own), np.array([len(r) for r in own]))
+            out.append(self.bias + sums[0] + pairs)
+        return np.concatenate(out)
 
     def score(self, rows: list[np.ndarray]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.margin(rows), -30, 30)))
 
 
-def choose_terms(term: np.ndarray, n0: np.ndarray, n1: np.ndarray, size0: int, size1: int) -> np.ndarray:
-    """The terms whose rates in the two labels differ most, beyond what chance gives rare ones."""
-    pooled = (n0 + n1) / (size0 + size1)
-    spread = np.sqrt(pooled * (1 - pooled) * (1 / size0 + 1 / size1)) + 1e-9
-    strength = (np.abs(n1 / size1 - n0 / size0) - 1 / min(size0, size1)) / spread
-    strength[n0 + n1 < LEAST_DOCS] = 0
-    best = np.argsort(-strength, kind="stable")[:TERMS]
-    return np.sort(term[best[strength[best] > STRENGTH]])
-
-
-def fit_machine(rows: list[np.ndarray], labels: np.ndarray, chosen: np.ndarray, steps: int = STEPS, rate: float = 0.2, decay: float = 1e-4) -> Machine:
-    """Logistic loss with both labels weighing the same, steps scaled by past gradients,
-    small batches in a fixed random order."""
-    rng, n = np.random.default_rng(0), len(chosen)
+def fit_machine(rows: list[np.ndarray], labels: np.ndarray, passes: int = PASSES) -> Machine:
+    """Logistic loss with both labels weighing the same, over small batches that come in a fixed
+    random order.  Steps are scaled by past gradients, and each number is moved ``SHRINK`` of its
+    step towards 0 (and no further)."""
+    rng = np.random.default_rng(0)
+    table = np.zeros((1 + FACTORS, SLOTS))
+    table[1:] = rng.normal(0, 0.1, (FACTORS, SLOTS))
+    past, bias, past_b = np.full(table.shape, 1e-6), 0.0, 1e-6
     weigh = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
-    m = Machine(chosen, 0.0, np.zeros(n), rng.normal(0, 0.01, (n, FACTORS)))
-    past_w, past_v, past_b = np.full(n, 1e-6), np.full((n, FACTORS), 1e-6), 1e-6
-    per_pass = max(1, len(rows) // 128)
-    for _ in range(-(-steps // per_pass)):
-        for batch in np.array_split(rng.permutation(len(rows)), per_pass):
-            own = [rows[i] for i in batch]
-            lengths = np.array([len(r) for r in own])
-            error = (m.score(own) - labels[batch]) * weigh[batch]
-            flat, each = (np.concatenate(own) if lengths.sum() else np.zeros(0, np.int64)), np.repeat(error, lengths)
-            used, at = np.unique(flat, return_inverse=True)
-            g_w = np.bincount(at, each, len(used)) / len(batch) + decay * m.weights[used]
-            total = np.repeat(_sums(own, m.factors), lengths, axis=0)
-            g_v = np.zeros((len(used), FACTORS))
-            np.add.at(g_v, at, each[:, None] * (total - m.factors[flat]))
-            g_v = g_v / len(batch) + decay * 10 * m.factors[used]
-            g_b = error.mean()
-            past_w[used] += g_w**2
-            past_v[used] += g_v**2
-            past_b += g_b**2
-            m.weights[used] -= rate * g_w / np.sqrt(past_w[used])
-            m.factors[used] -= 0.2 * rate * g_v / np.sqrt(past_v[used])
-            m.bias -= rate * g_b / np.sqrt(past_b)
-    return m
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many documents of each label hold each term."""
+    rate = np.full((1 + FACTORS, 1), FACTOR_RATE)
+    rate[0] = RATE
+    decay = np.full((1 + FACTORS, 1), 10 * DECAY)
+    decay[0] = DECAY
+    batches, met = [], np.zeros(SLOTS, bool)
+    for ids in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // BATCH)):
+        slots, at = np.unique(np.concatenate([rows[i] for i in ids]), return_inverse=True)
+        batches.append((ids, np.array([len(rows[i]) for i in ids]), slots, at.astype(np.int32)))
+        met[slots] = True
+    for _ in range(passes):
+        for k in rng.permutation(len(batches)):
+            ids, lengths, slots, at = batches[k]
+            own = table[:, slots]
+            sums, pairs = _sums(own, at, lengths)
+            scores = 1 / (1 + np.exp(-np.clip(bias + sums[0] + pairs, -30, 30)))
+            error = (scores - labels[ids]) * weigh[ids] / len(ids)
+            value = 1 / np.sqrt(np.maximum(lengths, 1))
+            each = lambda per_text: np.bincount(at, np.repeat(per_text, lengths), len(slots))  # noqa: E731, B023
+            slope = np.empty_like(own)
+            slope[0] = each(error * value)
+            itself = each(error * value**2)
+            for f in range(1, 1 + FACTORS):
+                slope[f] = each(error * value * sums[f]) - own[f] * itself
+            slope += decay * own
+            past[:, slots] += slope**2
+            step = rate / np.sqrt(past[:, slots])
+            moved = own - step * slope
+            table[:, slots] = np.sign(moved) * np.maximum(np.abs(moved) - step * SHRINK, 0)
+            past_b += error.sum() ** 2
+            bias -= RATE * error.sum() / np.sqrt(past_b)
+    table[:, ~met] = 0
+    return Machine(float(bias), table.astype(np.float32))
+
+
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     drop_caches()
-    terms, counts = Terms(), np.zeros((2, SLOTS), np.int64)
+    terms = Terms()
     for batch in batches:
-        for text, y in zip(texts_of(batch, "text"), batch.column("toxic").to_pylist(), strict=True):
-            counts[y, terms.of(text)] += 1
-    some = np.flatnonzero(counts.sum(axis=0))
-    yield pa.record_batch({"term": pa.array(some), "n0": pa.array(counts[0, some]), "n1": pa.array(counts[1, some])})
-
-
-def _rows(chosen: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms(chosen)
-        for batch in batches:
-            found = [terms.of(t) for t in texts_of(batch, "text")]
-            yield pa.record_batch([batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "toxic", "terms"])
-
-    return run
+        found = pa.array([terms.of(t) for t in texts_of(batch, "text")], pa.list_(pa.int32()))
+        yield pa.record_batch([batch.column("doc_id"), batch.column("toxic"), found], names=["doc_id", "toxic", "terms"])
 
 
 def sample(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int) -> DataFrame:
@@ -186,23 +182,22 @@ def learned_rows(column: str = "doc_id", folds: int = 5) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, per_label: int = SAMPLE_PER_LABEL) -> Machine | None:
     ship(docs.sparkSession)
     rows = write_once(sample(docs, labels, learned_rows() if learn is None else learn, per_label), "toxic-sample")
-    counts = rows.mapInArrow(_count, "term long, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).orderBy("term").toPandas()
-    sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    if len(sizes) < 2:
+    found = rows.mapInArrow(_terms, "doc_id long, toxic int, terms array<int>").toArrow().sort_by("doc_id").combine_chunks()
+    toxic = found.column("toxic").to_numpy().astype(float)
+    if len(set(toxic)) < 2:
         return None
-    chosen = choose_terms(*(counts[c].to_numpy() for c in ("term", "n0", "n1")), sizes[0], sizes[1])
-    found = rows.mapInArrow(_rows(chosen), "doc_id long, toxic int, terms array<int>").orderBy("doc_id", "toxic").toPandas()
-    return fit_machine([np.asarray(t, np.int64) for t in found["terms"]], found["toxic"].to_numpy(float), chosen)
+    terms = found.column("terms").combine_chunks()
+    ends = terms.offsets.to_numpy()
+    return fit_machine(np.split(terms.values.to_numpy()[ends[0] : ends[-1]], ends[1:-1] - ends[0]), toxic)
 
 
-def _score(machine: Machine | None, names: list[str]):
+def _score(machine: Broadcast, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_caches()
-        terms = Terms(machine.chosen) if machine else None
+        terms, fitted = Terms(), machine.value
         for batch in batches:
             for part in sliced(batch, "text", SLICE_BYTES):
-                rows = [np.asarray(terms.of(t), np.int64) for t in texts_of(part, "text")] if terms else None
-                score = machine.score(rows) if terms else np.zeros(part.num_rows)
+                score = fitted.score([terms.of(t) for t in texts_of(part, "text")]) if fitted else np.zeros(part.num_rows)
                 yield pa.record_batch([*(part.column(c) for c in names), pa.array(score)], names=[*names, "score"])
 
     return run
@@ -211,14 +206,16 @@ def _score(machine: Machine | None, names: list[str]):
 def score(docs: DataFrame, machine: Machine | None) -> DataFrame:
     """(doc_id, score) of every row."""
     ship(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(machine)  # of fixed size
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_score(machine, ["doc_id"]), "doc_id long, score double")
+    return rows.mapInArrow(_score(sent, ["doc_id"]), "doc_id long, score double")
 
 
 def keep_clean(docs: DataFrame, machine: Machine | None, reject_from: float = 0.5) -> DataFrame:
     """``docs`` without those that score ``reject_from`` or more."""
     ship(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(machine)  # of fixed size
     packed = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
     kinds = T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())])
-    scored = packed.mapInArrow(_score(machine, ["row"]), kinds).where(F.col("score") < reject_from)
+    scored = packed.mapInArrow(_score(sent, ["row"]), kinds).where(F.col("score") < reject_from)
     return scored.select(*[F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns])
