@@ -90,6 +90,28 @@ def op5_chat_format(spark, sf_dir):
     return chat.read_back(chat.format_chats(turns.unionByName(extra)))
 
 
+def _escaped_sql(column: str) -> str:
+    out = f"replace({column}, '\\', '\\\\')"
+    for c in chat.CONTROLS:
+        out = f"replace({out}, '{c}', '{c[0]}\\{c[1:]}')"
+    return out
+
+
+ORACLES["op5_chat_format"] = f"""
+WITH turns AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), t AS (
+  SELECT conv_id, turn, role AS r, text AS x, coalesce(role, '') AS role, coalesce(text, '') AS text FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r NULLS FIRST, x NULLS FIRST)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, r NULLS FIRST, x NULLS FIRST)) AS loss_sha256,
+  CAST(sum({len(chat.HEAD + chat.HEAD_END + chat.FOOTER)} + length(replace({_escaped_sql('role')}, '|>', '|\\>')) + length({_escaped_sql('text')})) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id"""
+
+
 @query
 def op6_token_store(spark, sf_dir):
     path = token_store.store_dir(spark)
