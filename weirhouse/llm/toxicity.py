@@ -5,7 +5,7 @@ numbers; a text of n terms gives each the value 1 / sqrt(n).  The machine has a
 ``FACTORS`` factors for every slot, so it learns pairs of terms besides single ones, also pairs
 whose terms are as frequent in both labels.  It is fitted on a bounded sample: per label, the
 ``sample_per_label`` documents with the least hash of their id, of each at most ``SLOTS`` numbers.
-All terms of the sample take part; numbers that do not earn their ``SHRINK`` go back to 0, and
+The fit is one task over that sample.  All terms of it take part; numbers that do not earn their ``SHRINK`` go back to 0, and
 slots that the sample never met stay at 0.  The fitted model has a fixed size (9 MB) whatever the
 input; scoring covers every whole text.
 
@@ -179,16 +179,32 @@ def learned_rows(column: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.encode(F.col(column).cast("string"), "UTF-8")) % folds != 0
 
 
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row with the machine, or none without both labels."""
+    drop_caches()
+    toxic, rows = [], []
+    for batch in batches:
+        toxic.append(batch.column("toxic").to_numpy().astype(float))
+        terms = batch.column("terms")
+        ends = terms.offsets.to_numpy()
+        # a copy, as Arrow would keep a whole batch for each view of it
+        values = terms.values.to_numpy()[ends[0] : ends[-1]].copy()
+        rows += np.split(values, ends[1:-1] - ends[0]) if len(ends) > 1 else []
+    labels = np.concatenate([np.zeros(0), *toxic])
+    if len(set(labels)) == 2:
+        fitted = fit_machine(rows, labels)
+        yield pa.record_batch([pa.array([fitted.bias]), pa.array([fitted.table.tobytes()], pa.binary())], names=["bias", "numbers"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, per_label: int = SAMPLE_PER_LABEL) -> Machine | None:
+    """The sample is fitted in one task, as it is bounded; the machine alone, of fixed size, comes to the driver."""
     ship(docs.sparkSession)
     rows = write_once(sample(docs, labels, learned_rows() if learn is None else learn, per_label), "toxic-sample")
-    found = rows.mapInArrow(_terms, "doc_id long, toxic int, terms array<int>").toArrow().sort_by("doc_id").combine_chunks()
-    toxic = found.column("toxic").to_numpy().astype(float)
-    if len(set(toxic)) < 2:
+    hashed = rows.mapInArrow(_terms, "doc_id long, toxic int, terms array<int>").repartition(1).sortWithinPartitions("doc_id")
+    fitted = write_once(hashed.mapInArrow(_fit, "bias double, numbers binary"), "toxic-machine").first()
+    if fitted is None:
         return None
-    terms = found.column("terms").combine_chunks()
-    ends = terms.offsets.to_numpy()
-    return fit_machine(np.split(terms.values.to_numpy()[ends[0] : ends[-1]], ends[1:-1] - ends[0]), toxic)
+    return Machine(fitted["bias"], np.frombuffer(fitted["numbers"], np.float32).reshape(1 + FACTORS, SLOTS))
 
 
 def _score(machine: Broadcast, names: list[str]):
