@@ -112,6 +112,50 @@ def test_dominant_fact_key_is_split_at_run_time(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def _one_by_one(facts, tables, specs):
+    for spec in specs:
+        facts = dims.lookup(facts, tables[spec.table], spec)
+    return facts
+
+
+OUTER = [
+    dims.DimSpec("item", "item_id", {"kind_id": "KIND", "owner_id": "OWNER"}),
+    dims.DimSpec("kind", "kind_id", {"kind": "NAME", "above_id": "ABOVE"}),
+    dims.DimSpec("kind", "above_id", {"above": "NAME"}),
+    dims.DimSpec("owner", "owner_id", {"owner": "NAME"}),
+]
+
+
+@pytest.fixture
+def outer_tables(spark):
+    return {
+        "item": spark.sql("SELECT * FROM VALUES ('1','7','x'), ('2','8',NULL), ('3',NULL,'y') AS t(ID, KIND, OWNER)"),
+        "kind": spark.sql("SELECT * FROM VALUES ('7','seven','9'), ('9','nine','7'), ('8',NULL,'5') AS t(ID, NAME, ABOVE)"),
+        "owner": spark.sql("SELECT * FROM VALUES ('x','ex') AS t(ID, NAME)"),
+    }
+
+
+def test_outer_dimensions_give_what_lookups_one_by_one_give(spark, outer_tables):
+    facts = spark.sql("SELECT * FROM VALUES (10,1), (11,2), (12,3), (13,4), (14,NULL), (10,1) AS t(id, item_id)")
+    shadowed = facts.withColumns({"kind_id": F.lit("8"), "owner": F.lit("mine")})
+    same_name = [*OUTER[:2], dims.DimSpec("owner", "owner_id", {"kind": "NAME"})]
+    for rows, specs in [(facts, OUTER), (shadowed, OUTER), (facts, same_name), (shadowed, OUTER[1:2])]:
+        want, got = _one_by_one(rows, outer_tables, specs), dims.lookup_all(rows, outer_tables, specs)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_facts_meet_a_dimension_once_per_key_of_their_own(spark, outer_tables):
+    facts = spark.range(10).select("id", F.col("id").alias("item_id"), F.col("id").alias("user_id"))
+    users = outer_tables | {"user": spark.sql("SELECT '1' AS ID, 'one' AS NAME")}
+    specs = [dims.DimSpec("user", "user_id", {"user": "NAME"}), *OUTER]
+    plan, joins = dims.lookup_all(facts, users, specs)._jdf.queryExecution().optimizedPlan(), 0
+    while not plan.children().isEmpty():
+        joins += plan.nodeName() == "Join"
+        plan = plan.children().head()
+    assert joins == 2
+
+
 def test_broadcast_only_below_the_bound(spark):
     df = spark.range(10)
     hinted = lambda d: "broadcast" in d._jdf.queryExecution().logical().toString().lower()
