@@ -303,3 +303,47 @@ def test_pattern_in_any_order_over_batches(spark, tmp_path):
     assert got == sorted((r.seq, r.outcome, r.steps) for r in want.collect() if r.seq != 999) and len(got) > 20
     with pytest.raises(ValueError, match="limit"):
         state.find_pattern(pages(spark, rows), Pattern.begin("x", on("a")), F.col("common.mid"))
+
+
+def _state_rows(spark, tmp_path, operator, rows):
+    """State rows by operator after one batch of ``rows``."""
+    feed = Feed(spark, tmp_path, operator)
+    pages(spark, rows).write.parquet(f"{tmp_path}/in")
+    source = spark.readStream.schema(PAGES).parquet(f"{tmp_path}/in")
+    query = feed.operator(source).writeStream.option("checkpointLocation", f"{tmp_path}/ck").trigger(**NOW).format("parquet").option("path", f"{tmp_path}/out").start()
+    query.awaitTermination()
+    return {o["operatorName"]: o["numRowsTotal"] for o in query.recentProgress[0]["stateOperators"]}
+
+
+def test_visitors_share_calls_of_a_group(spark, tmp_path, monkeypatch):
+    """Three hundred visitors meet Python in at most four groups; per visitor and day there is only a key."""
+    monkeypatch.setattr(state, "GROUPS", 4, raising=False)
+    rows = [page(f"m{n}", T0 + n, n, "") for n in range(300)]
+    found = _state_rows(spark, tmp_path / "a", state.first_visits_of_day, rows)
+    assert found["transformWithStateInPandasExec"] == 0 and found["dedupe"] == 300
+    assert _state_rows(spark, tmp_path / "b", state.bounces, rows)["transformWithStateInPandasExec"] <= 4 * 5
+
+
+def test_one_batch_in_small_chunks_is_sorted(spark, tmp_path):
+    """Rows of a visitor that reach Python in several chunks of one batch still count in order."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        rows = random_pages(9, n=300, span=60_000)
+        random.Random(1).shuffle(rows)
+        feed = Feed(spark, tmp_path, lambda p: state.literal_visits(p, lateness="1 day"))
+        feed(*rows)
+        assert feed.seqs() == brute_literal(sorted(rows, key=lambda r: (r[3], r[4])))
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_null_visitors_and_short_lateness(spark, tmp_path):
+    """A null visitor is one visitor; a day's key stays until the watermark has passed the day."""
+    feed = Feed(spark, tmp_path, lambda p: state.first_visits_of_day(p, lateness="1 minute"))
+    start = 18_000 * times.DAY_MS - times.ZONE_MS
+    feed(page("a", start + 5, 1), page(None, start + 6, 2), page(None, start + 7, 3))
+    feed(page("b", start + 10 * 3_600_000, 4))
+    feed(page("a", start + 11 * 3_600_000, 5), page(None, start + 11 * 3_600_000, 6))
+    assert feed.seqs() == [1, 2, 4]
