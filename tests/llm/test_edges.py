@@ -379,3 +379,29 @@ def test_toxicity_keeps_any_column_name_and_samples_rows(spark, labels):
     assert toxicity.keep_clean(rows, None).columns == rows.columns and toxicity.keep_clean(rows, None).count() == 2
     many = table(spark, [f"t{k}" for k in range(300)], [2] * 150 + [6] * 150)
     assert toxicity.sample(many, labels, toxicity.F.lit(True), 10).count() == 2
+
+
+def test_lm_sees_the_word_before(spark):
+    """The same words in another order score otherwise, though none of them is unknown."""
+    docs = spark.createDataFrame([(n, "red fox blue cat " * 20) for n in range(1, 40)] + [(100, "red cat blue fox " * 20)], "doc_id long, text string")
+    by_id = {r.doc_id: r for r in ctw.score(docs).collect()}
+    one, other = by_id[1], by_id[100]
+    assert one.n_known == other.n_known == one.n_tokens and one.base_score == pytest.approx(other.base_score, rel=0.05)
+    assert other.score < 2 * one.score
+
+
+def test_lm_grams_are_those_of_the_running_text():
+    """Grams of the forms, each as often as it comes, are the seven-byte windows of the text."""
+    from collections import Counter
+
+    texts = [b"Ab  cd\ne ab cd", b"", "é x é".encode()]
+    forms, _, form, times = ctw.forms_of(texts)
+    found = Counter()
+    for f, n in zip(form.tolist(), times.tolist()):
+        for g in ctw.spell([forms[f]])[0].tolist():
+            found[g.to_bytes(7, "big")] += n
+    want = Counter()
+    for t in texts:
+        run = b" " * 6 + b"".join(w + b" " for w in t.lower().split()) + b"\n"
+        want.update(run[i : i + 7] for i in range(len(run) - 6))
+    assert found == want

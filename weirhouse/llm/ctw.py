@@ -1,20 +1,20 @@
 """Language-model scoring by context-tree weighting over bytes.
 
 Tokens are a text's words (A-Z lower-cased), each spelled by its bytes and a space, then one end,
-spelled as a line feed.  A byte is predicted bit by bit from the up to six bytes before it: those of
-its word, the space before, and before that the last non-ASCII byte seen in the document (0 if
-none), a hint of its language.  For each context and each beginning of a byte there is a
+spelled as a line feed.  A byte is predicted bit by bit from the six bytes before it in the running
+text, whatever words they belong to; before a text's first byte there are spaces.  For each context and each beginning of a byte there is a
 node with counts of 0 and 1.  Its Krichevsky-Trofimov block probability Pe and the product of its
 children's Pw, one byte deeper, give Pw = (Pe + product) / 2; a bit's probability mixes the estimates
 of all depths with the posterior weights that follow.  Where a context was never seen, the
 deepest seen one answers.
 
-A token's probability rests on its spelling and the hint alone, so counts come from distinct
+A token's probability rests on its spelling and the six bytes before it, so counts come from distinct
 pairs of both (forms), and a document's score is a sum over its forms.  Nothing is broadcast that
 grows with the data:
 
 * documents become slices: distinct forms, and per document their numbers and counts;
-* forms of all slices are summed into one table of distinct forms, and those into words;
+* forms of all slices are summed into one table of distinct forms, those into words, and forms
+  take their word's count by a join;
 * their seven-byte grams are grouped by the last two context bytes; each group computes its subtree,
   and the nodes above (at most 256 x 255 + 255) meet on the driver;
 * values go back from grams to slices of forms and from forms to slices of documents by joins
@@ -43,7 +43,8 @@ from weirhouse.llm.common import ship, sliced, texts_of, write_once
 DEPTH = 6
 SPLIT = 2  # the tree is cut in groups at this depth
 END = b"\n"
-ASCII = bytes(range(128))
+PAD = b" " * DEPTH
+MARK = bytes((DEPTH,))
 FOLDS = 10
 SMOOTH = 0.1
 SLICE_BYTES = 6 << 20
@@ -78,16 +79,21 @@ def forms_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, n
     sizes = np.diff(counts, prepend=0)
     number = {w: i for i, w in enumerate(dict.fromkeys(flat))}
     words = list(number)
-    word = np.fromiter(map(number.__getitem__, flat), np.uint32, len(flat))
-    del flat, number  # most of a slice's memory
-    last = np.array([0 if w.isascii() else w.translate(None, ASCII)[-1] for w in words], np.uint8)[word]
-    first = np.repeat((np.cumsum(sizes) - sizes).astype(np.int32), sizes)
-    # The hint: the last non-ASCII byte at an earlier place of the same text.
-    at = np.maximum.accumulate(np.where(last > 0, np.arange(len(word), dtype=np.int32), np.int32(-1)))
-    before = np.concatenate((np.array([-1], np.int32), at[:-1]))
-    hint = np.where(before >= first, last[np.maximum(before, 0)], np.uint8(0))
-    keys, form = np.unique(word * np.uint32(256) + hint, return_inverse=True)  # a slice has fewer than 2^24 words
-    forms = [bytes((k & 255,)) + words[k >> 8] for k in keys.tolist()]
+    word = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+    # The running text of the slice; spaces after each end keep the next text apart.
+    spelled = [w + (PAD if w == END else b" ") for w in words]
+    starts = np.cumsum(np.array([len(w) for w in spelled], np.int64)[word])
+    starts = np.concatenate(([0], starts[:-1])) if len(starts) else starts
+    data = np.frombuffer(PAD + b"".join(map(spelled.__getitem__, word.tolist())), np.uint8)
+    del flat, number, spelled  # most of a slice's memory
+    before = np.zeros(len(word), np.int64)
+    for j in range(DEPTH):
+        before = (before << 8) | data[starts + j]
+    tails, tail = np.unique(before, return_inverse=True)
+    keys, form = np.unique(word * len(tails) + tail, return_inverse=True)
+    tail_bytes = tails.astype(">i8").tobytes()
+    tail_bytes = [MARK + tail_bytes[8 * i + 8 - DEPTH : 8 * i + 8] for i in range(len(tails))]
+    forms = [tail_bytes[t] + words[w] for w, t in zip((keys // len(tails)).tolist(), (keys % len(tails)).tolist())]
     text = np.repeat(np.arange(len(texts)), sizes)
     pairs, times = np.unique(text * len(forms) + form, return_counts=True)
     return forms, pairs // len(forms), pairs % len(forms), times
@@ -118,10 +124,10 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def spell(forms: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The grams of all forms, and how many each has.  A gram is six context bytes (the start
-    is padded with spaces) and the byte that follows."""
-    pad = b" " * (DEPTH - 2)
-    whole = [pad + f[:1] + b" " + f[1:] + (b"" if f[1:] == END else b" ") for f in forms]
+    """The grams of all forms, and how many each has.  A form is a number, that many bytes of the text
+    before (padded with spaces), and the word.  A gram is six context bytes and the byte that follows."""
+    cut = [(f[1 : 1 + f[0]].rjust(DEPTH), f[1 + f[0] :]) for f in forms]
+    whole = [before + w + (b"" if w == END else b" ") for before, w in cut]
     data = np.frombuffer(b"".join(whole), np.uint8).astype(np.int64)
     lengths = np.array([len(w) for w in whole], np.int64)
     grams = np.zeros(max(0, len(data) - DEPTH), np.int64)
@@ -312,13 +318,13 @@ def score(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     slices = write_once(rows.mapInArrow(_slices, SLICE_SCHEMA), "lm-slices")
     pairs = slices.select(F.explode(F.arrays_zip("forms", "counts")).alias("x")).select(F.col("x.forms").alias("form"), F.col("x.counts").alias("c"))
-    forms = pairs.groupBy(F.expr("substring(form, 2)").alias("word"), F.expr("substring(form, 1, 1)").alias("hint")).agg(F.sum("c").alias("c"))
-    # A word has at most 256 hints, so its list is bounded.
-    words = write_once(forms.groupBy("word").agg(F.collect_list(F.struct("hint", "c")).alias("hints"), F.sum("c").alias("word_c")), "lm-words")
+    forms = write_once(pairs.groupBy("form").agg(F.sum("c").alias("c")), "lm-forms")
+    forms = forms.withColumn("word", F.expr(f"substring(form, {DEPTH + 2})"))
+    words = write_once(forms.groupBy("word").agg(F.sum("c").alias("word_c")), "lm-words")
     known = words.agg(F.sum("word_c").alias("total"), F.count_if(F.col("word_c") > 0).alias("distinct")).first()
     total, distinct = known["total"] or 0, known["distinct"]
 
-    spread = words.select("word", "word_c", F.explode("hints").alias("x")).select(F.concat("x.hint", "word").alias("form"), F.col("x.c").alias("c"), "word_c")
+    spread = forms.join(words, "word").select("form", "c", "word_c")
     form_slices = write_once(spread.mapInArrow(_form_slices, FORM_SLICE_SCHEMA), "lm-form-slices")
     counted = form_slices.select("forms", "counts").mapInArrow(_gram_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     grams = write_once(counted.withColumn("branch", F.expr("shiftright(gram, 8) & 65535")), "lm-grams")
