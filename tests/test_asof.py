@@ -82,3 +82,24 @@ def test_visits_expire(spark, ttl):
 def test_visits_of_no_rows(spark):
     assert visits.unique_visits(pages(spark, []), "literal", ttl_ms=10).count() == 0
     assert lateness.mark_late(pages(spark, []).withColumn("step", F.lit(1)), "step", 1, 1, 1).count() == 0
+
+
+def test_neither_side_is_computed_twice(spark):
+    seen = {n: spark.sparkContext.accumulator(0) for n in ("left", "right")}
+
+    def counted(name):
+        count = seen[name]
+
+        def value(x):
+            count.add(1)
+            return x
+
+        return F.udf(value, "long")
+
+    rows = lambda n, name: spark.range(n, numPartitions=2).select(
+        F.concat(F.lit("k"), F.col("id") % 2).alias("k"), F.col("id").alias("at"), counted(name)("id").alias(f"v_{name}")
+    )
+    met = as_of_join(rows(60, "left"), rows(40, "right"), ["k"], "at", ["v_right"], 8)
+    got = {r.v_left: r.v_right for r in met.collect()}
+    assert got == {i: i if i < 40 else 38 + i % 2 for i in range(60)}
+    assert (seen["left"].value, seen["right"].value) == (60, 40)

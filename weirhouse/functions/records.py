@@ -49,8 +49,8 @@ def parse_object(df: DataFrame, schema: T.StructType, value: str = "value", into
     A row is fine when its text is exactly one JSON object that fits the schema.
     Spark's parser stops after the first value and so would take text with a
     tail; wrapping the line as the only element of an array exposes that.  A text
-    may close the array itself, so it must parse inside an object as well: no
-    text can close both.
+    that holds a closing bracket may close the array itself, so it must parse inside
+    an object as well: no text can close both.  Others are parsed once.
     Numbers may be quoted, as in records made of text maps.
 
     The result comes out of a generator on purpose: the optimizer does not move
@@ -60,8 +60,11 @@ def parse_object(df: DataFrame, schema: T.StructType, value: str = "value", into
     wrapped = T.StructType(
         [T.StructField("r", T.ArrayType(_text_schema(schema))), T.StructField("_bad", T.StringType())]
     )
+    text = _col(value)
+    once = F.concat(F.lit('{"r":['), text, F.lit("]}"))
+    twice = F.concat(F.lit('{"r":['), text, F.lit('],"s":{"x":'), text, F.lit("}}"))
     parsed = F.from_json(
-        F.concat(F.lit('{"r":['), _col(value), F.lit('],"s":{"x":'), _col(value), F.lit("}}")),
+        F.when(F.contains(text, F.lit("]")), twice).otherwise(once),
         wrapped,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"},
     )
@@ -113,13 +116,15 @@ def last_keys(m: Column, kind: str = "string") -> Column:
     """``m``, whose values are of ``kind``, without null values, and with the last value of a repeated key."""
     keys = F.map_keys(m)
     is_null = lambda v: v.isNull() | F.is_variant_null(v) if kind == "variant" else v.isNull()
-    return F.map_from_entries(
+    last = F.map_from_entries(
         F.filter(
             F.map_entries(m),
             lambda e, i: ~is_null(e["value"])
             & (F.size(keys) - F.array_position(F.reverse(keys), e["key"]) == i),
         )
     )
+    # most maps repeat no key: those need no search and no new map of keys
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_filter(m, lambda _, v: ~is_null(v))).otherwise(last)
 
 
 def lower_camel(name: str) -> str:

@@ -38,18 +38,22 @@ def as_of_join(
     known = known.dropna(subset=[*key_names, "_slot"])
     rows = left.select(*by, slot.alias("_slot"), F.col(at).alias("_at"), F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("_row"))
 
-    lasts = known.groupBy(*key_names, "_slot").agg(F.max_by("_found", "_place").alias("_last"))
-    held = rows.select(*key_names, "_slot").distinct().withColumn("_last", F.lit(None).cast(known.schema["_found"].dataType))
-    per_slot = held.unionByName(lasts).groupBy(*key_names, "_slot").agg(F.first("_last", ignorenulls=True).alias("_last"))
+    # Dealt once; the carried versions and the windows both read what was dealt, so neither side is computed
+    # twice.  Asking for the rows and times keeps these columns in both readings, without which those would differ.
+    side = known.select(*key_names, "_slot", F.col("_place.at").alias("_at"), "_place", "_found")
+    both = rows.unionByName(side, allowMissingColumns=True).repartition(*key_names, "_slot")
+    lasts = F.max_by("_found", "_place").alias("_last")
+    per_slot = both.groupBy(*key_names, "_slot").agg(lasts, F.count("_row").alias("_rows"), F.max("_at").alias("_until"))
     before = Window.partitionBy(*key_names).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_slot.select(*key_names, "_slot", F.last("_last", ignorenulls=True).over(before).alias("_carried"))
+    carried = per_slot.withColumn("_carried", F.last("_last", ignorenulls=True).over(before)).where("_rows > 0 AND _until IS NOT NULL")
+    own = [*key_names, "_slot"]
+    carried = carried.select(*[F.col(c).alias(f"{c}_own") for c in own], "_carried")
 
     # A version comes before the rows of its own moment.
-    side = known.select(*key_names, "_slot", F.col("_place.at").alias("_at"), "_place", "_found")
-    both = rows.unionByName(side, allowMissingColumns=True)
     until = Window.partitionBy(*key_names, "_slot").orderBy("_at", F.col("_place").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     within = both.withColumn("_within", F.last("_found", ignorenulls=True).over(until)).where(F.col("_row").isNotNull())
-    met = within.join(carried.where(F.col("_carried").isNotNull()), [*key_names, "_slot"], "left")
+    # No version has a null key, so nulls that meet bring nothing; plain equality would filter one reading only.
+    met = within.join(carried, [F.col(c).eqNullSafe(F.col(f"{c}_own")) for c in own], "left")
     out = met.select("_row.*", F.coalesce("_within", "_carried").alias("_met"))
     out = out if how == "left" else out.where(F.col("_met").isNotNull())
     return out.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col(f"_met.`{c}`").alias(c) for c in take])
