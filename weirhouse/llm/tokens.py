@@ -4,7 +4,7 @@ The vocabulary drops white space and never joins across it, so a text's ids are
 of its space-separated pieces, one after the other; likewise those of a piece of letters
 and trailing marks are the ids of both parts.  Pieces that a worker has not seen go
 to the tokenizers library: plain words many at a time (each ends in a token that only ends
-words, which shows where to cut), all else one by one.
+words, which shows where to cut), all else as texts of their own.
 """
 
 from __future__ import annotations
@@ -68,12 +68,14 @@ class PieceEncoder:
 
     def _learn(self, pieces: Iterable[str]) -> set[str]:
         """Puts the pieces' ids into ``pieces``; returns the words new to ``words``."""
-        plain, match = [], PLAIN.fullmatch
+        plain, others, match = [], [], PLAIN.fullmatch
         for p in pieces:
             if m := match(p):
                 plain.append((p, m[1].lower(), m[2]))
             else:
-                self.pieces[p] = self._ids(p).tobytes()
+                others.append(p)
+        coded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        self.pieces.update((p, np.asarray(c.ids, dtype="<u4").tobytes()) for p, c in zip(others, coded, strict=True))
         fresh = {w for _, w, _ in plain}.union(x for _, _, x in plain if x).difference(self.words)
         self._words(sorted(fresh))
         words = self.words
