@@ -64,3 +64,16 @@ def test_claims_are_filtered_in_the_scan(spark, pages_table):
 def test_window_sums_are_partial_before_the_shuffle(spark, pages_table):
     plan = plan_of(stats.windowed(stats.page_measures(pages_table)))
     assert plan.count("Exchange") == 1 and "partial_sum" in plan and "partial_max" in plan
+
+
+def test_time_slices_compute_the_time_once(spark):
+    from weirhouse.plans import replay
+
+    at = [0, 1, 49, 50, 51, 99, 100, 101, None]
+    rows = spark.createDataFrame([(x,) for x in at], "x long").withColumn("ts", F.hypot("x", F.lit(0)).cast("long") + 7)
+    parts = [p["n"] for p in replay.time_slices({"n": (rows, "ts")}, 2)]
+    assert [sorted(r.x for r in p.collect()) for p in parts] == [[0, 1, 49, 50], [51, 99, 100, 101]]
+    for part in parts:
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        (condition,) = [line for line in plan.splitlines() if "Filter" in line]
+        assert condition.count("HYPOT") == 1

@@ -31,16 +31,15 @@ def _typed(c: Column, kind: T.DataType) -> Column:
     return c.try_cast(kind)
 
 
-def _fits(c: Column, kind: T.DataType) -> Column:
-    """Whether every number in ``c`` is one; empty text counts as none."""
+def _fits(c: Column, typed: Column, kind: T.DataType) -> Column:
+    """Whether every number in ``c`` is one, as ``typed`` has it; empty text counts as none."""
     if kind == _text_schema(kind):
         return F.lit(True)
     if isinstance(kind, T.StructType):
-        return reduce(and_, [_fits(c[f.name], f.dataType) for f in kind.fields])
-    number = c.try_cast(kind)
+        return reduce(and_, [_fits(c[f.name], typed[f.name], f.dataType) for f in kind.fields])
     if isinstance(kind, T.DecimalType):  # a number with more digits than the type keeps does not fit
-        return c.isNull() | (c == "") | F.coalesce(number == c.try_cast(T.DecimalType(38, 18)), F.lit(False))
-    return c.isNull() | (c == "") | number.isNotNull()
+        return c.isNull() | (c == "") | F.coalesce(typed == c.try_cast(T.DecimalType(38, 18)), F.lit(False))
+    return c.isNull() | (c == "") | typed.isNotNull()
 
 
 def parse_object(df: DataFrame, schema: T.StructType, value: str = "value", into: str = "record") -> DataFrame:
@@ -69,14 +68,16 @@ def parse_object(df: DataFrame, schema: T.StructType, value: str = "value", into
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"},
     )
 
-    def outcome(p: Column) -> Column:
+    def cast(p: Column) -> Column:
         first = F.get(p["r"], F.lit(0))
-        one = p["_bad"].isNull() & (F.size(p["r"]) == 1) & first.isNotNull() & _fits(first, schema)
-        return F.struct(
-            _typed(first, schema).alias(into), F.coalesce(one, F.lit(False)).alias(f"{into}_ok")
-        )
+        one = p["_bad"].isNull() & (F.size(p["r"]) == 1) & first.isNotNull()
+        return F.struct(first.alias("text"), _typed(first, schema).alias("typed"), one.alias("one"))
+
+    def outcome(o: Column) -> Column:  # of its own, so that a number is cast once
+        ok = o["one"] & _fits(o["text"], o["typed"], schema)
+        return F.struct(o["typed"].alias(into), F.coalesce(ok, F.lit(False)).alias(f"{into}_ok"))
 
-    return df.select("*", F.inline(F.transform(F.array(parsed), outcome)))
+    return df.select("*", F.inline(F.transform(F.transform(F.array(parsed), cast), outcome)))
 
 
 def parse_or_drop(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
