@@ -405,3 +405,114 @@ def test_lm_grams_are_those_of_the_running_text():
         run = b" " * 6 + b"".join(w + b" " for w in t.lower().split()) + b"\n"
         want.update(run[i : i + 7] for i in range(len(run) - 6))
     assert found == want
+
+
+def lm_texts(n, seed):
+    rnd = random.Random(seed)
+    vocabulary = ["".join(rnd.choices("abcdefgéK", k=rnd.randint(1, 6))) for _ in range(4000)]
+    return [" ".join(vocabulary[min(int(rnd.paretovariate(0.4)), 4000) - 1] for _ in range(400)) for _ in range(n)]
+
+
+def test_lm_keeps_little_on_disk(spark, monkeypatch):
+    """Tables between steps hold packed lists of a slice, no row for each word in its place."""
+    import os
+    from urllib.parse import unquote, urlparse
+
+    sizes, write = [], ctw.write_once
+
+    def measured(df, name):
+        out = write(df, name)
+        sizes.append(sum(os.path.getsize(unquote(urlparse(f).path)) for f in out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(ctw, "write_once", measured)
+    texts = lm_texts(400, 1)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert ctw.score(docs).count() == 400
+    assert sum(sizes) < sum(len(t.encode()) for t in texts)
+
+
+def test_lm_against_a_plain_tree(spark):
+    """Slices of several texts, held out or repeated ones and null ids: each bit mixed over all depths one by one."""
+    import math
+    from collections import defaultdict
+
+    texts = ["", None, "ab Ab abc", "ab abc ab", "é  aé\nab", *lm_texts(3, 2)[0].split(" ")[:40]]
+    rows = [(None if i == 3 else i // 2 if i == 9 else i, t) for i, t in enumerate(texts)]
+
+    def bits(text):
+        run = b" " * 6 + b"".join(w + b" " for w in (text or "").encode().lower().split()) + b"\n"
+        for at in range(6, len(run)):
+            for k in range(8):
+                yield run[at - 6 : at], (1 << k) | (run[at] >> (8 - k)), run[at] >> (7 - k) & 1
+
+    seen = defaultdict(lambda: [0, 0])
+    for i, t in rows:
+        if i is not None and brute.fold(i, 10) != 0:
+            for before, start, bit in bits(t):
+                for d in range(7):
+                    seen[before[6 - d :], start][bit] += 1
+    children = defaultdict(set)
+    for before, start in seen:
+        if before:
+            children[before[1:], start].add((before, start))
+
+    def estimate(n0, n1):
+        return math.lgamma(n0 + 0.5) + math.lgamma(n1 + 0.5) - 2 * math.lgamma(0.5) - math.lgamma(n0 + n1 + 1)
+
+    def weighted(node):  # ln of the node's own estimate and of what its children make together
+        return estimate(*seen[node]), sum(map(block, children[node]))
+
+    def block(node):
+        own, below = weighted(node)
+        if len(node[0]) == 6:
+            return own
+        return max(own, below) + math.log1p(math.exp(-abs(own - below))) - math.log(2)
+
+    def score(text):
+        total = 0.0
+        for before, start, bit in bits(text):
+            p = None
+            for d in range(6, -1, -1):
+                node = (before[6 - d :], start)
+                if node in seen:
+                    n, (own, below) = seen[node], weighted(node)
+                    mine = (n[bit] + 0.5) / (sum(n) + 1)
+                    w = 1 / (1 + math.exp(below - own))
+                    p = mine if p is None else w * mine + (1 - w) * p
+            total += math.log10(0.5 if p is None else p)
+        return total
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted(((-1 if r.doc_id is None else r.doc_id), r.score) for r in ctw.score(docs).collect())
+    want = sorted(((-1 if i is None else i), score(t)) for i, t in rows)
+    assert [i for i, _ in found] == [i for i, _ in want]
+    assert [x for _, x in found] == pytest.approx([x for _, x in want], rel=1e-6)
+
+
+def test_lm_sums_over_many_short_texts():
+    """More texts than a block numbers: counts of texts that are not held out, sums of each text's own bytes."""
+    from collections import Counter
+
+    import numpy as np
+
+    runs = [ctw.run_of(t.encode()) for t in [*lm_texts(1, 3)[0].split(" "), "", " x\ny "] * 2]
+    sizes, held = np.array([len(r) for r in runs]), np.arange(len(runs)) % 3 == 0
+    padded = [b" " * 6 + r for r in runs]
+    each = [[int.from_bytes(p[i : i + 7], "big") for i in range(len(p) - 6)] for p in padded]
+    grams, n = ctw.gram_counts(runs, sizes, held)
+    learned = Counter(g for gs, out in zip(each, held, strict=True) if not out for g in gs)
+    assert len(runs) > 2 * ctw.BLOCK_TEXTS and grams.tolist() == sorted({g for gs in each for g in gs})
+    assert n.tolist() == [learned[g] for g in grams.tolist()]
+    value = dict(zip(grams.tolist(), range(len(grams))))
+    assert ctw.text_sums(runs, sizes, grams, np.arange(len(grams), dtype=float)).tolist() == [sum(value[g] for g in gs) for gs in each]
+
+
+def test_lm_packs_lists():
+    import numpy as np
+
+    for x in ([], [0], [1 << 55, 3, 3], list(range(300))):
+        assert ctw.unpack(ctw.pack(np.array(x, np.int64))).tolist() == x
+        assert ctw.unpack_sorted(ctw.pack_sorted(np.array(sorted(x), np.int64))).tolist() == sorted(x)
+    for words in ([], [b"\n"], [b"a", b"\n", "é".encode()]):
+        assert ctw.unpack_words(ctw.pack_words(words)) == words
