@@ -270,6 +270,61 @@ def test_order_jobs_end_to_end(spark, tmp_path):
         query.awaitTermination()
 
 
+def test_orders_and_details_meet_over_batches_without_state_in_memory(spark, tmp_path):
+    """What is open lies in files and goes when the watermark has passed it; late rows meet nothing; a batch may run again."""
+    at = lambda name: TopicSpec(name, path=str(tmp_path / name))
+    text = lambda s: f"2021-07-02 20:{s // 60:02d}:{s % 60:02d}"
+    dims = {
+        name: spark.createDataFrame([], ", ".join(f"{c} string" for c in cols.split()))
+        for name, cols in {
+            "dim_user_info": "ID GENDER BIRTHDAY",
+            "dim_base_province": "ID NAME AREA_CODE ISO_CODE ISO_3166_2",
+            "dim_sku_info": "ID SPU_ID TM_ID CATEGORY3_ID",
+            "dim_spu_info": "ID SPU_NAME",
+            "dim_base_trademark": "ID TM_NAME",
+            "dim_base_category3": "ID NAME",
+        }.items()
+    }
+
+    def go():
+        run(jobs.widen_orders(
+            spark, at("orders"), at("details"), lambda: dims, at("wide"), str(tmp_path / "ck"),
+            -5_000, 9_000, lateness="10 seconds", trigger=NOW,
+        ))
+
+    def found():
+        rows = records.parse_strict(read_topic(spark, at("wide"), False), schemas.ORDER_WIDE).collect()
+        return sorted((r["order_id"], r["detail_id"], r["create_time"]) for r in rows)
+
+    rnd = random.Random(7)
+    infos, details = [], []  # (id, second) and (id, order, second)
+    for k in range(4):  # a batch reaches 5 seconds into the time of the one before
+        when = lambda: rnd.randrange(20 * k, 20 * k + 25)  # noqa: E731, B023
+        some = [(rnd.randrange(12), when()) for _ in range(12)], [(100 * k + i, rnd.randrange(12), when()) for i in range(60)]
+        infos, details = infos + some[0], details + some[1]
+        late = [(900, some[0][0][0], 0)] if k == 3 else []
+        feed_topic(spark, at("orders"), *[{"id": i, "create_time": text(s)} for i, s in some[0]])
+        feed_topic(spark, at("details"), *[{"id": i, "order_id": o, "create_time": text(s)} for i, o, s in some[1] + late])
+        go()
+    want = sorted((o, d, text(s)) for o, s in infos for d, x, t in details if x == o and -5 <= t - s <= 9)
+    assert found() == want and len(want) > 20
+
+    assert not (tmp_path / "ck" / "state").exists()
+    mark = min(max(s for _, s in infos), max(s for *_, s in details)) - 10
+    kept = tmp_path / "ck" / "open-rows"
+    assert sorted(p.name for p in kept.iterdir()) == ["batch=2", "batch=3"]
+    ids = lambda side: sorted((r["id"], r["create_time"]) for r in spark.read.parquet(str(kept / "batch=3" / side)).collect())
+    assert ids("orders") == sorted((i, text(s)) for i, s in infos if s + 9 > mark)
+    assert ids("details") == sorted((i, text(s)) for i, _, s in details if s + 5 > mark)
+
+    for again in (["commits/3", "commits/.3.crc"], ["commits/3", "commits/.3.crc", "open-rows/batch=3/marks/_SUCCESS"]):
+        for name in again:
+            (tmp_path / "ck" / name).unlink(missing_ok=True)
+        (tmp_path / "wide" / "batch=3" / "_SUCCESS").unlink()
+        go()
+        assert found() == want
+
+
 def test_changes_go_by_the_rule_of_their_arrival(spark, tmp_path):
     """All is there before the job starts, in one batch; each change still has its own rule."""
     at = lambda n, **kw: TopicSpec(n, path=str(tmp_path / n), **kw)

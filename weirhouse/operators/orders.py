@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirhouse import schemas
@@ -54,11 +55,28 @@ def join_order_details(
     ``expire_time``, ``operate_time`` and ``split_feight_fee`` stay null, as do
     the dimension columns until ``dims.lookup_all`` fills them.
     """
-    left = _prefixed(order_infos(orders), "o_").withColumn("o_et", times.event_time("o_create_ts"))
-    right = _prefixed(order_details(details), "d_").withColumn("d_et", times.event_time("d_create_ts"))
+    return join_timed(order_infos(orders), order_details(details), lower_ms, upper_ms, lateness)
+
+
+def join_timed(
+    infos: DataFrame,
+    details: DataFrame,
+    lower_ms: int,
+    upper_ms: int,
+    lateness: str = "0 seconds",
+    met: str | None = None,
+) -> DataFrame:
+    """``join_order_details`` of rows that have their ``create_ts``, as from ``order_infos`` and ``order_details``.
+
+    Rows whose flag ``met`` is set on both sides met before and are not joined again.
+    """
+    left = _prefixed(infos, "o_").withColumn("o_et", times.event_time("o_create_ts"))
+    right = _prefixed(details, "d_").withColumn("d_et", times.event_time("d_create_ts"))
     both = interval_join(
         left, right, "o_id", "d_order_id", "o_et", "d_et", lower_ms, upper_ms, lateness=lateness
     )
+    if met:
+        both = both.filter(~(F.col(f"o_{met}") & F.col(f"d_{met}")))
     from_order = (
         "order_status create_time create_date create_hour activity_reduce_amount"
         " coupon_reduce_amount original_total_amount feight_fee total_amount province_id user_id"

@@ -640,7 +640,7 @@ def stream_order_wide(spark, sf_dir):
             trigger=rp.NOW,
         )
 
-    rp.run_slices(replay, slices, start)
+    rp.run_slices(replay, slices, start, stateful=False)
     return _plain(records.parse_strict(read_topic(spark, sink, streaming=False), schemas.ORDER_WIDE))
 
 

@@ -26,7 +26,7 @@ class Replay:
         return f"{self.root}/{name}"
 
     def feed(self, name: str, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(self.path(name))
+        rows.write.mode("append").option("compression", "zstd").parquet(self.path(name))
 
     def source(self, name: str, like: DataFrame) -> DataFrame:
         return self.spark.readStream.schema(like.schema).parquet(self.path(name))
@@ -58,16 +58,19 @@ def run_slices(
     replay: Replay,
     slices: Sequence[dict[str, DataFrame]],
     start: Callable[[], Iterable[StreamingQuery]],
+    stateful: bool = True,
 ) -> None:
     """Feed a slice, run the queries until they have taken it, go on with the next.
 
     Every slice restarts the queries from their checkpoints.  ``start`` may be a
     generator: a query is started when the one before it has ended.  State is
-    kept in at most two partitions per core, as its number cannot adapt later.
+    kept in at most two partitions per core, as its number cannot adapt later; queries
+    that have none run with the session's number.
     """
     conf, key = replay.spark.conf, "spark.sql.shuffle.partitions"
     before = conf.get(key)
-    conf.set(key, str(min(int(before), 2 * replay.spark.sparkContext.defaultParallelism)))
+    if stateful:
+        conf.set(key, str(min(int(before), 2 * replay.spark.sparkContext.defaultParallelism)))
     try:
         for inputs in slices:
             for name, rows in inputs.items():

@@ -11,6 +11,7 @@ import time
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from weirhouse import schemas
@@ -20,7 +21,7 @@ from weirhouse.operators import logs as log_ops
 from weirhouse.operators import orders, routing, stats
 from weirhouse.sources import cdc, dim_store
 from weirhouse.sources.topics import ARRIVAL, TopicSpec, read_topic, write_batch, write_topic
-from weirhouse.streaming import state
+from weirhouse.streaming import open_rows, state
 
 ORDER = ("ts", *ARRIVAL)
 EVERY = {"processingTime": "10 seconds"}
@@ -191,17 +192,28 @@ def widen_orders(
     lateness: str = "0 seconds",
     trigger: Mapping = EVERY,
 ) -> StreamingQuery:
-    """Orders with details and the dimensions as they are when a batch runs."""
-    infos = records.parse_strict(read_topic(spark, order_topic), schemas.ORDER_INFO)
-    details = records.parse_strict(read_topic(spark, detail_topic), schemas.ORDER_DETAIL)
-    joined = orders.join_order_details(infos, details, lower_ms, upper_ms, lateness)
+    """Orders with details and the dimensions as they are when a batch runs.
+
+    A batch is joined with the rows that earlier ones left open (``open_rows``), which lie on disk, so
+    the executors' memory bounds neither a batch nor what is open.
+    """
+    side = lambda name, spec: read_topic(spark, spec).select(F.lit(name).alias("side"), "value")
+    texts = side("orders", order_topic).unionByName(side("details", detail_topic))
+    reach = {"orders": upper_ms, "details": -lower_ms}
+    kept = open_rows.OpenRows(spark, f"{checkpoint.rstrip('/')}/open-rows", reach, "create_ts", lateness)
 
     def batch(rows: DataFrame, batch_id: int) -> None:
-        wide = dim_ops.lookup_all(rows, dims(), dim_ops.order_dims(now_ms()))
+        of = lambda name, schema: records.parse_strict(rows.filter(F.col("side") == name), schema)
+        infos = orders.order_infos(of("orders", schemas.ORDER_INFO))
+        details = orders.order_details(of("details", schemas.ORDER_DETAIL))
+        now = kept.begin({"orders": infos, "details": details}, batch_id)
+        joined = orders.join_timed(now.rows["orders"], now.rows["details"], lower_ms, upper_ms, met=open_rows.KEPT)
+        wide = dim_ops.lookup_all(joined, dims(), dim_ops.order_dims(now_ms()))
         write_batch(records.to_record(wide), sink, batch_id)
+        now.end()
 
     return (
-        joined.writeStream.foreachBatch(batch)
+        texts.writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
